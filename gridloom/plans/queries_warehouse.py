@@ -351,3 +351,50 @@ def mart_copy(spark, sf_dir):
     RAW.write_layer(R.dimension_rollup(_w(spark, sf_dir).dwd, "station"), root, "dws", "station")
     RAW.write_layer(RAW.read_layer(spark, root, "dws", "station"), root, "ads", "station")
     return stable(RAW.read_layer(spark, root, "ads", "station"))
+
+
+# ---------------------------------------------------------------- document and snapshots
+def _document(spark, sf_dir):
+    from gridloom.operators import payload as P
+    w = _w(spark, sf_dir)
+    ql = Q.quality_counters(w.classified, w.dwd,
+                            {"sessions": w.raw_sessions, "battery": w.raw_battery, "stations": w.stations},
+                            w.battery)
+    gen = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
+    return P.dashboard_document(w.dwd, w.battery, ql, gen)
+
+
+@register("dashboard_payload", _LONG_SQL)
+def dashboard_payload(spark, sf_dir):
+    """S8 checked on exploded values: the JSON text is parsed back and flattened."""
+    from gridloom.operators import payload as P
+    doc = _document(spark, sf_dir)
+    schema = doc.schema["doc"].dataType
+    return stable(P.explode_document(doc.select("payload"), schema))
+
+
+def _publish_document(spark, sf_dir):
+    from gridloom.operators import payload as P
+    from gridloom.sources import snapshot as SN
+    doc = _document(spark, sf_dir)
+    root = scratch_path(spark, "snapshots")
+    SN.publish(doc.select(F.col("doc.generated_at").alias("generated_at"), "payload"), root, "dashboard",
+               checks=P.document_check(doc))
+    return root, doc.schema["doc"].dataType
+
+
+@register("snapshot_read", _LONG_SQL)
+def snapshot_read(spark, sf_dir):
+    """Validate and publish a version, then serve the latest one."""
+    from gridloom.operators import payload as P
+    from gridloom.sources import snapshot as SN
+    root, schema = _publish_document(spark, sf_dir)
+    return stable(P.explode_document(SN.read_latest(spark, root, "dashboard"), schema))
+
+
+@register("snapshot_ready")
+def snapshot_ready(spark, sf_dir):
+    """readiness of the latest committed snapshot (status, version, generated_at)."""
+    from gridloom.sources import snapshot as SN
+    root, _ = _publish_document(spark, sf_dir)
+    return SN.readiness(spark, root, "dashboard")
