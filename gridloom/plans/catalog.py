@@ -41,3 +41,4 @@ def stable(df: DataFrame, digits: int = 4) -> DataFrame:
 # Importing the query modules fills the registries.
 from gridloom.plans import queries_warehouse  # noqa: E402,F401
 from gridloom.plans import queries_series  # noqa: E402,F401
+from gridloom.plans import queries_models  # noqa: E402,F401
