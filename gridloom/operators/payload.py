@@ -19,23 +19,14 @@ from gridloom.operators import quality as Q
 from gridloom.operators import rollups as R
 
 
-def _keys_in_order(dimensions: Mapping[str, Sequence[str]]) -> list[str]:
-    cols: list[str] = []
-    for keys in dimensions.values():
-        cols += [k for k in keys if k not in cols]
-    return cols
-
-
-def dimension_arrays(df: DataFrame, dimensions: Mapping[str, Sequence[str]] = R.DIMENSIONS) -> DataFrame:
-    """One row, one array column per dimension: rows ``keys..., measures`` in
-    presentation order (keys; bands by numeric position)."""
-    cols = _keys_in_order(dimensions)
-    grouped = df.groupingSets([[F.col(k) for k in keys] for keys in dimensions.values()], *cols) \
-        .agg(F.grouping_id(*cols).alias("_gid"), *R.measures())
-    n = len(cols)
+def dimension_arrays(grouped: DataFrame, dimensions: Mapping[str, Sequence[str]] = R.DIMENSIONS) -> DataFrame:
+    """One row, one array column per dimension, from the GROUPING SETS output
+    (:func:`rollups.grouped_sets`): rows ``keys..., measures`` in presentation
+    order (keys; bands by numeric position)."""
+    cols = R.key_columns(dimensions)
     outs = []
     for name, keys in dimensions.items():
-        gid = sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in keys)
+        gid = R.grouping_id_of(keys, cols)
         row = F.struct(*[F.col(k) for k in keys], *[F.col(m) for m in R.MEASURE_NAMES])
         if name in R.BAND_LABELS:
             order = C.band_order(keys[0], R.BAND_LABELS[name])
@@ -51,10 +42,11 @@ def _one(df: DataFrame, col: Column, name: str) -> DataFrame:
 
 
 def dashboard_document(dwd: DataFrame, battery: DataFrame, quality_long: DataFrame,
-                       generated_at: Column) -> DataFrame:
-    """One row ``doc`` (struct) and ``payload`` (JSON text)."""
+                       generated_at: Column, grouped: DataFrame | None = None) -> DataFrame:
+    """One row ``doc`` (struct) and ``payload`` (JSON text). Pass ``grouped``
+    when the GROUPING SETS aggregate is already materialised."""
     from gridloom.operators.telemetry import battery_bands
-    dims = dimension_arrays(dwd)
+    dims = dimension_arrays(grouped if grouped is not None else R.grouped_sets(dwd))
     dims = _one(dims, F.struct(*[F.col(c) for c in dims.columns]), "dimensions")
     ov = _one(R.overview(dwd), F.struct("sessions", "energy", "fees", "stations", "avg_duration"), "overview")
     bands = battery_bands(battery).agg(F.sort_array(F.collect_list(

@@ -52,32 +52,53 @@ def order_rollup(df: DataFrame, name: str) -> DataFrame:
     return df.orderBy(*keys)
 
 
-def rollup_all(df: DataFrame, dimensions: Mapping[str, Sequence[str]] = DIMENSIONS) -> DataFrame:
-    """Long table ``dimension, key1, key2, measures`` for all dimensions in one pass.
-
-    Keys are cast to text so that mixed key types share two columns.
-    """
+def key_columns(dimensions: Mapping[str, Sequence[str]] = DIMENSIONS) -> list[str]:
     cols: list[str] = []
     for keys in dimensions.values():
-        for k in keys:
-            if k not in cols:
-                cols.append(k)
-    sets = [[F.col(k) for k in keys] for keys in dimensions.values()]
-    grouped = df.groupingSets(sets, *cols).agg(F.grouping_id(*cols).alias("_gid"), *measures())
-    # grouping_id: first column is the most significant bit, 1 = not grouped.
+        cols += [k for k in keys if k not in cols]
+    return cols
+
+
+def grouping_id_of(keys: Sequence[str], cols: Sequence[str]) -> int:
+    """grouping_id(): first column is the most significant bit, 1 = not grouped."""
     n = len(cols)
-    name_of = None
-    key1 = key2 = None
+    return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in keys)
+
+
+def grouped_sets(df: DataFrame, dimensions: Mapping[str, Sequence[str]] = DIMENSIONS) -> DataFrame:
+    """The single GROUPING SETS aggregate: native key columns (NULL where not
+    grouped), ``_gid`` and the measures. Small: one row per key of each set."""
+    cols = key_columns(dimensions)
+    sets = [[F.col(k) for k in keys] for keys in dimensions.values()]
+    return df.groupingSets(sets, *cols).agg(F.grouping_id(*cols).alias("_gid"), *measures())
+
+
+def long_from_grouped(grouped: DataFrame, dimensions: Mapping[str, Sequence[str]] = DIMENSIONS) -> DataFrame:
+    """Long table ``dimension, key1, key2, measures``; keys cast to text so that
+    mixed key types share two columns."""
+    cols = key_columns(dimensions)
+    name_of = key1 = key2 = None
     for name, keys in dimensions.items():
-        gid = sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in keys)
-        hit = F.col("_gid") == gid
-        name_of = (F.when(hit, F.lit(name)) if name_of is None else name_of.when(hit, F.lit(name)))
+        hit = F.col("_gid") == grouping_id_of(keys, cols)
         k1 = F.col(keys[0]).cast("string")
         k2 = F.col(keys[1]).cast("string") if len(keys) > 1 else F.lit(None).cast("string")
+        name_of = F.when(hit, F.lit(name)) if name_of is None else name_of.when(hit, F.lit(name))
         key1 = F.when(hit, k1) if key1 is None else key1.when(hit, k1)
         key2 = F.when(hit, k2) if key2 is None else key2.when(hit, k2)
-    return grouped.select(name_of.alias("dimension"), key1.alias("key1"), key2.alias("key2"),
-                          *MEASURE_NAMES)
+    return grouped.select(name_of.alias("dimension"), key1.alias("key1"), key2.alias("key2"), *MEASURE_NAMES)
+
+
+def rollup_all(df: DataFrame, dimensions: Mapping[str, Sequence[str]] = DIMENSIONS) -> DataFrame:
+    """All dimensions in one pass, as the long table."""
+    return long_from_grouped(grouped_sets(df, dimensions), dimensions)
+
+
+def dimension_from_grouped(grouped: DataFrame, name: str,
+                           dimensions: Mapping[str, Sequence[str]] = DIMENSIONS) -> DataFrame:
+    """One dimension's rollup (native key types) out of the shared aggregate."""
+    keys = dimensions[name]
+    gid = grouping_id_of(keys, key_columns(dimensions))
+    return grouped.filter(F.col("_gid") == gid).select(*keys, *MEASURE_NAMES)
 
 
 def overview(df: DataFrame) -> DataFrame:

@@ -77,3 +77,14 @@ def gbt_forecast(spark, sf_dir):
     fc = (fc.join(fut.select(SR.DATE, "is_holiday"), SR.DATE).withColumn("_k", F.lit(1))
           .join(F.broadcast(sm), "_k").withColumn("pred_sessions", FC.estimate_sessions("pred")))
     return FC.forecast_report(fc)
+
+
+@register("forecast_job")
+def forecast_job(spark, sf_dir):
+    """The forecasting job end to end: train, save, forecast, CSV copy and a
+    validated forecast snapshot; returns the CSV rows read back."""
+    from gridloom.plans import forecasting as FJ
+    from gridloom.session import scratch_path
+    s = Series(spark, sf_dir)
+    res = FJ.run(spark, s.daily, scratch_path(spark, "forecast-job"), HORIZON, QUERY_GBT, s.calendar)
+    return res.report

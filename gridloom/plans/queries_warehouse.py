@@ -398,3 +398,16 @@ def snapshot_ready(spark, sf_dir):
     from gridloom.sources import snapshot as SN
     root, _ = _publish_document(spark, sf_dir)
     return SN.readiness(spark, root, "dashboard")
+
+
+# ---------------------------------------------------------------- the whole job
+@register("warehouse_job", _LONG_SQL)
+def warehouse_job(spark, sf_dir):
+    """Raw CSV files -> ODS -> DWD -> DWS -> ADS -> snapshot; the result is the
+    published ADS long rollup read back from shared storage."""
+    from gridloom.plans import warehouse as WH
+    base = scratch_path(spark, "warehouse-job")
+    paths = WH.write_fixture_sources(spark, _w(spark, sf_dir), base)
+    from gridloom.sources.fixtures import FIXTURE_CENTURY_YEARS
+    res = WH.build(spark, paths, base, century_years=FIXTURE_CENTURY_YEARS)
+    return stable(RAW.read_layer(spark, res.root, "ads", "rollups"))
