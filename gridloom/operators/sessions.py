@@ -79,10 +79,20 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str = "key") -> Non
         raise KeyConflictError(f"Conflicting {what}; refusing arbitrary deduplication")
 
 
+def dedup_accepted(classified: DataFrame, raw_columns: Sequence[str],
+                   century_years: Sequence[str] = C.DEFAULT_CENTURY_YEARS) -> DataFrame:
+    """Accepted rows without exact duplicates, typed again after the shuffle.
+
+    Typed columns are functions of the raw text, so deduplicating the raw
+    columns alone gives the same rows while the shuffled row stays narrow;
+    the re-typing runs after the shuffle, spread over all partitions.
+    """
+    return type_sessions(accepted(classified).select(*raw_columns).dropDuplicates(), century_years)
+
+
 def clean_sessions(raw: DataFrame, century_years: Sequence[str] = C.DEFAULT_CENTURY_YEARS) -> DataFrame:
     """Accepted, exact-deduplicated sessions (raw + typed columns)."""
-    cl = classify(type_sessions(raw, century_years))
-    return dedup(accepted(cl), [c for c in raw.columns])
+    return dedup_accepted(classify(type_sessions(raw, century_years)), raw.columns, century_years)
 
 
 def enrich(clean: DataFrame, stations: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ class Inputs:
 
     @cached_property
     def clean(self) -> DataFrame:
-        return S.dedup(self.accepted_rows, list(S.RAW_SESSION_COLUMNS))
+        return S.dedup_accepted(self.classified, list(S.RAW_SESSION_COLUMNS), X.FIXTURE_CENTURY_YEARS)
 
     @cached_property
     def stations(self) -> DataFrame:

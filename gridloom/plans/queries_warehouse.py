@@ -355,13 +355,20 @@ def mart_copy(spark, sf_dir):
 
 # ---------------------------------------------------------------- document and snapshots
 def _document(spark, sf_dir):
+    """The dashboard document over materialised DWD/telemetry tables (each
+    input table is computed once, as in the job), written once as well."""
     from gridloom.operators import payload as P
+    from gridloom.session import materialize
     w = _w(spark, sf_dir)
-    ql = Q.quality_counters(w.classified, w.dwd,
-                            {"sessions": w.raw_sessions, "battery": w.raw_battery, "stations": w.stations},
-                            w.battery)
+    cl = materialize(w.classified)
+    from gridloom.sources.fixtures import FIXTURE_CENTURY_YEARS
+    dwd = materialize(S.enrich(S.dedup_accepted(cl, list(S.RAW_SESSION_COLUMNS), FIXTURE_CENTURY_YEARS),
+                               w.stations))
+    battery = materialize(w.battery)
+    ql = Q.quality_counters(cl, dwd, {"sessions": w.raw_sessions, "battery": w.raw_battery,
+                                      "stations": w.stations}, battery)
     gen = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
-    return P.dashboard_document(w.dwd, w.battery, ql, gen)
+    return materialize(P.dashboard_document(dwd, battery, ql, gen))
 
 
 @register("dashboard_payload", _LONG_SQL)

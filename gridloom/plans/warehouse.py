@@ -17,6 +17,7 @@ only recomputes the stage it was in. Scale decisions:
 """
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,7 @@ from gridloom.sources import raw as RAW
 from gridloom.sources import snapshot as SN
 
 SOURCES = ("sessions", "battery", "stations")
+WRITE_THREADS = 6
 
 
 @dataclass
@@ -60,7 +62,7 @@ def build(spark: SparkSession, raw_paths: dict[str, str], root: str,
     cl = RAW.read_layer(spark, root, "dwd", "classified_sessions") \
         .withColumn("is_valid", F.col("is_valid").cast("boolean"))
     rejected = _w(S.rejected(cl), root, "dwd", "rejected_sessions")
-    clean = _w(S.dedup(S.accepted(cl), list(ods["sessions"].columns)), root, "dwd", "clean_sessions")
+    clean = _w(S.dedup_accepted(cl, list(ods["sessions"].columns), century_years), root, "dwd", "clean_sessions")
     S.require_unique(clean.select("session_id"), ["session_id"], "session IDs")
 
     stations = S.dedup_stations(ods["stations"])
@@ -77,9 +79,13 @@ def build(spark: SparkSession, raw_paths: dict[str, str], root: str,
     total = dwd.agg(F.count(F.lit(1)).alias("total"))
     Q.require_reconciled(long, total)
     long = _w(long, root, "dws", "rollups")
-    for name in R.DIMENSIONS:
+
+    def publish_dimension(name):
         t = _w(R.dimension_from_grouped(grouped, name), root, "dws", name)
         RAW.write_layer(t, root, "ads", name)           # ADS = exact copy of DWS
+    # small independent writes: submitted concurrently so they share the executors
+    with ThreadPoolExecutor(max_workers=WRITE_THREADS) as pool:
+        list(pool.map(publish_dimension, R.DIMENSIONS))
     RAW.write_layer(long, root, "ads", "rollups")
 
     # ADS document + validated, versioned publication

@@ -22,6 +22,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("GRIDLOOM_DRIVER_MEMORY", "16g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     spark = b.getOrCreate()

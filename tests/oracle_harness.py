@@ -26,7 +26,7 @@ def duck(sql: str, sf_dir: str) -> pa.Table:
         p = f"{sf_dir}/{t}.parquet"
         if os.path.exists(p):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
-    return con.execute(sql).to_arrow_table()
+    return con.sql(sql).to_arrow_table()
 
 
 def _norm_type(t: pa.DataType) -> str:
