@@ -34,10 +34,12 @@ def top_n(rollup: DataFrame, key: str, metric: str = "energy", n: int = 10) -> D
 
 
 def share(rollup: DataFrame, key: str, metric: str = "energy") -> DataFrame:
-    """Value and share of the total (a window over a rollup of one dimension)."""
+    """Value and share of the total. The total is a one-row aggregate
+    broadcast to every partition (no single-partition window)."""
     m = _metric(metric)
-    return rollup.select(key, F.col(m).alias("value"),
-                         (F.col(m) / F.sum(m).over(Window.partitionBy())).alias("share"))
+    total = rollup.agg(F.sum(m).alias("_total")).withColumn("_k", F.lit(1))
+    return (rollup.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
+            .select(key, F.col(m).alias("value"), (F.col(m) / F.col("_total")).alias("share")))
 
 
 def pivot_matrix(rollup: DataFrame, row: str = "platform", column: str = "facility",

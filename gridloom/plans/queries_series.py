@@ -449,3 +449,47 @@ WINDOW w AS (PARTITION BY priority ORDER BY stat_date),
 def panel_lags(spark, sf_dir):
     _, f = _s(spark, sf_dir).panel()
     return stable(f.select("priority", SR.DATE, "t", "lag7_kwh", "roll14_kwh"))
+
+
+PANEL = """
+pd AS (SELECT priority, CAST(started AS DATE) AS stat_date, sum(energy) AS total_kwh FROM orders_s GROUP BY 1, 2),
+pfeat AS (
+  SELECT *, CAST(isodow(stat_date) - 1 AS INTEGER) AS dow,
+         CASE WHEN count(total_kwh) OVER w14 = 14 THEN avg(total_kwh) OVER w14 END AS roll14_kwh
+  FROM pd WINDOW w14 AS (PARTITION BY priority ORDER BY stat_date ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING)
+),
+pprof AS (SELECT priority, dow, avg(total_kwh / roll14_kwh) AS ratio FROM pfeat
+          WHERE roll14_kwh IS NOT NULL GROUP BY 1, 2),
+plast AS (SELECT priority, max(stat_date) AS last FROM pd GROUP BY 1),
+pfut AS (SELECT l.priority, CAST(r.i AS INTEGER) AS i, CAST(l.last + CAST(r.i AS INTEGER) AS DATE) AS stat_date
+         FROM plast l, range(1, 8) r(i)),
+pfr AS (SELECT u.priority, u.i, u.stat_date, p.ratio FROM pfut u
+        JOIN pprof p ON u.priority = p.priority AND CAST(isodow(u.stat_date) - 1 AS INTEGER) = p.dow),
+phist AS (
+  SELECT priority, list(total_kwh ORDER BY stat_date) AS h
+  FROM (SELECT *, row_number() OVER (PARTITION BY priority ORDER BY stat_date DESC) AS rn FROM pd) x
+  WHERE rn <= 14 GROUP BY priority
+),
+prec(priority, i, stat_date, h, anchor, ratio, pred) AS (
+  SELECT priority, 0, CAST(NULL AS DATE), h, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
+  FROM phist
+  UNION ALL
+  SELECT r.priority, f.i, f.stat_date,
+    list_slice(list_append(r.h, list_avg(r.h) * least(greatest(f.ratio, 0), 3)),
+               greatest(len(r.h) + 1 - 14 + 1, 1), len(r.h) + 1),
+    list_avg(r.h), f.ratio, list_avg(r.h) * least(greatest(f.ratio, 0), 3)
+  FROM prec r JOIN pfr f ON f.priority = r.priority AND f.i = r.i + 1
+)"""
+
+
+@register("panel_forecast", O.rounded("WITH RECURSIVE " + SERIES.strip() + "," + PANEL + """
+SELECT priority, stat_date, anchor, ratio, pred FROM prec WHERE i > 0""", ["anchor", "ratio", "pred"]))
+def panel_forecast(spark, sf_dir):
+    """W6 for many series at once: one fold per series, all series in parallel."""
+    s = _s(spark, sf_dir)
+    d, f = s.panel()
+    cal = CAL.calendar_for(d)
+    fut = FC.future_frame(f, HORIZON, cal, PANEL_KEYS)
+    prof = FC.dow_ratio_profile(f, PANEL_KEYS)
+    ratios = fut.join(prof, [*PANEL_KEYS, "dow"]).select(*PANEL_KEYS, SR.DATE, "ratio")
+    return stable(FC.recursive_forecast(d, ratios, PANEL_KEYS))
