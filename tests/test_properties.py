@@ -167,3 +167,21 @@ def test_calendar_rules(spark):
     assert got["2024-05-04"] == (0, 0, 1)      # Saturday worked
     assert got["2024-01-06"] == (1, 0, 0)      # plain Saturday
     assert got["2024-01-08"] == (0, 0, 0)      # plain Monday
+
+
+def test_streaming_landing_matches_batch(spark):
+    from gridloom.streaming import ingest
+    from gridloom.sources.fixtures import FIXTURE_CENTURY_YEARS
+    w = Inputs(spark, SMALL)
+    base = scratch_path(spark, "stream-test")
+    raw = w.raw_sessions
+    # two files arriving separately
+    RAW.write_csv(raw.filter(F.col("sessionId").endswith("1")), f"{base}/in/a")
+    RAW.write_csv(raw.filter(~F.col("sessionId").endswith("1")), f"{base}/in/b")
+    q = ingest.start(spark, f"{base}/in/*", f"{base}/landed", f"{base}/chk", FIXTURE_CENTURY_YEARS)
+    q.awaitTermination(300)
+    landed = ingest.read_landed(spark, f"{base}/landed")
+    assert landed.count() == raw.count()
+    assert landed.filter("is_valid").count() == w.accepted_rows.count()
+    clean = S.dedup_accepted(landed, list(S.RAW_SESSION_COLUMNS), FIXTURE_CENTURY_YEARS)
+    assert clean.count() == w.clean.count()
