@@ -169,18 +169,20 @@ def train_deployed(rows: DataFrame, params: dict | None = None) -> tuple[DataFra
     p = {**GBT_PARAMS, **(params or {})}
     rows = materialize(rows)
     labeled = rows.withColumn("_y", C.log_ratio(SR.TARGET, FE.ANCHOR))
-    n = rows.count()
-    cut = int(n * SR.TRAIN_FRACTION)
+    st = rows.agg(F.count(F.lit(1)).alias("n"), F.max("t").alias("t_max")).first()
+    cut = int(st["n"] * SR.TRAIN_FRACTION)
     tr, te = labeled.filter(F.col("pos") < cut), labeled.filter(F.col("pos") >= cut)
-    m = fit("gbt", p, FE.DEPLOYED_FEATURES, tr, "_y")
+    # the evaluation fit and the deployment refit are independent: run them concurrently
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        split_fit = pool.submit(fit, "gbt", p, FE.DEPLOYED_FEATURES, tr, "_y")
+        full_fit = pool.submit(fit, "gbt", p, FE.DEPLOYED_FEATURES, labeled, "_y")
+        m, full = split_fit.result(), full_fit.result()
     pred = m.transform(te).select(SR.DATE, SR.TARGET, FE.ANCHOR,
                                   C.ratio_inverse("_z", FE.ANCHOR, True).alias("pred"))
     both = pred.select(F.lit("gbr_logratio14").alias("model"), SR.TARGET, "pred").unionByName(
         pred.select(F.lit("naive_anchor14").alias("model"), SR.TARGET, F.col(FE.ANCHOR).alias("pred")))
     report = FC.metrics(both)
-    full = fit("gbt", p, FE.DEPLOYED_FEATURES, labeled, "_y")
-    t_max = int(rows.agg(F.max("t")).first()[0])
-    return report, Bundle(full, list(FE.DEPLOYED_FEATURES), SR.TARGET, FE.ANCHOR, True, t_max)
+    return report, Bundle(full, list(FE.DEPLOYED_FEATURES), SR.TARGET, FE.ANCHOR, True, int(st["t_max"]))
 
 
 def forecast_with(bundle: Bundle, history: DataFrame, future: DataFrame) -> DataFrame:

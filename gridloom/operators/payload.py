@@ -46,9 +46,11 @@ def dashboard_document(dwd: DataFrame, battery: DataFrame, quality_long: DataFra
     """One row ``doc`` (struct) and ``payload`` (JSON text). Pass ``grouped``
     when the GROUPING SETS aggregate is already materialised."""
     from gridloom.operators.telemetry import battery_bands
-    dims = dimension_arrays(grouped if grouped is not None else R.grouped_sets(dwd))
+    grouped = grouped if grouped is not None else R.grouped_sets(dwd)
+    dims = dimension_arrays(grouped)
     dims = _one(dims, F.struct(*[F.col(c) for c in dims.columns]), "dimensions")
-    ov = _one(R.overview(dwd), F.struct("sessions", "energy", "fees", "stations", "avg_duration"), "overview")
+    ov = _one(R.overview_from_grouped(grouped),
+              F.struct("sessions", "energy", "fees", "stations", "avg_duration"), "overview")
     bands = battery_bands(battery).agg(F.sort_array(F.collect_list(
         F.struct("soc_band", "samples", "temperature", "voltage_spread"))).alias("b"))
     bt = _one(bands, F.col("b"), "battery")

@@ -70,7 +70,9 @@ def grouped_sets(df: DataFrame, dimensions: Mapping[str, Sequence[str]] = DIMENS
     grouped), ``_gid`` and the measures. Small: one row per key of each set."""
     cols = key_columns(dimensions)
     sets = [[F.col(k) for k in keys] for keys in dimensions.values()]
-    return df.groupingSets(sets, *cols).agg(F.grouping_id(*cols).alias("_gid"), *measures())
+    # ``_duration`` (Σ hours) lets the overview come from this aggregate too
+    return df.groupingSets(sets, *cols).agg(F.grouping_id(*cols).alias("_gid"), *measures(),
+                                            F.sum("duration").alias("_duration"))
 
 
 def long_from_grouped(grouped: DataFrame, dimensions: Mapping[str, Sequence[str]] = DIMENSIONS) -> DataFrame:
@@ -101,6 +103,17 @@ def dimension_from_grouped(grouped: DataFrame, name: str,
     return grouped.filter(F.col("_gid") == gid).select(*keys, *MEASURE_NAMES)
 
 
+def overview_from_grouped(grouped: DataFrame, via: str = "station",
+                          dimensions: Mapping[str, Sequence[str]] = DIMENSIONS) -> DataFrame:
+    """A14 without another scan of the sessions: totals over the rows of the
+    station dimension; each non-null station key is one distinct station."""
+    keys = dimensions[via]
+    g = grouped.filter(F.col("_gid") == grouping_id_of(keys, key_columns(dimensions)))
+    return g.agg(F.sum("sessions").alias("sessions"), F.sum("energy").alias("energy"),
+                 F.sum("fees").alias("fees"), F.count(keys[0]).alias("stations"),
+                 (F.sum("_duration") / F.sum("sessions")).alias("avg_duration"))
+
+
 def overview(df: DataFrame) -> DataFrame:
     """One row of headline figures."""
     return df.agg(F.count(F.lit(1)).alias("sessions"), F.sum("energy").alias("energy"),
