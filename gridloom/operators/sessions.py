@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions import columns as C
-from gridloom.operators.joins import join_dimension
+from gridloom.operators.joins import BROADCAST_MAX_ROWS, join_dimension
 
 RAW_SESSION_COLUMNS = ("sessionId", "kwhTotal", "charging_fees", "chargeTimeHrs", "created", "ended",
                        "stationId", "locationId", "platform", "facilityType", "managerVehicle")
@@ -95,11 +95,13 @@ def clean_sessions(raw: DataFrame, century_years: Sequence[str] = C.DEFAULT_CENT
     return dedup_accepted(classify(type_sessions(raw, century_years)), raw.columns, century_years)
 
 
-def enrich(clean: DataFrame, stations: DataFrame) -> DataFrame:
+def enrich(clean: DataFrame, stations: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """DWD session table: calendar keys, cleaned dimensions, bands and the
-    station label (left join: sessions without metadata are kept)."""
+    station label (left join: sessions without metadata are kept). Stations
+    above ``broadcast_max_rows`` are joined by a shuffle join, where AQE
+    splits a skewed (hot) station's partition."""
     st = stations.select(F.col("stationId"), F.col("station_name"))
-    joined = join_dimension(clean, st, "stationId", "left")
+    joined = join_dimension(clean, st, "stationId", "left", broadcast_max_rows)
     s = F.col("started")
     return joined.select(
         "session_id", "energy", "fees", "duration", "started",

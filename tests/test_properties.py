@@ -185,3 +185,27 @@ def test_streaming_landing_matches_batch(spark):
     assert landed.filter("is_valid").count() == w.accepted_rows.count()
     clean = S.dedup_accepted(landed, list(S.RAW_SESSION_COLUMNS), FIXTURE_CENTURY_YEARS)
     assert clean.count() == w.clean.count()
+
+
+def test_shuffle_join_fallback_with_hot_station(spark):
+    """A third of all sessions on one station; the shuffle-join path (used
+    when the dimension is too large to broadcast) gives the same rows."""
+    w = Inputs(spark, MEDIUM)
+    hot = w.clean.withColumn("stationId", F.when(F.col("session_id") % 3 == 0, F.lit("7"))
+                             .otherwise(F.col("stationId")))
+    a = S.enrich(hot, w.stations).collect()
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:   # a dimension too large for Spark's own size estimate as well
+            spark.conf.set(k, "-1")
+        b = S.enrich(hot, w.stations, broadcast_max_rows=0)
+        rows_b = b.collect()
+        plan_b = b._jdf.queryExecution().executedPlan().toString()
+        top = R.rollup(b, ["station"]).orderBy(F.col("sessions").desc()).first()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "BroadcastHashJoin" not in plan_b and "SortMergeJoin" in plan_b
+    assert sorted(map(tuple, a)) == sorted(map(tuple, rows_b)) and len(a) == hot.count()
+    assert top["station"] == "7" and top["sessions"] >= len(a) // 3
