@@ -43,9 +43,13 @@ class Inputs:
     def clean(self) -> DataFrame:
         return S.dedup_accepted(self.classified, list(S.RAW_SESSION_COLUMNS), X.FIXTURE_CENTURY_YEARS)
 
+    @cached_property
+    def raw_stations(self) -> DataFrame:
+        return X.raw_stations(self.table("customer"))
+
     @cached_property
     def stations(self) -> DataFrame:
-        return S.dedup_stations(X.raw_stations(self.table("customer")))
+        return S.dedup_stations(self.raw_stations)
 
     @cached_property
     def dwd(self) -> DataFrame:

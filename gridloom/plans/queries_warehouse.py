@@ -168,7 +168,7 @@ UNION ALL SELECT 'duplicates_removed',
 def quality_counters(spark, sf_dir):
     w = _w(spark, sf_dir)
     return Q.quality_counters(w.classified, w.dwd,
-                              {"sessions": w.raw_sessions, "battery": w.raw_battery, "stations": w.stations},
+                              {"sessions": w.raw_sessions, "battery": w.raw_battery, "stations": w.raw_stations},
                               w.battery)
 
 
@@ -368,7 +368,7 @@ def _document(spark, sf_dir):
                                w.stations))
     battery = materialize(w.battery)
     ql = Q.quality_counters(cl, dwd, {"sessions": w.raw_sessions, "battery": w.raw_battery,
-                                      "stations": w.stations}, battery)
+                                      "stations": w.raw_stations}, battery)
     gen = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     return materialize(P.dashboard_document(dwd, battery, ql, gen))
 

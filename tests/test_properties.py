@@ -209,3 +209,44 @@ def test_shuffle_join_fallback_with_hot_station(spark):
     assert "BroadcastHashJoin" not in plan_b and "SortMergeJoin" in plan_b
     assert sorted(map(tuple, a)) == sorted(map(tuple, rows_b)) and len(a) == hot.count()
     assert top["station"] == "7" and top["sessions"] >= len(a) // 3
+
+
+def _document(spark, sf):
+    import json
+    from gridloom.plans.queries_warehouse import _document as build_doc
+    return json.loads(build_doc(spark, sf).select("payload").first()["payload"])
+
+
+def test_document_totals_cross_tabs_and_band_order(spark):
+    """The reference's own warehouse checks, on the published document."""
+    doc = _document(spark, MEDIUM)
+    ov, dims = doc["overview"], doc["dimensions"]
+    w = Inputs(spark, MEDIUM)
+    src = w.clean.agg(F.count(F.lit(1)).alias("n"), F.sum("energy").alias("e"), F.sum("fees").alias("f")).first()
+    assert ov["sessions"] == src["n"] == 9442 and doc["quality"]["rejected_sessions"] == 567
+    assert doc["quality"]["duplicates_removed"] == 191 and doc["quality"]["source_rows"]["sessions"] == 10200
+    for rows in dims.values():   # every dimension re-sums to the totals
+        assert sum(r["sessions"] for r in rows) == ov["sessions"]
+        assert math.isclose(sum(r["energy"] for r in rows), src["e"], rel_tol=1e-9)
+        assert math.isclose(sum(r["fees"] for r in rows), src["f"], rel_tol=1e-9)
+    # weekday x hour recomputed from the accepted rows with Python's calendar
+    want = {}
+    for r in w.clean.select("started").collect():
+        k = (r["started"].isoweekday(), r["started"].hour)
+        want[k] = want.get(k, 0) + 1
+    assert {(r["weekday"], r["hour"]): r["sessions"] for r in dims["weekday_hour"]} == want
+    for name, labels in (("duration", C.DURATION_LABELS), ("energy", C.ENERGY_LABELS)):
+        got = [r[R.DIMENSIONS[name][0]] for r in dims[name]]
+        assert got == [x for x in labels if x in got]
+    assert [r["soc_band"] for r in doc["battery"]] == sorted(r["soc_band"] for r in doc["battery"])
+
+
+def test_forecast_payload_rejects_non_finite(spark):
+    pts = spark.createDataFrame([("2024-01-01", 1.0, 2.0)], "date string, energy double, sessions double")
+    bad = spark.createDataFrame([("2024-01-02", float("nan"), 2.0)], "date string, energy double, sessions double")
+    ok_doc = FC.forecast_payload(pts, pts.withColumn("date", F.lit("2024-01-02")), F.lit("now"))
+    bad_doc = FC.forecast_payload(pts, bad, F.lit("now"))
+    assert FC.payload_check(ok_doc).first()["ok"] is True
+    assert FC.payload_check(bad_doc).first()["ok"] is False
+    empty = FC.forecast_payload(pts, bad.limit(0), F.lit("now"))
+    assert FC.payload_check(empty).first()["ok"] in (False, None)
