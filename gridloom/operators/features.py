@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gridloom.functions import columns as C
 from gridloom.operators import series as SR

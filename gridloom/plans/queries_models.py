@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridloom.operators import features as FE
 from gridloom.operators import forecast as FC
 from gridloom.operators import models as MD
 from gridloom.operators import series as SR
