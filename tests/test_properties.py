@@ -68,6 +68,14 @@ def test_csv_header_bom_and_blank_cells(spark):
     assert row["b"] == "  " and row["c"] is None
 
 
+def test_csv_empty_quoted_and_blank_cells(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('\ufeffa,b,c,d\n1,,"","  "\n', encoding="utf-8")
+    df = RAW.read_raw(spark, str(tmp_path))
+    assert df.columns == ["a", "b", "c", "d"]
+    r = df.first()
+    assert (r["b"], r["c"], r["d"]) == (None, None, "  ")
+
+
 def test_failfast_rejects_malformed_csv(spark, tmp_path):
     p = tmp_path / "bad.csv"
     p.write_text('a,b\n1,2\n3,4,5\n"x\n')
