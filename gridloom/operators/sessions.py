@@ -90,6 +90,21 @@ def dedup_accepted(classified: DataFrame, raw_columns: Sequence[str],
     return type_sessions(accepted(classified).select(*raw_columns).dropDuplicates(), century_years)
 
 
+def unique_rows_by_key(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Exact dedup and key-conflict detection in ONE aggregation keyed by ``key``.
+
+    ``min`` and ``max`` of the row struct are computed per key (NULL fields
+    compare equal); they are equal iff every row of the key is the same row.
+    Partial aggregation collapses exact duplicates before the shuffle, and the
+    shuffle key is the narrow ``key``, instead of one shuffle on the whole row
+    plus another on the key. Returns ``columns..., _conflict``; where no key
+    conflicts, the rows are exactly ``dropDuplicates()`` of the input.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    agg = df.groupBy(key).agg(F.min(row).alias("_lo"), F.max(row).alias("_hi"))
+    return agg.select("_lo.*", (~F.col("_lo").eqNullSafe(F.col("_hi"))).alias("_conflict"))
+
+
 def clean_sessions(raw: DataFrame, century_years: Sequence[str] = C.DEFAULT_CENTURY_YEARS) -> DataFrame:
     """Accepted, exact-deduplicated sessions (raw + typed columns)."""
     return dedup_accepted(classify(type_sessions(raw, century_years)), raw.columns, century_years)

@@ -8,8 +8,9 @@ only recomputes the stage it was in. Scale decisions:
   structural errors (a pruned ``count`` would miss them);
 * classification runs once and is written partitioned by ``is_valid``: the
   quarantine and the accepted rows come from one scan of ODS;
-* exact duplicates are removed with a partial (map-side) aggregate; the
-  key-conflict guard reads one column of the written clean table;
+* exact duplicates are removed and conflicting session IDs detected by ONE
+  aggregation keyed by session_id (min/max of the row struct), with partial
+  (map-side) aggregation; the guard reads one boolean column of its output;
 * station metadata is joined with a size-checked broadcast (else shuffle join);
 * the twelve rollups are one GROUPING SETS aggregate, materialised once and
   reused for the long table, the per-dimension tables and the JSON document;
@@ -62,12 +63,17 @@ def build(spark: SparkSession, raw_paths: dict[str, str], root: str,
     cl = RAW.read_layer(spark, root, "dwd", "classified_sessions") \
         .withColumn("is_valid", F.col("is_valid").cast("boolean"))
     rejected = _w(S.rejected(cl), root, "dwd", "rejected_sessions")
-    clean = _w(S.dedup_accepted(cl, list(ods["sessions"].columns), century_years), root, "dwd", "clean_sessions")
-    S.require_unique(clean.select("session_id"), ["session_id"], "session IDs")
-
-    stations = S.dedup_stations(ods["stations"])
-    S.require_unique(stations.select("stationId"), ["stationId"], "station IDs")
-    stations = _w(stations, root, "dwd", "stations")
+    # exact dedup + session-ID conflict guard from one aggregation keyed by session_id
+    raw_cols = list(ods["sessions"].columns)
+    keyed = _w(S.unique_rows_by_key(S.accepted(cl), "session_id", raw_cols), root, "dwd", "clean_raw_sessions")
+    if keyed.filter("_conflict").limit(1).count():
+        raise S.KeyConflictError("Conflicting session IDs; refusing arbitrary deduplication")
+    clean = _w(S.type_sessions(keyed.drop("_conflict"), century_years), root, "dwd", "clean_sessions")
+
+    st = _w(S.unique_rows_by_key(ods["stations"], "stationId", ods["stations"].columns), root, "dwd", "stations_keyed")
+    if st.filter("_conflict").limit(1).count():
+        raise S.KeyConflictError("Conflicting station IDs")
+    stations = _w(st.drop("_conflict"), root, "dwd", "stations")
     parts = [partition_sessions_by] if partition_sessions_by else None
     dwd = _w(S.enrich(clean, stations), root, "dwd", "sessions", partition_by=parts)
     battery = _w(B.clean_battery(B.type_battery(ods["battery"])), root, "dwd", "battery")

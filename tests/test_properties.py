@@ -258,3 +258,16 @@ def test_forecast_payload_rejects_non_finite(spark):
     assert FC.payload_check(bad_doc).first()["ok"] is False
     empty = FC.forecast_payload(pts, bad.limit(0), F.lit("now"))
     assert FC.payload_check(empty).first()["ok"] in (False, None)
+
+
+def test_unique_rows_by_key_equals_drop_duplicates(spark):
+    w = Inputs(spark, MEDIUM)
+    cols = list(S.RAW_SESSION_COLUMNS)
+    keyed = S.unique_rows_by_key(w.accepted_rows, "session_id", cols)
+    assert keyed.filter("_conflict").count() == 0
+    a = keyed.drop("_conflict")
+    b = w.accepted_rows.select(*cols).dropDuplicates()
+    assert a.count() == b.count() == 9442 and a.exceptAll(b).count() == 0
+    conflicting = w.accepted_rows.select(*cols).limit(3).withColumn("platform", F.lit("other"))
+    both = w.accepted_rows.unionByName(S.type_sessions(conflicting, ("24",)))
+    assert S.unique_rows_by_key(both, "session_id", cols).filter("_conflict").count() == 3
