@@ -37,11 +37,16 @@ def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
        .csv(path))
 
 
+# Upper bound of rows per output file: keeps files of a partitioned layer
+# (e.g. one month written by many tasks) splittable and evenly sized.
+MAX_RECORDS_PER_FILE = 20_000_000
+
+
 def write_layer(df: DataFrame, root: str, layer: str, name: str, fmt: str = "parquet",
                 partition_by: list[str] | None = None) -> str:
     """Overwrite one table of a layer: idempotent reruns."""
     path = f"{root.rstrip('/')}/{layer}/{name}"
-    w = df.write.mode("overwrite").format(fmt)
+    w = df.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
