@@ -59,7 +59,7 @@ def dense_grid(spark: SparkSession, rollup: DataFrame, metric_cols: Sequence[str
         (F.col("id") / hours).cast("int").alias("_d"), (F.col("id") % hours).cast("int").alias("hour"))
     grid = grid.select((F.col("_d") + 1).alias("weekday"), "hour")
     r = rollup.select("weekday", "hour", *metric_cols)
-    out = grid.join(F.broadcast(r), ["weekday", "hour"], "left")
+    out = grid.join(F.broadcast(r), ["weekday", "hour"], "left")  # r: at most days × hours rows
     return out.select("weekday", "hour", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in metric_cols])
 
 

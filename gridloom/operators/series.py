@@ -107,6 +107,8 @@ def test_rows_by_fold(rows: DataFrame, fold_table: DataFrame, keys: Sequence[str
     lo = F.greatest(F.lit(0), F.ceil((p - start - horizon + 1) / F.lit(step)))
     hi = F.floor((p - start) / F.lit(step))
     cand = rows.filter(p >= start).withColumn("fold", F.explode(F.sequence(lo.cast("int"), hi.cast("int"))))
+    # one series: the fold table has ceil(days / step) rows, so it is broadcast;
+    # many series: a shuffle join on (keys, fold)
     j = cand.join(F.broadcast(fold_table) if not keys else fold_table, [*keys, "fold"])
     return j.filter((p >= F.col("train_end")) & (p < F.col("test_end")))
 

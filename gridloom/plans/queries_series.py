@@ -173,6 +173,7 @@ class Series:
     def forecast(self, days: int = HORIZON):
         fut = FC.future_frame(self.features, days, self.calendar)
         prof = FC.dow_ratio_profile(self.features)
+        # prof: 7 rows (one per weekday); ratios: one row per forecast day (<= 366)
         ratios = fut.join(F.broadcast(prof), "dow").select(SR.DATE, "ratio", "is_holiday")
         fc = FC.recursive_forecast(self.daily, ratios.select(SR.DATE, "ratio"))
         sm = FC.session_model(self.daily)
