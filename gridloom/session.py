@@ -25,6 +25,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("GRIDLOOM_DRIVER_MEMORY", "16g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    log_dir = os.environ.get("GRIDLOOM_EVENT_LOG_DIR")
+    if log_dir:  # Spark's event log, written to a scratch folder for offline stage metrics
+        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
