@@ -33,14 +33,17 @@ def raw_sessions(events: DataFrame) -> DataFrame:
     Duplicates are produced by exploding one or two copies per row, so the
     events table is scanned once.
     """
-    e = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    ts_text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    e, k, ts_text = F.col("event_id"), F.col("_k"), F.col("_ts_text")
     ended_ts = F.when(e % REVERSED_END_MOD == 0, F.timestamp_add("HOUR", F.lit(-1), F.col("ts"))) \
         .otherwise(F.timestamp_add("SECOND", (k + 1) * SECONDS_PER_K, F.col("ts")))
     copies = F.when(e % DUPLICATE_MOD == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    # The JSON field and the timestamp text are used several times: they are
+    # computed once in an inner projection (Catalyst does not inline an
+    # expensive expression that is referenced more than once).
     return (events
-            .select("event_id", "ts", "user_id", "event_type", "value", "props")
+            .select("event_id", "ts", "user_id", "event_type", "value",
+                    F.get_json_object("props", "$.k").cast("bigint").alias("_k"),
+                    F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("_ts_text"))
             .select(
                 F.when(e % BAD_ID_MOD == 0, F.concat(F.lit("x"), _text(e))).otherwise(_text(e)).alias("sessionId"),
                 F.when(e % NEG_ENERGY_MOD == 0, F.lit("-1.5"))
