@@ -104,13 +104,22 @@ def fit_predict(c: Candidate, train: DataFrame, test: DataFrame) -> DataFrame:
     raise ValueError(c.mode)
 
 
+MAX_FIT_WORKERS = 16
+
+
+def fit_workers(spark) -> int:
+    """Concurrent fits: one per core of the session, at most MAX_FIT_WORKERS
+    (the driver submits the jobs; executors run them)."""
+    return max(1, min(MAX_FIT_WORKERS, spark.sparkContext.defaultParallelism))
+
+
 def _parallel(tasks, workers: int):
     with ThreadPoolExecutor(max_workers=workers) as pool:
         return list(pool.map(lambda t: t(), tasks))
 
 
 def compare(rows: DataFrame, cands: Sequence[Candidate], start: int = SR.WF_START, step: int = SR.WF_STEP,
-            horizon: int = SR.WF_HORIZON, min_test: int = SR.WF_MIN_TEST, workers: int = 4) -> DataFrame:
+            horizon: int = SR.WF_HORIZON, min_test: int = SR.WF_MIN_TEST, workers: int | None = None) -> DataFrame:
     """Walk-forward fold MAE (mean, population std, count) and the final
     80/20 test MAE/RMSE/sMAPE for every candidate. ``rows`` carries ``pos``."""
     spark = rows.sparkSession
@@ -127,8 +136,9 @@ def compare(rows: DataFrame, cands: Sequence[Candidate], start: int = SR.WF_STAR
         tr, te = rows.filter(F.col("pos") < cut), rows.filter(F.col("pos") >= cut)
         tasks.append(lambda c=c, tr=tr, te=te: FC.metrics(fit_predict(c, tr, te), by=()).first())
         keys.append((c.name, "test", -1))
-    # each task returns one metrics row (a few numbers), never data rows
-    res = _parallel(tasks, workers)
+    # each task returns one metrics row (a few numbers), never data rows; a fit
+    # over one series is a handful of small tasks, so fits run side by side
+    res = _parallel(tasks, workers or fit_workers(spark))
     recs = [(name, kind, f, float(r["mae"]), float(r["rmse"]), float(r["smape"]))
             for (name, kind, f), r in zip(keys, res)]
     df = spark.createDataFrame(recs, "model string, kind string, fold int, mae double, rmse double, smape double")

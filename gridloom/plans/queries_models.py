@@ -11,10 +11,10 @@ from gridloom.plans.catalog import register, stable
 from gridloom.plans.queries_series import HORIZON, Series
 from gridloom.session import materialize
 
-# Query-time settings: fewer boosting rounds / trees than the defaults keep a
-# catalog run short; the library defaults are the full candidate settings.
-QUERY_GBT = dict(maxIter=30)
-QUERY_RF = dict(numTrees=60)
+# Queries fit the candidates with their full settings (models.GBT_PARAMS,
+# models.RF_PARAMS): no override.
+QUERY_GBT: dict = {}
+QUERY_RF: dict = {}
 # Walk-forward for the ML comparison: about six expanding folds over the series
 # (every fold is a model fit); the exact baselines use the full 21-row step.
 ML_FOLDS = 6
