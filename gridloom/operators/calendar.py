@@ -23,18 +23,18 @@ MAKEUP_WORKDAYS = ((5, 4), (10, 7))
 
 def calendar_from_years(years: DataFrame, holidays: Sequence[tuple] = HOLIDAYS,
                         makeup: Sequence[tuple] = MAKEUP_WORKDAYS) -> DataFrame:
-    """``cal_date, is_workday, holiday_name`` for every year in ``years`` (column ``year``)."""
-    hol = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d"), F.lit(n).alias("name"))
-                    for m, d, n in holidays])
-    mk = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d")) for m, d in makeup])
-    h = (years.select("year", F.explode(hol).alias("r"))
-         .select(F.make_date("year", "r.m", "r.d").alias("cal_date"), F.lit(False).alias("is_workday"),
-                 F.col("r.name").alias("holiday_name")))
-    w = (years.select("year", F.explode(mk).alias("r"))
-         .select(F.make_date("year", "r.m", "r.d").alias("cal_date"))
-         .filter(C.dow0("cal_date") >= 5)
-         .select("cal_date", F.lit(True).alias("is_workday"), F.lit(None).cast("string").alias("holiday_name")))
-    return h.unionByName(w)
+    """``cal_date, is_workday, holiday_name`` for every year in ``years`` (column ``year``).
+
+    Holidays and make-up workdays are one rule array, exploded in a single
+    pass over ``years``; a make-up day is listed only when it falls on a weekend.
+    """
+    rules = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d"), F.lit(False).alias("work"),
+                               F.lit(n).alias("name")) for m, d, n in holidays],
+                    *[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d"), F.lit(True).alias("work"),
+                               F.lit(None).cast("string").alias("name")) for m, d in makeup])
+    days = years.select(F.explode(rules).alias("r"), F.make_date("year", "r.m", "r.d").alias("cal_date"))
+    return (days.filter(~F.col("r.work") | (C.dow0("cal_date") >= 5))
+            .select("cal_date", F.col("r.work").alias("is_workday"), F.col("r.name").alias("holiday_name")))
 
 
 def calendar_for(series: DataFrame, date_col: str = "stat_date", extra_years: int = 1) -> DataFrame:

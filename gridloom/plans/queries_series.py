@@ -13,7 +13,7 @@ from gridloom.operators import series as SR
 from gridloom.plans import oracle_sql as O
 from gridloom.plans.catalog import register, stable
 from gridloom.plans.inputs import Inputs
-from gridloom.session import scratch_path
+from gridloom.session import materialize, scratch_path
 from gridloom.sources import raw as RAW
 
 HORIZON = 7
@@ -154,14 +154,17 @@ class Series:
     def __init__(self, spark, sf_dir):
         self.w = Inputs(spark, sf_dir)
         self.spark = spark
-        self.daily = SR.daily_series(self.w.order_sessions)
+        # The daily series (one row per day) is written once to the shared
+        # folder: the forecast branches (tail, profile, future frame, session
+        # model, calendar years) read it instead of rescanning the orders.
+        self.daily = materialize(SR.daily_series(self.w.order_sessions))
         self.calendar = CAL.calendar_for(self.daily)
         self.features = FE.build_features(self.daily, self.calendar)
         self.rows = FE.experiment_rows(self.features)
         self.split_rows = SR.time_split(self.rows)
 
     def panel(self):
-        d = SR.daily_series(self.w.order_sessions, PANEL_KEYS)
+        d = materialize(SR.daily_series(self.w.order_sessions, PANEL_KEYS))
         return d, FE.build_features(d, CAL.calendar_for(d), PANEL_KEYS)
 
     def naive(self):
