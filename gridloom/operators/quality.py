@@ -74,18 +74,34 @@ def snapshot_check(long: DataFrame, total: DataFrame,
 
 
 def quality_counters(classified: DataFrame, accepted_sessions: DataFrame,
-                     sources: Mapping[str, DataFrame], battery_accepted: DataFrame) -> DataFrame:
-    """F10 as a long table ``metric, value``: each counter is one aggregate over
-    its own table; duplicates = source − accepted − rejected."""
+                     sources: Mapping[str, DataFrame], battery_accepted: DataFrame | None = None,
+                     battery_classified: DataFrame | None = None) -> DataFrame:
+    """F10 as a long table ``metric, value``; duplicates = source − accepted − rejected.
+
+    Classification keeps one row per source row, so the session source count
+    and the rejected count come from one aggregate over ``classified``. With
+    ``battery_classified`` (typed telemetry with ``is_valid``) the battery
+    source and accepted counts are one aggregate too; otherwise they are
+    counted from ``sources['battery']`` and ``battery_accepted``. Every other
+    source is counted from ``sources``.
+    """
     cl = classified.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_valid")).alias("rej"))
     acc = accepted_sessions.agg(F.count(F.lit(1)).alias("acc"))
-    parts = [cl.select(F.lit("rejected_sessions").alias("metric"), F.col("rej").alias("value")),
-             acc.select(F.lit("accepted_sessions").alias("metric"), F.col("acc").alias("value")),
-             battery_accepted.agg(F.count(F.lit(1)).alias("value"))
-             .select(F.lit("battery_accepted").alias("metric"), "value")]
+
+    def metric(df: DataFrame, name: str, value: str = "value") -> DataFrame:
+        return df.select(F.lit(name).alias("metric"), F.col(value).alias("value"))
+
+    parts = [metric(cl, "source_rows.sessions", "n"), metric(cl, "rejected_sessions", "rej"),
+             metric(acc, "accepted_sessions", "acc")]
+    if battery_classified is not None:
+        bt = battery_classified.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_valid").alias("ok"))
+        parts += [metric(bt, "source_rows.battery", "n"), metric(bt, "battery_accepted", "ok")]
+    else:
+        parts += [metric(sources["battery"].agg(F.count(F.lit(1)).alias("value")), "source_rows.battery"),
+                  metric(battery_accepted.agg(F.count(F.lit(1)).alias("value")), "battery_accepted")]
     for name, src in sources.items():
-        parts.append(src.agg(F.count(F.lit(1)).alias("value"))
-                     .select(F.lit(f"source_rows.{name}").alias("metric"), "value"))
+        if name not in ("sessions", "battery"):
+            parts.append(metric(src.agg(F.count(F.lit(1)).alias("value")), f"source_rows.{name}"))
     # duplicates_removed from the same aggregates (no extra scan)
     dup = (cl.withColumn("_k", F.lit(1)).join(F.broadcast(acc.withColumn("_k", F.lit(1))), "_k")
            .select(F.lit("duplicates_removed").alias("metric"),

@@ -22,12 +22,22 @@ def type_battery(raw: DataFrame) -> DataFrame:
          - C.safe_double(F.col("`min_cell_voltage (V)`"))).alias("voltage_spread"))
 
 
+def valid_battery() -> F.Column:
+    """F3 accept rule; an unknown result (NULL field) counts as invalid."""
+    return F.coalesce(F.col("session_id").isNotNull()
+                      & F.col("soc").between(*SOC_RANGE)
+                      & F.col("temperature").between(*TEMPERATURE_RANGE)
+                      & F.col("voltage_spread").between(*SPREAD_RANGE), F.lit(False))
+
+
+def classify_battery(typed: DataFrame) -> DataFrame:
+    """Typed telemetry with ``is_valid`` (one row per source row)."""
+    return typed.withColumn("is_valid", valid_battery())
+
+
 def clean_battery(typed: DataFrame) -> DataFrame:
     """Out-of-range rows are dropped (not quarantined)."""
-    return typed.filter(F.col("session_id").isNotNull()
-                        & F.col("soc").between(*SOC_RANGE)
-                        & F.col("temperature").between(*TEMPERATURE_RANGE)
-                        & F.col("voltage_spread").between(*SPREAD_RANGE))
+    return typed.filter(valid_battery())
 
 
 def battery_bands(clean: DataFrame) -> DataFrame:

@@ -167,9 +167,8 @@ UNION ALL SELECT 'duplicates_removed',
 """))
 def quality_counters(spark, sf_dir):
     w = _w(spark, sf_dir)
-    return Q.quality_counters(w.classified, w.dwd,
-                              {"sessions": w.raw_sessions, "battery": w.raw_battery, "stations": w.raw_stations},
-                              w.battery)
+    return Q.quality_counters(w.classified, w.dwd, {"stations": w.raw_stations},
+                              battery_classified=B.classify_battery(B.type_battery(w.raw_battery)))
 
 
 # ---------------------------------------------------------------- join
@@ -367,8 +366,7 @@ def _document(spark, sf_dir):
     dwd = materialize(S.enrich(S.dedup_accepted(cl, list(S.RAW_SESSION_COLUMNS), FIXTURE_CENTURY_YEARS),
                                w.stations))
     battery = materialize(w.battery)
-    ql = Q.quality_counters(cl, dwd, {"sessions": w.raw_sessions, "battery": w.raw_battery,
-                                      "stations": w.raw_stations}, battery)
+    ql = Q.quality_counters(cl, dwd, {"battery": w.raw_battery, "stations": w.raw_stations}, battery)
     gen = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     return materialize(P.dashboard_document(dwd, battery, ql, gen))
 
