@@ -365,8 +365,10 @@ def _document(spark, sf_dir):
     from gridloom.sources.fixtures import FIXTURE_CENTURY_YEARS
     dwd = materialize(S.enrich(S.dedup_accepted(cl, list(S.RAW_SESSION_COLUMNS), FIXTURE_CENTURY_YEARS),
                                w.stations))
-    battery = materialize(w.battery)
-    ql = Q.quality_counters(cl, dwd, {"battery": w.raw_battery, "stations": w.raw_stations}, battery)
+    # telemetry flagged once: the clean table and both battery counters come from it
+    battery_cl = materialize(B.classify_battery(B.type_battery(w.raw_battery)))
+    battery = battery_cl.filter("is_valid").drop("is_valid")
+    ql = Q.quality_counters(cl, dwd, {"stations": w.raw_stations}, battery_classified=battery_cl)
     gen = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     return materialize(P.dashboard_document(dwd, battery, ql, gen))
 
