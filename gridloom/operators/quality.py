@@ -85,28 +85,31 @@ def quality_counters(classified: DataFrame, accepted_sessions: DataFrame,
     counted from ``sources['battery']`` and ``battery_accepted``. Every other
     source is counted from ``sources``.
     """
-    cl = classified.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_valid")).alias("rej"))
-    acc = accepted_sessions.agg(F.count(F.lit(1)).alias("acc"))
-
-    def metric(df: DataFrame, name: str, value: str = "value") -> DataFrame:
-        return df.select(F.lit(name).alias("metric"), F.col(value).alias("value"))
-
-    parts = [metric(cl, "source_rows.sessions", "n"), metric(cl, "rejected_sessions", "rej"),
-             metric(acc, "accepted_sessions", "acc")]
+    # One single-row aggregate per table, each computed once; the rows are
+    # combined on a constant key (1 x 1 rows) and unpivoted into the long table.
+    # (A union of per-metric branches would re-scan a table per metric: Spark
+    # prunes each branch differently, so their exchanges cannot be reused.)
+    one = [classified.agg(F.count(F.lit(1)).alias("source_sessions"),
+                          F.count_if(~F.col("is_valid")).alias("rejected_sessions")),
+           accepted_sessions.agg(F.count(F.lit(1)).alias("accepted_sessions"))]
     if battery_classified is not None:
-        bt = battery_classified.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_valid").alias("ok"))
-        parts += [metric(bt, "source_rows.battery", "n"), metric(bt, "battery_accepted", "ok")]
+        one.append(battery_classified.agg(F.count(F.lit(1)).alias("source_battery"),
+                                          F.count_if("is_valid").alias("battery_accepted")))
     else:
-        parts += [metric(sources["battery"].agg(F.count(F.lit(1)).alias("value")), "source_rows.battery"),
-                  metric(battery_accepted.agg(F.count(F.lit(1)).alias("value")), "battery_accepted")]
-    for name, src in sources.items():
-        if name not in ("sessions", "battery"):
-            parts.append(metric(src.agg(F.count(F.lit(1)).alias("value")), f"source_rows.{name}"))
-    # duplicates_removed from the same aggregates (no extra scan)
-    dup = (cl.withColumn("_k", F.lit(1)).join(F.broadcast(acc.withColumn("_k", F.lit(1))), "_k")
-           .select(F.lit("duplicates_removed").alias("metric"),
-                   (F.col("n") - F.col("acc") - F.col("rej")).alias("value")))
-    out = parts[0]
-    for p in parts[1:] + [dup]:
-        out = out.unionByName(p)
-    return out
+        one += [sources["battery"].agg(F.count(F.lit(1)).alias("source_battery")),
+                battery_accepted.agg(F.count(F.lit(1)).alias("battery_accepted"))]
+    others = [n for n in sources if n not in ("sessions", "battery")]
+    one += [sources[n].agg(F.count(F.lit(1)).alias(f"source_{n}")) for n in others]
+    row = one[0].withColumn("_k", F.lit(1))
+    for part in one[1:]:
+        row = row.join(F.broadcast(part.withColumn("_k", F.lit(1))), "_k")
+    metrics = [("rejected_sessions", F.col("rejected_sessions")),
+               ("accepted_sessions", F.col("accepted_sessions")),
+               ("battery_accepted", F.col("battery_accepted")),
+               ("source_rows.sessions", F.col("source_sessions")),
+               ("source_rows.battery", F.col("source_battery")),
+               *[(f"source_rows.{n}", F.col(f"source_{n}")) for n in others],
+               ("duplicates_removed",
+                F.col("source_sessions") - F.col("accepted_sessions") - F.col("rejected_sessions"))]
+    return row.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), v.cast("bigint").alias("value"))
+                                          for m, v in metrics])).alias("r")).select("r.*")
