@@ -271,3 +271,22 @@ def test_unique_rows_by_key_equals_drop_duplicates(spark):
     conflicting = w.accepted_rows.select(*cols).limit(3).withColumn("platform", F.lit("other"))
     both = w.accepted_rows.unionByName(S.type_sessions(conflicting, ("24",)))
     assert S.unique_rows_by_key(both, "session_id", cols).filter("_conflict").count() == 3
+
+
+def test_quality_counters_one_pass_equals_separate_counts(spark):
+    """Battery counters from the flagged telemetry (one aggregate) equal the
+    counts of the raw and the clean telemetry; the session source count from
+    the classification equals the raw row count."""
+    from gridloom.operators import quality as Q
+    from gridloom.operators import telemetry as B
+    w = Inputs(spark, SMALL)
+    one = Q.quality_counters(w.classified, w.dwd, {"stations": w.raw_stations},
+                             battery_classified=B.classify_battery(B.type_battery(w.raw_battery)))
+    sep = Q.quality_counters(w.classified, w.dwd, {"sessions": w.raw_sessions, "battery": w.raw_battery,
+                                                   "stations": w.raw_stations}, w.battery)
+    a = {r["metric"]: r["value"] for r in one.collect()}
+    b = {r["metric"]: r["value"] for r in sep.collect()}
+    assert a == b
+    assert a["source_rows.sessions"] == w.raw_sessions.count()
+    assert a["source_rows.battery"] == w.raw_battery.count() and a["battery_accepted"] == w.battery.count()
+    assert a["duplicates_removed"] == a["source_rows.sessions"] - a["accepted_sessions"] - a["rejected_sessions"]
