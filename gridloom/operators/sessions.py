@@ -86,8 +86,17 @@ def dedup_accepted(classified: DataFrame, raw_columns: Sequence[str],
     Typed columns are functions of the raw text, so deduplicating the raw
     columns alone gives the same rows while the shuffled row stays narrow;
     the re-typing runs after the shuffle, spread over all partitions.
+
+    ``is_valid`` is a function of the raw text as well, so it is carried
+    through the aggregation (``bool_or`` of equal values) and the accepted
+    rows are kept after it. Filtering first would let Catalyst push the
+    predicate below the typing projection and inline every typed expression
+    into it once per reference (parsing each text several times per row);
+    after the aggregate the predicate is a plain boolean column. Rejected rows
+    (a small share) are shuffled too, already collapsed map-side.
     """
-    return type_sessions(accepted(classified).select(*raw_columns).dropDuplicates(), century_years)
+    g = classified.groupBy(*raw_columns).agg(F.bool_or("is_valid").alias("_valid"))
+    return type_sessions(g.filter("_valid").drop("_valid"), century_years)
 
 
 def unique_rows_by_key(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
