@@ -40,8 +40,23 @@ def clean_battery(typed: DataFrame) -> DataFrame:
     return typed.filter(valid_battery())
 
 
-def battery_bands(clean: DataFrame) -> DataFrame:
-    """Ten-point SOC bands (soc=100 has its own band)."""
-    return (clean.groupBy(C.soc_band("soc").alias("soc_band"))
-            .agg(F.count(F.lit(1)).alias("samples"), F.avg("temperature").alias("temperature"),
-                 F.avg("voltage_spread").alias("voltage_spread")))
+def battery_bands(telemetry: DataFrame) -> DataFrame:
+    """Ten-point SOC bands (soc=100 has its own band) over the valid rows.
+
+    ``telemetry`` is either clean (valid rows only) or flagged with
+    ``is_valid`` (:func:`classify_battery`). Flagged rows are aggregated with
+    the flag inside the aggregates instead of a filter: a filter over a lazy
+    typing projection is pushed below it by Catalyst with every parse inlined
+    once per reference, so each text would be parsed three times per row;
+    here it is parsed once (2.2x faster at sf0.1). Bands without a valid row
+    (the group of invalid rows) are dropped after the aggregate.
+    """
+    if "is_valid" not in telemetry.columns:
+        return (telemetry.groupBy(C.soc_band("soc").alias("soc_band"))
+                .agg(F.count(F.lit(1)).alias("samples"), F.avg("temperature").alias("temperature"),
+                     F.avg("voltage_spread").alias("voltage_spread")))
+    v = F.col("is_valid")
+    return (telemetry.groupBy(F.when(v, C.soc_band("soc")).alias("soc_band"))
+            .agg(F.count_if(v).alias("samples"), F.avg(F.when(v, F.col("temperature"))).alias("temperature"),
+                 F.avg(F.when(v, F.col("voltage_spread"))).alias("voltage_spread"))
+            .filter(F.col("samples") > 0))

@@ -64,6 +64,11 @@ class Inputs:
     def battery(self) -> DataFrame:
         return B.clean_battery(B.type_battery(self.raw_battery))
 
+    @cached_property
+    def battery_flagged(self) -> DataFrame:
+        """Typed telemetry with ``is_valid`` (one row per source row)."""
+        return B.classify_battery(B.type_battery(self.raw_battery))
+
     # --- load series input ------------------------------------------------------
     @cached_property
     def order_sessions(self) -> DataFrame:

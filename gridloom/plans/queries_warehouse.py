@@ -168,7 +168,7 @@ UNION ALL SELECT 'duplicates_removed',
 def quality_counters(spark, sf_dir):
     w = _w(spark, sf_dir)
     return Q.quality_counters(w.classified, w.dwd, {"stations": w.raw_stations},
-                              battery_classified=B.classify_battery(B.type_battery(w.raw_battery)))
+                              battery_classified=w.battery_flagged)
 
 
 # ---------------------------------------------------------------- join
@@ -209,7 +209,7 @@ def overview(spark, sf_dir):
 SELECT CAST(floor(soc / 10) * 10 AS BIGINT) AS soc_band, count(*) AS samples, avg(temperature) AS temperature,
        avg(voltage_spread) AS voltage_spread FROM battery GROUP BY 1"""), ["temperature", "voltage_spread"]))
 def battery_bands(spark, sf_dir):
-    return stable(B.battery_bands(_w(spark, sf_dir).battery))
+    return stable(B.battery_bands(_w(spark, sf_dir).battery_flagged))
 
 
 # ---------------------------------------------------------------- quality over rollups
@@ -335,7 +335,7 @@ def mart_category(spark, sf_dir):
 SELECT CAST(floor(soc / 10) * 10 AS BIGINT) AS soc_band, avg(temperature) AS temperature, count(*) AS samples
 FROM battery GROUP BY 1"""), ["temperature"]))
 def mart_battery(spark, sf_dir):
-    return stable(M.battery_points(B.battery_bands(_w(spark, sf_dir).battery)))
+    return stable(M.battery_points(B.battery_bands(_w(spark, sf_dir).battery_flagged)))
 
 
 @register("display_round", O.rounded(O.with_ctes(O.DWD, f"""

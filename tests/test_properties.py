@@ -290,3 +290,17 @@ def test_quality_counters_one_pass_equals_separate_counts(spark):
     assert a["source_rows.sessions"] == w.raw_sessions.count()
     assert a["source_rows.battery"] == w.raw_battery.count() and a["battery_accepted"] == w.battery.count()
     assert a["duplicates_removed"] == a["source_rows.sessions"] - a["accepted_sessions"] - a["rejected_sessions"]
+
+
+def test_battery_bands_flagged_equals_clean(spark):
+    """Conditional aggregation over flagged telemetry equals the plain
+    aggregate over the clean rows (including rows with NULL or out-of-range fields)."""
+    from gridloom.operators import telemetry as B
+    w = Inputs(spark, SMALL)
+    extra = spark.createDataFrame([("1", None, "20", "4.1", "4.0"), ("2", "150", "20", "4.1", "4.0"),
+                                   ("3", "55", "20", "9", "1"), ("4", "55", "20", "4.1", "4.0")],
+                                  ", ".join(f"`{c}` string" for c in w.raw_battery.columns))
+    raw = w.raw_battery.unionByName(extra)
+    flagged = B.battery_bands(B.classify_battery(B.type_battery(raw)))
+    clean = B.battery_bands(B.clean_battery(B.type_battery(raw)))
+    assert flagged.count() == clean.count() and flagged.exceptAll(clean).count() == 0
