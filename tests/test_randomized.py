@@ -7,7 +7,6 @@ from datetime import datetime
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from gridloom.operators import sessions as S
 
