@@ -48,6 +48,11 @@ def classify(typed: DataFrame) -> DataFrame:
 
 
 def accepted(classified: DataFrame) -> DataFrame:
+    """Rows with ``is_valid``. Over a lazy classification Catalyst pushes this
+    filter below the typing projection and inlines the typed expressions into
+    it, so each text is parsed more than once per row; when both outputs are
+    needed, write the classification once partitioned by ``is_valid`` (as the
+    job does) and filter the read, which prunes partitions instead."""
     return classified.filter("is_valid").drop("is_valid")
 
 
