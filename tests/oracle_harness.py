@@ -2,6 +2,7 @@
 column names/types and order-insensitive values.
 
 CLI: ``python tests/oracle_harness.py [sf_dir] [name ...]``
+(``ORACLE_EXACT=1`` compares doubles exactly).
 """
 from __future__ import annotations
 
@@ -37,11 +38,16 @@ def _norm_type(t: pa.DataType) -> str:
     return str(t)
 
 
+# ORACLE_EXACT=1 compares doubles bit for bit (as a value hash would);
+# by default they are compared at 9 decimals.
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm_val(v):
     if isinstance(v, float):
         if math.isnan(v):
             return ("nan",)
-        return round(v, 9)
+        return v if EXACT else round(v, 9)
     if isinstance(v, list):
         return tuple(_norm_val(x) for x in v)
     if isinstance(v, dict):
