@@ -205,7 +205,8 @@ DAILY_COLS = ["total_kwh", "total_fee"]
 # ------------------------------------------------------------------ A16, S6, S13, F7, F15
 @register("daily_series", sql("SELECT * FROM daily", DAILY_COLS))
 def daily_series(spark, sf_dir):
-    return stable(_s(spark, sf_dir).daily)
+    # one consumer: the aggregate itself, without the shared materialised copy
+    return stable(SR.daily_series(Inputs(spark, sf_dir).order_sessions))
 
 
 @register("panel_series", sql("""
@@ -307,7 +308,7 @@ _CAL_COLS = ["dow", "is_weekend", "month"] + [f"dow_{k}" for k in range(7)]
 
 @register("calendar_features", sql(f"SELECT stat_date, {', '.join(_CAL_COLS)} FROM feat"))
 def calendar_features(spark, sf_dir):
-    d = _s(spark, sf_dir).daily
+    d = SR.daily_series(Inputs(spark, sf_dir).order_sessions)   # one consumer
     return d.select(SR.DATE, *C.calendar_feature_columns(SR.DATE))
 
 
