@@ -4,7 +4,7 @@ The forecasting target is the ratio of a day's energy to its 14-row anchor
 (plain or log), so trees learn weekday / holiday effects while the anchor
 carries the trend. Each fit is a Spark ML job over the feature rows; folds
 train on ``pos < train_end`` filters of the same table (no cross join), and
-independent fits are submitted from a small thread pool so they overlap.
+independent fits are submitted from a thread pool (one per core) so they overlap.
 """
 from __future__ import annotations
 

@@ -11,10 +11,6 @@ from gridloom.plans.catalog import register, stable
 from gridloom.plans.queries_series import HORIZON, Series
 from gridloom.session import materialize
 
-# Queries fit the candidates with their full settings (models.GBT_PARAMS,
-# models.RF_PARAMS): no override.
-QUERY_GBT: dict = {}
-QUERY_RF: dict = {}
 # Walk-forward for the ML comparison: about six expanding folds over the series
 # (every fold is a model fit); the exact baselines use the full 21-row step.
 ML_FOLDS = 6
@@ -28,7 +24,7 @@ def _split(s: Series):
 
 
 def _candidate(name):
-    return next(c for c in MD.candidates(QUERY_GBT, QUERY_RF) if c.name == name)
+    return next(c for c in MD.candidates() if c.name == name)
 
 
 def _test_metrics(name):
@@ -47,7 +43,7 @@ for _q, _c in (("ridge_trend", "lin_trend"), ("gbt_ratio", "gbr_ratio14"), ("gbt
 @register("gbt_logratio")
 def gbt_logratio(spark, sf_dir):
     """M1: the deployed log-ratio model's test metrics next to the 14-row mean."""
-    report, _ = MD.train_deployed(Series(spark, sf_dir).rows, QUERY_GBT)
+    report, _ = MD.train_deployed(Series(spark, sf_dir).rows)
     return stable(report)
 
 
@@ -57,7 +53,7 @@ def model_compare(spark, sf_dir):
     rows = materialize(Series(spark, sf_dir).rows)
     n = rows.count()
     step = max(SR.WF_STEP, -(-(n - SR.WF_START - SR.WF_MIN_TEST + 1) // ML_FOLDS))
-    return stable(MD.compare(rows, MD.candidates(QUERY_GBT, QUERY_RF), step=step))
+    return stable(MD.compare(rows, MD.candidates(), step=step))
 
 
 @register("gbt_forecast")
@@ -66,7 +62,7 @@ def gbt_forecast(spark, sf_dir):
     next days recursively, estimate sessions (report rows as in the CSV copy)."""
     from gridloom.session import scratch_path
     s = Series(spark, sf_dir)
-    _, bundle = MD.train_deployed(s.rows, QUERY_GBT)
+    _, bundle = MD.train_deployed(s.rows)
     path = scratch_path(spark, "model")
     bundle.save(spark, path)
     bundle = MD.Bundle.load(spark, path)
@@ -85,5 +81,5 @@ def forecast_job(spark, sf_dir):
     from gridloom.plans import forecasting as FJ
     from gridloom.session import scratch_path
     s = Series(spark, sf_dir)
-    res = FJ.run(spark, s.daily, scratch_path(spark, "forecast-job"), HORIZON, QUERY_GBT, s.calendar)
+    res = FJ.run(spark, s.daily, scratch_path(spark, "forecast-job"), HORIZON, calendar=s.calendar)
     return res.report
