@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +34,14 @@ def text_bytes(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit("")).cast("binary")
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """A column name that df does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over 64 output bits."""
     with np.errstate(over="ignore"):
@@ -128,26 +135,3 @@ def slices(texts: list[bytes], target: int = CHUNK_BYTES) -> Iterator[tuple[int,
         size += len(text) + 1
     if at < len(texts):
         yield at, len(texts)
-
-
-def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
-
-
-def map_texts(df: DataFrame, work, schema: str, *keep: str, text: str = "text") -> DataFrame:
-    """Apply ``work(texts, kept columns)`` to chunks of df; it returns a dict of columns.
-
-    ``text`` is handed over as a list of UTF-8 bytes, ``keep`` as Arrow arrays.
-    """
-    from pyspark.sql.types import _parse_datatype_string
-    from pyspark.sql.pandas.types import to_arrow_schema
-    out = to_arrow_schema(_parse_datatype_string(schema))
-
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            for lo, hi in slices(texts):
-                kept = {c: batch.column(i).slice(lo, hi - lo) for i, c in enumerate(keep)}
-                yield batch_of(out, **work(texts[lo:hi], kept))
-
-    return df.select(*keep, text_bytes(text).alias("text")).mapInArrow(run, schema)

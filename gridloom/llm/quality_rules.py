@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import Chunk, slices, text_bytes
+from gridloom.llm.common import Chunk, slices, text_bytes, unused
 
 #: Words of a window that counts as repeated inside one text.
 REPEAT_WINDOW = 8
@@ -197,9 +197,7 @@ def ablations(entries: DataFrame, policy: Policy = CURRENT) -> DataFrame:
 
 def keep_good(docs: DataFrame, policy: Policy = CURRENT) -> DataFrame:
     """The documents that the policy keeps, with all their columns, in one pass without a shuffle."""
-    m = "_measured"
-    while m in docs.columns:
-        m += "_"
+    m = unused("_measured", docs)
     mask = policy.mask | POLICIES["base"].mask
     return (docs.withColumn(m, measured(text_bytes()))
             .filter(failure_bits(m).bitwiseAND(F.lit(mask)) == 0).drop(m))
