@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import html_text, mixing, pii, quality_rules, rlz, sharding, warc
+from gridloom.llm import (decontaminate, html_text, mixing, near_dup, pii, quality_model, quality_rules, rlz,
+                          sharding, warc)
 from gridloom.llm.common import table
 from gridloom.llm.oracles import ORACLES  # noqa: F401
 from gridloom.session import scratch_path
@@ -27,6 +28,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document and benchmark item that it holds, with the edits between them."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per copy of a document in the mix, with the weight of its source."""
     mixed = mixing.mix_with_plan(table(spark, sf_dir, "documents"))
@@ -43,11 +49,23 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by a model of the labels outside the held-out third."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_model.score(docs, quality_model.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document, and whether it stands for the class."""
+    found = near_dup.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("is_kept"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of every document after repeated 13-word windows are removed."""
     return rlz.remove_duplicate_spans(table(spark, sf_dir, "documents"))
@@ -59,5 +77,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_sharding, op4_mixing, op5_warc, op7_html_extraction,
-                            op9_substring_dedup, op10_pii)}
+    f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_decontamination, op4_mixing, op5_warc,
+                            op6_quality_classifier, op7_html_extraction, op8_order_minhash, op9_substring_dedup,
+                            op10_pii)}
