@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import mixing, quality_rules, sharding
+from gridloom.llm import decontaminate, mixing, near_dup, quality_rules, sharding
 from gridloom.llm.common import table
 from gridloom.session import materialize
 
@@ -20,6 +20,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return near_dup.keep_one(docs)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once at least, those of small sources again up to their weight."""
     return mixing.mix(docs)
@@ -30,7 +40,8 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(docs, SHARDS)
 
 
-STAGES = [("quality_rules", quality), ("mixing", mixed), ("sharding", sharded)]
+STAGES = [("quality_rules", quality), ("near_dedup", unique), ("decontamination", clean),
+          ("mixing", mixed), ("sharding", sharded)]
 
 #: Alignment, edit verification and the exponent's bisection are beyond SQL.
 ORACLE_SQL = None
