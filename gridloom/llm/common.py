@@ -29,6 +29,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that one Arrow batch hands to a Python worker; texts may be long.
+BATCH_ROWS = 512
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """The same rows, in a session whose Arrow batches hold ``BATCH_ROWS`` rows at most."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(name, "0"))
+    if not 0 < now <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def text_bytes(col: str = "text") -> Column:
     """UTF-8 bytes of a text column; a null text counts as empty."""
     return F.coalesce(F.col(col), F.lit("")).cast("binary")

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import Chunk, _spans, mix, slices
+from gridloom.llm.common import Chunk, _spans, bound_batches, mix, slices
 
 #: Share of an item's words that may be edited.
 MAX_EDITS = 0.15
@@ -333,7 +333,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row per document and benchmark item that it holds."""
     out = None
     for items in item_blocks(benchmark):
-        found = (docs.select("doc_id", F.explode(matches(F.col("text"), items)).alias("m")).select("doc_id", "m.*"))
+        found = (bound_batches(docs).select("doc_id", F.explode(matches(F.col("text"), items)).alias("m")).select("doc_id", "m.*"))
         out = found if out is None else out.unionByName(found)
     if out is None:
         empty = F.from_json(F.lit("[]"), MATCHES)
@@ -344,5 +344,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a benchmark passage, with all their columns; no shuffle."""
     for items in item_blocks(benchmark):
-        docs = docs.filter(F.size(matches(F.col("text"), items)) == 0)
+        docs = bound_batches(docs).filter(F.size(matches(F.col("text"), items)) == 0)
     return docs

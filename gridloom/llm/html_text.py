@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import bound_batches
+
 # Element names of HTML and words that mark boilerplate.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noframes".split())
@@ -246,5 +248,5 @@ def extract_batch(pages: pd.Series) -> pd.Series:
 def extract_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page; no shuffle."""
     text = F.pandas_udf(extract_batch, "string")(F.coalesce(F.col("html"), F.lit("")))
-    return (pages.select("page_id", "url", text.alias("text"))
+    return (bound_batches(pages).select("page_id", "url", text.alias("text"))
             .select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")))

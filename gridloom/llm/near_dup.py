@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import Chunk, mix, slices, text_bytes, unused
+from gridloom.llm.common import Chunk, bound_batches, mix, slices, text_bytes, unused
 from gridloom.llm.components import components
 from gridloom.session import materialize
 
@@ -280,7 +280,7 @@ def _open_links(members: DataFrame, parts: DataFrame, texts: DataFrame) -> DataF
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, copy key and class_id of every row of docs."""
-    rows = sketches(docs.select("doc_id", "text"))
+    rows = sketches(bound_batches(docs).select("doc_id", "text"))
     nodes = (rows.filter("doc_id IS NOT NULL").groupBy("copy").agg(F.min("doc_id").alias("node")))
     # One row per distinct text: the rows of its smallest doc_id.
     chosen = materialize(rows.join(nodes, (rows["copy"] == nodes["copy"]) & (rows["doc_id"] == nodes["node"]))

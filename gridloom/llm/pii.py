@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import bound_batches
+
 KINDS = ("email", "ip", "card", "phone")
 
 # Patterns of the kinds.
@@ -232,7 +234,7 @@ def found(text: Column) -> Column:
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """One row per document with counts of base spans, their digest and all spans; no shuffle."""
-    return docs.select("doc_id", found(F.col("text")).alias("p")).select("doc_id", "p.*")
+    return bound_batches(docs).select("doc_id", found(F.col("text")).alias("p")).select("doc_id", "p.*")
 
 
 def redact(docs: DataFrame, mask: str = "[{kind}]") -> DataFrame:
@@ -240,7 +242,7 @@ def redact(docs: DataFrame, mask: str = "[{kind}]") -> DataFrame:
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else redact_text(t, mask))
 
-    return docs.withColumn("text", F.pandas_udf(run, "string")(F.col("text")))
+    return bound_batches(docs).withColumn("text", F.pandas_udf(run, "string")(F.col("text")))
 
 
 def redact_text(text: str, mask: str = "[{kind}]") -> str:

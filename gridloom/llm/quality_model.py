@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import Chunk, mix, slices, text_bytes
+from gridloom.llm.common import Chunk, bound_batches, mix, slices, text_bytes
 
 PASSAGE, MOST_PASSAGES = 64, 64
 #: Labelled documents of each class that the model is fitted on, at most.
@@ -193,7 +193,7 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 .orderBy("order", "doc_id").limit(PER_CLASS).drop("order"))
         picked = some if picked is None else picked.unionByName(some)
     bag = F.pandas_udf(_bag_batch, "binary")
-    return (docs.select("doc_id", text_bytes().alias("text")).join(F.broadcast(picked), "doc_id")
+    return (bound_batches(docs).select("doc_id", text_bytes().alias("text")).join(F.broadcast(picked), "doc_id")
             .select("doc_id", "quality", bag("text").alias("rows")))
 
 
@@ -227,5 +227,5 @@ def scored(text: Column, model: Model) -> Column:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score and predicted label of every document; no shuffle."""
-    return (docs.select("doc_id", held_out().alias("held_out"), scored(text_bytes(), model).alias("score"))
+    return (bound_batches(docs).select("doc_id", held_out().alias("held_out"), scored(text_bytes(), model).alias("score"))
             .withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)))

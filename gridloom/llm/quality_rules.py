@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import Chunk, slices, text_bytes, unused
+from gridloom.llm.common import Chunk, bound_batches, slices, text_bytes, unused
 
 #: Words of a window that counts as repeated inside one text.
 REPEAT_WINDOW = 8
@@ -155,7 +155,7 @@ def failure_bits(struct: str) -> Column:
 
 def ledger(docs: DataFrame) -> DataFrame:
     """One row per document: measurements and ``failed``, the bits of all failed rules. No shuffle."""
-    return (docs.select("doc_id", measured(text_bytes()).alias("m"))
+    return (bound_batches(docs).select("doc_id", measured(text_bytes()).alias("m"))
             .select("doc_id", "m.*", failure_bits("m").alias("failed")))
 
 
@@ -199,5 +199,5 @@ def keep_good(docs: DataFrame, policy: Policy = CURRENT) -> DataFrame:
     """The documents that the policy keeps, with all their columns, in one pass without a shuffle."""
     m = unused("_measured", docs)
     mask = policy.mask | POLICIES["base"].mask
-    return (docs.withColumn(m, measured(text_bytes()))
+    return (bound_batches(docs).withColumn(m, measured(text_bytes()))
             .filter(failure_bits(m).bitwiseAND(F.lit(mask)) == 0).drop(m))

@@ -38,7 +38,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import Chunk, _spans, mix, slices, text_bytes
+from gridloom.llm.common import Chunk, _spans, bound_batches, mix, slices, text_bytes
 
 WINDOW = 13
 #: Words of an anchor; a window holds WINDOW - ANCHOR + 1 = 8 of them, a power of two.
@@ -314,7 +314,7 @@ def with_blocks(docs: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _run(docs: DataFrame, last, ddl: str) -> DataFrame:
-    cut, buckets = with_blocks(docs)
+    cut, buckets = with_blocks(bound_batches(docs))
     blocks = cut.groupBy("block")
     known = (blocks.applyInArrow(ask_anchors(buckets), _ASK_DDL)
              .groupBy("bucket").applyInArrow(answer_anchors, _ANSWER_DDL))

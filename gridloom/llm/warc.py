@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import bound_batches
+
 #: Payloads below this size are never written as revisits.
 REVISIT_MIN_BYTES = 100
 #: Bounds the size of an archive, and so the memory of the task that reads it.
@@ -269,4 +271,4 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True, glob: s
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content"))
-    return files.mapInArrow(read, READ_SCHEMA)
+    return bound_batches(files).mapInArrow(read, READ_SCHEMA)
