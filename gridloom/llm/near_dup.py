@@ -44,8 +44,8 @@ SIMILARITY = 0.8
 SKETCHES, PICKED = 12, 3
 #: Buckets up to this size compare all their pairs.
 SMALL_BUCKET = 8
-#: Members of a large bucket that one task compares with the open ones.
-BLOCK_MEMBERS = 64
+#: Members of a large bucket that one task compares with as many open ones.
+BLOCK_MEMBERS = 256
 #: Hash values that a sketch of one text holds at a time.
 _WIDE = 1 << 20
 
@@ -266,16 +266,23 @@ def _open_links(members: DataFrame, parts: DataFrame, texts: DataFrame) -> DataF
              .withColumn("component", F.coalesce("component", "doc_id")))
     led = named.filter("doc_id = leader").select("key", F.col("component").alias("leader_component"))
     known = materialize(named.join(led, "key").withColumn("open", F.col("component") != F.col("leader_component")))
-    waiting = known.filter("open").select("key").distinct()
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK_MEMBERS)).cast("int")
-    # All members of such a bucket are targets of one block; the open ones also visit every block.
-    targets = known.join(waiting, "key", "left_semi").select(
-        "key", "doc_id", "component", F.lit(False).alias("open"),
-        F.pmod(F.xxhash64("doc_id"), blocks).cast("int").alias("block"))
-    visits = known.filter("open").select(
-        "key", "doc_id", "component", "open", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
-    rows = targets.unionByName(visits).join(texts, "doc_id")
-    return rows.groupBy("key", "block").applyInArrow(_link_open, "u long, v long").distinct()
+    # Members and open ones are cut into blocks; a task compares one block of each.
+    cut = (known.groupBy("key").agg(F.sum(F.col("open").cast("long")).alias("waiting")).filter("waiting > 0")
+           .select("key", F.ceil(F.col("waiting") / F.lit(BLOCK_MEMBERS)).cast("int").alias("visits")))
+    asked = known.join(cut, "key").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK_MEMBERS)).cast("int"))
+
+    def own(count: str) -> Column:
+        return F.pmod(F.xxhash64("doc_id"), F.col(count)).cast("int")
+
+    def each(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    targets = asked.select("key", "doc_id", "component", F.lit(False).alias("open"),
+                           own("blocks").alias("block"), each("visits").alias("visit"))
+    openers = asked.filter("open").select("key", "doc_id", "component", "open",
+                                          each("blocks").alias("block"), own("visits").alias("visit"))
+    rows = targets.unionByName(openers).join(texts, "doc_id")
+    return rows.groupBy("key", "block", "visit").applyInArrow(_link_open, "u long, v long").distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -290,7 +297,9 @@ def classes(docs: DataFrame) -> DataFrame:
     buckets = (keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(order).alias("lead")).filter("n > 1")
                .select("key", "n", F.col("lead.doc_id").alias("leader"), F.col("lead.shingles").alias("leader_size")))
     members = materialize(keyed.join(buckets, "key"))
-    texts = docs.filter("doc_id IS NOT NULL").select("doc_id", text_bytes().alias("text"))
+    # The texts are shuffled once, and only those that share a bucket are written.
+    texts = materialize(docs.select("doc_id", text_bytes().alias("text"))
+                        .join(members.select("doc_id").distinct(), "doc_id", "left_semi"))
     pairs = materialize(_first_pairs(members))
     first = materialize(_verified(pairs, texts))
     parts = components(first)
