@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass takes together.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 _WORD_BASE = 0x9E3779B97F4A7C15
 _WINDOW_BASE = 0xD1342543DE82EF95

@@ -16,6 +16,9 @@ component are open, and those meet all members of other components, block by
 block. So two texts that share a bucket are either linked through others or
 compared, and no link is lost to the size of a bucket.
 
+Joins that carry texts are always sort-merge joins: what is small enough to
+broadcast on a small corpus is not on a large one.
+
 At a similarity of 0.8 a sketch agrees with probability 0.8**3 at least, so a
 pair misses all twelve buckets with probability 0.0002.
 
@@ -207,7 +210,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
     near = F.pandas_udf(linked_batch, "boolean")
-    return (pairs.join(left, "a").join(right, "b")
+    return (pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
             .filter(near(F.col("a_text"), F.col("b_text"))).select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
@@ -281,7 +284,7 @@ def _open_links(members: DataFrame, parts: DataFrame, texts: DataFrame) -> DataF
                            own("blocks").alias("block"), each("visits").alias("visit"))
     openers = asked.filter("open").select("key", "doc_id", "component", "open",
                                           each("blocks").alias("block"), own("visits").alias("visit"))
-    rows = targets.unionByName(openers).join(texts, "doc_id")
+    rows = targets.unionByName(openers).join(texts.hint("merge"), "doc_id")
     return rows.groupBy("key", "block", "visit").applyInArrow(_link_open, "u long, v long").distinct()
 
 
@@ -299,7 +302,7 @@ def classes(docs: DataFrame) -> DataFrame:
     members = materialize(keyed.join(buckets, "key"))
     # The texts are shuffled once, and only those that share a bucket are written.
     texts = materialize(docs.select("doc_id", text_bytes().alias("text"))
-                        .join(members.select("doc_id").distinct(), "doc_id", "left_semi"))
+                        .join(members.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"))
     pairs = materialize(_first_pairs(members))
     first = materialize(_verified(pairs, texts))
     parts = components(first)
@@ -317,5 +320,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = classes(docs)
     kept = found.filter("doc_id = class_id").select("doc_id", F.col("copy").alias(key)).distinct()
     named = docs.withColumn(key, _copy_key())
-    stay = named.join(kept, ["doc_id", key], "left_semi").dropDuplicates(["doc_id", key])
+    stay = named.join(kept.hint("merge"), ["doc_id", key], "left_semi").dropDuplicates(["doc_id", key])
     return stay.unionByName(named.filter("doc_id IS NULL")).select(*[F.col(f"`{c}`") for c in docs.columns])
