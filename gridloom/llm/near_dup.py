@@ -10,11 +10,11 @@ longer text.
 
 No bucket is expanded into all its pairs. Small buckets compare all pairs.
 In a larger one every member meets one leader first, which is another one in
-each of the twelve buckets of a text. The components of these links are then
-looked up again in the large buckets: only members outside their leader's
-component are open, and those meet all members of other components, block by
-block. So two texts that share a bucket are either linked through others or
-compared, and no link is lost to the size of a bucket.
+each of the twelve buckets of a text. Members that are not linked to their
+leader are open, and those meet all members of the bucket, block by block,
+until they are linked to them directly or through others. So two texts that
+share a bucket are either linked or compared, and no link is lost to the size
+of a bucket.
 
 Joins that carry texts are always sort-merge joins: what is small enough to
 broadcast on a small corpus is not on a large one.
@@ -231,7 +231,7 @@ _LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
 def _link_open(group: pa.Table) -> pa.Table:
-    """Links between the open members of a bucket and one block of its members, in other components."""
+    """Links between open members of a bucket and one block of its members, if others do not link them already."""
     ids, parts = group.column("doc_id").to_pylist(), group.column("component").to_pylist()
     is_open, texts = group.column("open").to_pylist(), group.column("text").to_pylist()
     ready = _prepared(texts)
@@ -262,13 +262,14 @@ def _link_open(group: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(links, schema=_LINKS)
 
 
-def _open_links(members: DataFrame, parts: DataFrame, texts: DataFrame) -> DataFrame:
+def _open_links(members: DataFrame, first: DataFrame, texts: DataFrame) -> DataFrame:
     """Links that the leaders of large buckets did not show."""
-    large = members.filter(F.col("n") > SMALL_BUCKET).select("key", "doc_id", "leader", "n")
-    named = (large.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-             .withColumn("component", F.coalesce("component", "doc_id")))
-    led = named.filter("doc_id = leader").select("key", F.col("component").alias("leader_component"))
-    known = materialize(named.join(led, "key").withColumn("open", F.col("component") != F.col("leader_component")))
+    large = members.filter(F.col("n") > SMALL_BUCKET).select(
+        "key", "doc_id", "leader", "n", F.least("doc_id", "leader").alias("u"), F.greatest("doc_id", "leader").alias("v"))
+    is_open = (F.col("doc_id") != F.col("leader")) & F.col("linked").isNull()
+    known = materialize(large.join(first.withColumn("linked", F.lit(True)), ["u", "v"], "left")
+                        .select("key", "doc_id", "n", is_open.alias("open"),
+                                F.when(is_open, F.col("doc_id")).otherwise(F.col("leader")).alias("component")))
     # Members and open ones are cut into blocks; a task compares one block of each.
     cut = (known.groupBy("key").agg(F.sum(F.col("open").cast("long")).alias("waiting")).filter("waiting > 0")
            .select("key", F.ceil(F.col("waiting") / F.lit(BLOCK_MEMBERS)).cast("int").alias("visits")))
@@ -305,10 +306,7 @@ def classes(docs: DataFrame) -> DataFrame:
                         .join(members.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"))
     pairs = materialize(_first_pairs(members))
     first = materialize(_verified(pairs, texts))
-    parts = components(first)
-    more = materialize(_open_links(members, parts, texts))
-    if not more.isEmpty():
-        parts = components(first.unionByName(more))
+    parts = components(first.unionByName(_open_links(members, first, texts)))
     named = nodes.join(parts, "node", "left").select("copy", F.coalesce("component", "node").alias("class_id"))
     return rows.select("doc_id", "copy").join(named, "copy", "left").withColumn(
         "class_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")))
