@@ -230,16 +230,42 @@ def _first_pairs(members: DataFrame) -> DataFrame:
 _LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of shingles that each text on the left shares with each on the right, some shingles at a time."""
+    sides = []
+    for texts in (left, right):
+        keys = np.concatenate([*texts, np.zeros(0, np.uint64)])
+        sides.append((keys, np.repeat(np.arange(len(texts)), [len(t) for t in texts])))
+    common = np.intersect1d(sides[0][0], sides[1][0])
+    out = np.zeros((len(left), len(right)), np.float32)
+    if not len(common):
+        return out
+    held = []
+    for keys, owner in sides:
+        at = np.minimum(np.searchsorted(common, keys), len(common) - 1)
+        hit = common[at] == keys
+        order = np.argsort(at[hit], kind="stable")
+        held.append((at[hit][order], owner[hit][order]))
+    for lo in range(0, len(common), 4096):
+        parts = []
+        for (at, owner), n in zip(held, out.shape):
+            a, b = np.searchsorted(at, [lo, lo + 4096])
+            part = np.zeros((n, 4096), np.float32)
+            part[owner[a:b], at[a:b] - lo] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out
+
+
 def _link_open(group: pa.Table) -> pa.Table:
     """Links between open members of a bucket and one block of its members, if others do not link them already."""
     ids, parts = group.column("doc_id").to_pylist(), group.column("component").to_pylist()
-    is_open, texts = group.column("open").to_pylist(), group.column("text").to_pylist()
-    ready = _prepared(texts)
-    targets = [i for i, o in enumerate(is_open) if not o]
-    owner = np.repeat(np.arange(len(targets)), [len(ready[i][1]) for i in targets])
-    keys = np.concatenate([ready[i][1] for i in targets]) if targets else np.zeros(0, np.uint64)
-    order = np.argsort(keys, kind="stable")
-    keys, owner = keys[order], owner[order]
+    is_open = np.array(group.column("open").to_pylist(), bool)
+    ready = _prepared(group.column("text").to_pylist())
+    openers, targets = np.flatnonzero(is_open), np.flatnonzero(~is_open)
+    sizes = np.array([len(r[1]) for r in ready])
+    shared = _shared([ready[i][1] for i in openers], [ready[i][1] for i in targets])
+    near = (shared > 0) & (shared >= SIMILARITY * (sizes[openers][:, None] + sizes[targets][None, :] - shared) - 1e-3)
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -248,15 +274,9 @@ def _link_open(group: pa.Table) -> pa.Table:
         return x
 
     links = []
-    for i in (i for i, o in enumerate(is_open) if o):
-        own = ready[i][1]
-        lo, hi = np.searchsorted(keys, own), np.searchsorted(keys, own, side="right")
-        hits = [owner[s:e] for s, e in zip(lo, hi) if s < e]
-        shared = np.bincount(np.concatenate(hits), minlength=len(targets)) if hits else np.zeros(len(targets), int)
-        for t in np.flatnonzero(shared):
-            j = targets[t]
-            enough = SIMILARITY * (len(own) + len(ready[j][1]) - shared[t])
-            if shared[t] >= enough and find(parts[i]) != find(parts[j]) and _linked(ready[i], ready[j]):
+    for o, i in enumerate(openers):
+        for j in targets[near[o]]:
+            if find(parts[i]) != find(parts[j]) and _linked(ready[i], ready[j]):
                 links.append({"u": ids[i], "v": ids[j]})
                 root[find(parts[i])] = find(parts[j])
     return pa.Table.from_pylist(links, schema=_LINKS)
