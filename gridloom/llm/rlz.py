@@ -310,7 +310,9 @@ def with_blocks(docs: DataFrame) -> tuple[DataFrame, int]:
     bins = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="id", outputCol="bin", handleInvalid="keep") \
         if cuts else None
     cut = bins.transform(narrow) if bins else narrow.withColumn("bin", F.lit(0.0))
-    return cut.select("doc_id", "text", F.col("bin").cast("int").alias("block")), n
+    # A null doc_id comes after all others.
+    last = F.lit(len(cuts) + 1)
+    return cut.select("doc_id", "text", F.coalesce(F.col("bin").cast("int"), last).alias("block")), n
 
 
 def _run(docs: DataFrame, last, ddl: str) -> DataFrame:
