@@ -122,19 +122,27 @@ def soc_band(c) -> Column:
 
 
 # --- P16 / P17: ratio target and its inverse ------------------------------------------
+def _known(x: Column) -> Column:
+    """The value, or NULL for NaN, so that no comparison skips or promotes it."""
+    return F.when(~F.isnan(x), x)
+
+
 def log_ratio(y, anchor, floor: float = LOG_RATIO_FLOOR) -> Column:
-    """log(max(y/anchor, floor)); NULL when the anchor is 0 or NULL."""
-    return F.log(F.greatest(F.try_divide(col(y), col(anchor)), F.lit(floor)))
+    """log(max(y/anchor, floor)); NULL when either is NULL or NaN, or the anchor is 0."""
+    ratio = _known(F.try_divide(col(y).cast("double"), col(anchor)))
+    return F.when(ratio.isNotNull(), F.log(F.greatest(ratio, F.lit(floor))))
 
 
 def clip_ratio(r) -> Column:
-    return F.least(F.greatest(col(r), F.lit(RATIO_MIN)), F.lit(RATIO_MAX))
+    """The ratio held within its bounds; NULL when it is NULL or NaN."""
+    x = _known(col(r))
+    return F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(RATIO_MIN)), F.lit(RATIO_MAX)))
 
 
 def ratio_inverse(z, anchor, log_target: bool = True) -> Column:
-    """anchor * clip(exp(z), 0, 3) for a log target, anchor * clip(z, 0, 3) otherwise."""
+    """anchor * clip(exp(z), 0, 3) for a log target, anchor * clip(z, 0, 3) otherwise; NULL for NULL or NaN."""
     r = F.exp(col(z)) if log_target else col(z)
-    return col(anchor) * clip_ratio(r)
+    return _known(col(anchor) * clip_ratio(r))
 
 
 # --- P18: calendar features ---------------------------------------------------------------
@@ -151,16 +159,9 @@ def calendar_feature_columns(d) -> list[Column]:
 
 
 # --- P19: rounding --------------------------------------------------------------------
-# Relative nudge applied before rounding: values with few decimals often land on
-# exact ties (an average of 3.76625) that float noise pushes to either side.
-# The nudge is far above that noise and far below the rounding step, so exact
-# ties always go away from zero (half-up as a reader expects).
-TIE_NUDGE = 1e-10
-
-
 def round_half_up(c, digits: int) -> Column:
-    x = col(c)
-    return F.round(x + x * F.lit(TIE_NUDGE), digits)
+    """Plain rounding, ties away from zero; the value itself is never moved."""
+    return F.round(col(c), digits)
 
 
 # --- F9: finiteness ------------------------------------------------------------------------

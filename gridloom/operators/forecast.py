@@ -76,8 +76,9 @@ def session_model(history: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def estimate_sessions(x: Column | str) -> Column:
-    """Prediction floored at 0 (needs ``slope``/``intercept`` columns)."""
-    return F.greatest(F.col("intercept") + F.col("slope") * C.col(x), F.lit(0.0))
+    """Prediction floored at 0 (needs ``slope``/``intercept`` columns); NULL when it is NULL or NaN."""
+    y = F.col("intercept") + F.col("slope") * C.col(x)
+    return F.when(y.isNotNull() & ~F.isnan(y), F.greatest(y, F.lit(0.0)))
 
 
 # ------------------------------------------------------------------ future frame

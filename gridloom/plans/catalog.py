@@ -31,9 +31,17 @@ def register(name: str, oracle: str | None = None):
 from gridloom.functions.columns import round_half_up as stable_round  # noqa: E402
 
 
+#: Far below every rounding step, far above the noise of sums of this size.
+NOISE_DIGITS = 9
+
+
 def stable(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Round every DOUBLE column to ``digits`` decimals (comparison edge only)."""
-    return df.select(*[stable_round(F.col(f"`{f.name}`"), digits).alias(f.name)
+    """Round every DOUBLE column to ``digits`` decimals (comparison edge only).
+
+    The first rounding removes the noise of the summation order, so that a mean
+    on an exact tie falls the same way in every engine.
+    """
+    return df.select(*[stable_round(stable_round(F.col(f"`{f.name}`"), NOISE_DIGITS), digits).alias(f.name)
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
                        for f in df.schema.fields])
 

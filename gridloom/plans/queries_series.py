@@ -137,8 +137,8 @@ hist_pts AS (
   FROM (SELECT * FROM daily ORDER BY stat_date DESC LIMIT 14) x
 ),
 fc_pts AS (
-  SELECT strftime(stat_date, '%Y-%m-%d') AS date, round(pred + pred * 1e-10, 1) AS energy,
-         round(pred_sessions + pred_sessions * 1e-10, 1) AS sessions FROM forecast
+  SELECT strftime(stat_date, '%Y-%m-%d') AS date, round(pred, 1) AS energy,
+         round(pred_sessions, 1) AS sessions FROM forecast
 )"""
 
 
@@ -249,7 +249,7 @@ SELECT 'daily rows' AS metric, CAST(count(*) AS VARCHAR) AS value FROM daily
 UNION ALL SELECT 'min date', CAST(min(stat_date) AS VARCHAR) FROM daily
 UNION ALL SELECT 'max date', CAST(max(stat_date) AS VARCHAR) FROM daily
 UNION ALL SELECT 'sessions_total', CAST(sum(sessions) AS VARCHAR) FROM daily
-UNION ALL SELECT 'kwh_total', CAST(CAST(round(sum(total_kwh) + sum(total_kwh) * 1e-10, 1) AS DECIMAL(38, 1)) AS VARCHAR) FROM daily"""))
+UNION ALL SELECT 'kwh_total', CAST(CAST(round(sum(total_kwh), 1) AS DECIMAL(38, 1)) AS VARCHAR) FROM daily"""))
 def series_audit(spark, sf_dir):
     return SR.audit(_s(spark, sf_dir).daily)
 
@@ -413,7 +413,7 @@ def history_tail(spark, sf_dir):
 
 @register("forecast_report", sql("""
 SELECT strftime(stat_date, '%Y-%m-%d') AS forecast_date, strftime(stat_date, '%a') AS weekday, is_holiday,
-       round(pred + pred * 1e-10, 1) AS pred_kwh, round(pred_sessions + pred_sessions * 1e-10, 1) AS pred_sessions
+       round(pred, 1) AS pred_kwh, round(pred_sessions, 1) AS pred_sessions
 FROM forecast"""))
 def forecast_report(spark, sf_dir):
     return FC.forecast_report(_s(spark, sf_dir).forecast())

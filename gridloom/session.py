@@ -3,6 +3,7 @@ scratch folder every job writes intermediate tables to."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -11,23 +12,42 @@ from pyspark.sql import DataFrame, SparkSession
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "gridloom") -> SparkSession:
-    """Session for local runs. On a cluster the submitter's settings win:
-    only values that are not set yet are filled in."""
-    master = master or os.environ.get("GRIDLOOM_MASTER", "local[8]")
-    parts = str(shuffle_partitions or os.environ.get("GRIDLOOM_SHUFFLE_PARTITIONS", "8"))
-    b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.sql.shuffle.partitions", parts)
-         .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", os.environ.get("GRIDLOOM_DRIVER_MEMORY", "16g"))
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
-    log_dir = os.environ.get("GRIDLOOM_EVENT_LOG_DIR")
-    if log_dir:  # Spark's event log, written to a scratch folder for offline stage metrics
-        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
+    """A session for jobs, tests and the benchmark.
+
+    What the submitter has set (master, partitions, memory, ...) stays; only
+    settings that are absent are filled in. Arguments are explicit requests.
+    """
+    from pyspark import SparkConf
+
+    given = SparkConf()
+    active = SparkSession.getActiveSession()
+    defaults = {
+        "spark.master": os.environ.get("GRIDLOOM_MASTER", "local[8]"),
+        "spark.app.name": app,
+        "spark.sql.shuffle.partitions": os.environ.get("GRIDLOOM_SHUFFLE_PARTITIONS", "8"),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": os.environ.get("GRIDLOOM_DRIVER_MEMORY", "16g"),
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
+    if log_dir := os.environ.get("GRIDLOOM_EVENT_LOG_DIR"):  # offline stage metrics in a scratch folder
+        defaults |= {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+    if given.contains("spark.master") and not given.get("spark.master").startswith("local"):
+        # On a cluster, partitions and memory are the submitter's or Spark's own defaults.
+        for name in ("spark.sql.shuffle.partitions", "spark.driver.memory"):
+            defaults.pop(name)
+    wanted = {}
+    if master:
+        wanted["spark.master"] = master
+    if shuffle_partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    b = SparkSession.builder
+    for name, value in defaults.items():
+        if not given.contains(name) and not (active and active.conf.get(name, None)):
+            b = b.config(name, value)
+    for name, value in wanted.items():
+        b = b.config(name, value)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -37,12 +57,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is a folder chosen here.
+    Only a local session that has none gets a folder here: on a cluster every
+    executor would write to a temporary folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = os.path.join(tempfile.gettempdir(), "gridloom-checkpoints")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -304,3 +304,20 @@ def test_battery_bands_flagged_equals_clean(spark):
     flagged = B.battery_bands(B.classify_battery(B.type_battery(raw)))
     clean = B.battery_bands(B.clean_battery(B.type_battery(raw)))
     assert flagged.count() == clean.count() and flagged.exceptAll(clean).count() == 0
+
+
+def test_ratio_functions_propagate_null_and_nan(spark):
+    from gridloom.functions import columns as C
+    nan = float("nan")
+    df = spark.createDataFrame([(12.0, None), (12.0, nan), (None, 1.0), (nan, 1.0), (0.0, 1.0), (10.0, 20.0)],
+                               "anchor double, x double")
+    rows = df.select(C.log_ratio("x", "anchor").alias("z"), C.clip_ratio("x").alias("c"),
+                     C.ratio_inverse("x", "anchor", False).alias("p")).collect()
+    assert [r.z for r in rows[:5]] == [None] * 5 and abs(rows[5].z - 0.6931471805599453) < 1e-12
+    assert [r.c for r in rows] == [None, None, 1.0, 1.0, 1.0, 3.0]
+    assert [r.p for r in rows] == [None, None, None, None, 0.0, 30.0]
+
+
+def test_rounding_never_moves_a_large_value(spark):
+    from gridloom.functions import columns as C
+    assert spark.sql("SELECT 3758439620.1D AS x").select(C.round_half_up("x", 1).alias("y")).first().y == 3758439620.1
