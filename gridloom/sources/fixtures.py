@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.operators.calendar import calendar_for
+
 # Fixed values of the adapters (FIXTURES.md §2).
 FIXTURE_CENTURY_YEARS = ("24",)      # `0024-` is repaired to `2024-`
 BAD_ID_MOD, NEG_ENERGY_MOD, NAN_ENERGY_MOD = 101, 89, 211
@@ -17,6 +19,14 @@ ZERO_DURATION_MOD, CENTURY_KEEP_MOD, REVERSED_END_MOD = 131, 3, 79
 NO_STATION_MOD, NO_LOCATION_MOD, BLANK_PLATFORM_MOD = 97, 61, 83
 DUPLICATE_MOD, LOCATION_COUNT, STATION_GAP_MOD = 50, 25, 10
 SECONDS_PER_K, HOURS_PER_K_DIVISOR = 288, 12.5
+# Fixed-date holidays, and dates that are worked when they fall on a weekend.
+HOLIDAYS = ((1, 1, "New Year's Day"), (5, 1, "Labour Day"), (10, 1, "National Day"))
+MAKEUP_WORKDAYS = ((5, 4), (10, 7))
+
+
+def work_calendar(series: DataFrame) -> DataFrame:
+    """The fixture calendar over the days of a series and its forecast horizon."""
+    return calendar_for(series, HOLIDAYS, MAKEUP_WORKDAYS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +66,7 @@ def raw_sessions(events: DataFrame) -> DataFrame:
                  .otherwise(F.concat(F.lit("00"), F.substring(ts_text, 3, 100))).alias("created"),
                 F.date_format(ended_ts, "yyyy-MM-dd HH:mm:ss").alias("ended"),
                 F.when(e % NO_STATION_MOD == 0, F.lit(None).cast("string"))
+                 .when(F.col("user_id") % STATION_GAP_MOD == 0, F.concat(F.lit("u"), _text(F.col("user_id"))))
                  .otherwise(_text(F.col("user_id"))).alias("stationId"),
                 F.when(e % NO_LOCATION_MOD == 0, F.lit(None).cast("string"))
                  .otherwise(_text(F.col("user_id") % LOCATION_COUNT)).alias("locationId"),
@@ -67,9 +78,8 @@ def raw_sessions(events: DataFrame) -> DataFrame:
 
 
 def raw_stations(customer: DataFrame) -> DataFrame:
-    """customer -> station metadata (text); every tenth key has no metadata."""
-    return (customer.filter(F.col("c_custkey") % STATION_GAP_MOD != 0)
-            .select(_text(F.col("c_custkey")).alias("stationId"), F.col("c_name").alias("station_name")))
+    """customer -> station metadata (text), every row of it."""
+    return customer.select(_text(F.col("c_custkey")).alias("stationId"), F.col("c_name").alias("station_name"))
 
 
 # Raw battery header names as exported by the telemetry source.
