@@ -9,14 +9,14 @@ independent fits are submitted from a thread pool (one per core) so they overlap
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions import columns as C
@@ -26,41 +26,75 @@ from gridloom.operators import series as SR
 from gridloom.session import materialize
 
 # Fixed hyper-parameters mirroring the candidate definitions.
-GBT_PARAMS = dict(maxIter=100, maxDepth=3, stepSize=0.1, seed=42, subsamplingRate=1.0, maxBins=256)
-RF_PARAMS = dict(numTrees=400, featureSubsetStrategy="all", maxDepth=10, seed=42, maxBins=256)
+GBT_PARAMS = dict(maxIter=100, maxDepth=3, stepSize=0.1, seed=42, subsamplingRate=1.0)
+RF_PARAMS = dict(numTrees=400, featureSubsetStrategy="all", maxDepth=10, seed=42)
 RIDGE_ALPHA = 1.0
 SEED = 42
 
 
 @dataclass(frozen=True)
-class Candidate:
-    name: str
+class Target:
+    """What a learner is fitted on, and how its output ``_z`` becomes energy again."""
+    label: Callable[[], Column]
+    energy: Callable[[], Column]
+
+
+TARGETS = {
+    "raw": Target(lambda: F.col(SR.TARGET), lambda: F.col("_z")),
+    "ratio": Target(lambda: F.try_divide(F.col(SR.TARGET), F.col(FE.ANCHOR)),
+                    lambda: C.ratio_inverse("_z", FE.ANCHOR, False)),
+    "logratio": Target(lambda: C.log_ratio(SR.TARGET, FE.ANCHOR),
+                       lambda: C.ratio_inverse("_z", FE.ANCHOR, True)),
+}
+
+
+@dataclass(frozen=True)
+class Member:
+    """One fitted part of a candidate."""
+    target: str
+    learner: str                 # gbt | rf | ridge
     features: tuple[str, ...]
-    mode: str                    # naive_lag7 | raw | ratio | logratio | ensemble
-    learner: str | None = None   # gbt | rf | ridge
     params: dict = field(default_factory=dict)
 
 
+@dataclass(frozen=True)
+class Candidate:
+    """The mean of its members' energies, or a column taken as it is."""
+    name: str
+    members: tuple[Member, ...] = ()
+    column: str | None = None
+
+
 def candidates(gbt: dict | None = None, rf: dict | None = None) -> list[Candidate]:
-    """The fixed candidate list (name, feature group, target mode, learner)."""
+    """The fixed candidate list."""
     g = {**GBT_PARAMS, **(gbt or {})}
     r = {**RF_PARAMS, **(rf or {})}
+    trend = Member("raw", "ridge", tuple(FE.F_LIN))
+    ratio = Member("ratio", "gbt", tuple(FE.F_CAL_T), g)
     return [
-        Candidate("naive_lag7", (), "naive_lag7"),
-        Candidate("lin_trend", tuple(FE.F_LIN), "raw", "ridge"),
-        Candidate("gbr_ratio14", tuple(FE.F_CAL_T), "ratio", "gbt", g),
-        Candidate("gbr_ratio14_cal", tuple(FE.F_CAL), "ratio", "gbt", g),
-        Candidate("gbr_logratio14", tuple(FE.F_CAL_T), "logratio", "gbt", g),
-        Candidate("rf_ratio14", tuple(FE.F_CAL_T), "ratio", "rf", r),
-        Candidate("ens_ratio14_lin", tuple(FE.F_CAL_T), "ensemble", "gbt", g),
+        Candidate("naive_lag7", column="lag7_kwh"),
+        Candidate("lin_trend", (trend,)),
+        Candidate("gbr_ratio14", (ratio,)),
+        Candidate("gbr_ratio14_cal", (Member("ratio", "gbt", tuple(FE.F_CAL), g),)),
+        Candidate("gbr_logratio14", (Member("logratio", "gbt", tuple(FE.F_CAL_T), g),)),
+        Candidate("rf_ratio14", (Member("ratio", "rf", tuple(FE.F_CAL_T), r),)),
+        Candidate("ens_ratio14_lin", (ratio, trend)),
     ]
 
 
-def _estimator(learner: str, params: dict, label: str, train: DataFrame):
+def _split_points(train: DataFrame, feats: Sequence[str]) -> int:
+    """Bins that leave every distinct value a split of its own: a feature has one value a day at most."""
+    row = train.agg(*[F.count_distinct(x).alias(x) for x in feats]).first()
+    return max(2, *row)
+
+
+def _estimator(learner: str, params: dict, feats: Sequence[str], label: str, train: DataFrame):
     if learner == "gbt":
-        return GBTRegressor(featuresCol="_x", labelCol=label, predictionCol="_z", lossType="squared", **params)
+        return GBTRegressor(featuresCol="_x", labelCol=label, predictionCol="_z", lossType="squared",
+                            **{"maxBins": _split_points(train, feats), **params})
     if learner == "rf":
-        return RandomForestRegressor(featuresCol="_x", labelCol=label, predictionCol="_z", bootstrap=True, **params)
+        return RandomForestRegressor(featuresCol="_x", labelCol=label, predictionCol="_z", bootstrap=True,
+                                     **{"maxBins": _split_points(train, feats), **params})
     if learner == "ridge":
         # sklearn's Ridge(alpha) equals Spark's normal-equation solver with the
         # penalty rescaled: Spark scales the label by its std inside the fit.
@@ -74,34 +108,23 @@ def _estimator(learner: str, params: dict, label: str, train: DataFrame):
 def fit(learner: str, params: dict, feats: Sequence[str], train: DataFrame, label: str) -> PipelineModel:
     t = train.filter(F.col(label).isNotNull())
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(feats), outputCol="_x"),
-                            _estimator(learner, params, label, t)])
+                            _estimator(learner, params, feats, label, t)])
     return pipe.fit(t)
 
 
-def _with_labels(df: DataFrame) -> DataFrame:
-    return df.withColumn("_ratio", F.try_divide(F.col(SR.TARGET), F.col(FE.ANCHOR)))
-
-
 def fit_predict(c: Candidate, train: DataFrame, test: DataFrame) -> DataFrame:
-    """Test rows with a ``pred`` column (energy, not ratio)."""
+    """Test rows with a ``pred`` column (energy, not ratio). Members score the
+    same frame one after the other, so combining them needs no join."""
     keep = [x for x in test.columns if not x.startswith("_")]
-    if c.mode == "naive_lag7":
-        return test.select(*keep, F.col("lag7_kwh").alias("pred"))
-    tr, te = _with_labels(train), _with_labels(test)
-    if c.mode == "raw":
-        m = fit(c.learner, c.params, c.features, tr, SR.TARGET)
-        return m.transform(te).select(*keep, F.col("_z").alias("pred"))
-    if c.mode == "logratio":
-        m = fit(c.learner, c.params, c.features, tr.withColumn("_y", C.log_ratio(SR.TARGET, FE.ANCHOR)), "_y")
-        return m.transform(te).select(*keep, C.ratio_inverse("_z", FE.ANCHOR, True).alias("pred"))
-    m = fit(c.learner, c.params, c.features, tr, "_ratio")
-    ratio_pred = m.transform(te).select(*keep, C.ratio_inverse("_z", FE.ANCHOR, False).alias("pred"))
-    if c.mode == "ratio":
-        return ratio_pred
-    if c.mode == "ensemble":
-        lin = fit("ridge", {}, FE.F_LIN, tr, SR.TARGET).transform(te).select(SR.DATE, F.col("_z").alias("_lin"))
-        return ratio_pred.join(lin, SR.DATE).select(*keep, (0.5 * F.col("pred") + 0.5 * F.col("_lin")).alias("pred"))
-    raise ValueError(c.mode)
+    if c.column:
+        return test.select(*keep, F.col(c.column).alias("pred"))
+    scored, energies = test, []
+    for i, m in enumerate(c.members):
+        target = TARGETS[m.target]
+        model = fit(m.learner, m.params, m.features, train.withColumn("_y", target.label()), "_y")
+        scored = model.transform(scored).withColumn(f"_energy{i}", target.energy()).drop("_x", "_z")
+        energies.append(F.col(f"_energy{i}"))
+    return scored.select(*keep, (sum(energies[1:], energies[0]) / len(energies)).alias("pred"))
 
 
 MAX_FIT_WORKERS = 16
