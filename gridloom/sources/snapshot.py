@@ -1,35 +1,62 @@
-"""Versioned snapshots (S8-S11, F14): the Spark replacement of the
-single-row MySQL publication of the dashboard and forecast documents.
+"""Versioned snapshots (S8-S11, F14): one directory per version,
+``<root>/<name>/version=<n>``.
 
-A snapshot is one directory per version, ``<root>/<name>/version=<n>``, written
-by Spark's committer: data files only become visible when the job commits, so
-readers always see a complete version and a failed publication leaves the
-previous one in place. Readers take the highest committed version.
+A publication is written to an attempt folder of its own and renamed to the
+next free version. The rename refuses an existing target, so two writers never
+share a version, and a write that fails leaves nothing that a reader or the
+next writer could meet. Readers take the highest version whose write carries
+Spark's ``_SUCCESS`` marker.
 """
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+_VERSION = "version="
 
 
 class SnapshotError(ValueError):
     """A document failed validation; nothing was published."""
 
 
-def _versions(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{root.rstrip('/')}/{name}")
-    except AnalysisException:
-        return None
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _versions(spark: SparkSession, root: str, name: str) -> dict[int, bool]:
+    """Every version of a snapshot and whether its write was committed."""
+    folder = _path(spark, f"{root.rstrip('/')}/{name}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return {}
+    found = {}
+    for entry in fs.listStatus(folder):
+        label = entry.getPath().getName()
+        if label.startswith(_VERSION):
+            found[int(label[len(_VERSION):])] = fs.exists(_path(spark, f"{entry.getPath()}/_SUCCESS"))
+    return found
 
 
 def latest_version(spark: SparkSession, root: str, name: str) -> int | None:
-    df = _versions(spark, root, name)
-    if df is None:
-        return None
-    row = df.agg(F.max("version").alias("v")).first()
-    return None if row is None or row["v"] is None else int(row["v"])
+    return max((v for v, committed in _versions(spark, root, name).items() if committed), default=None)
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a folder to a path that must not exist; False where it does."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    src = _path(spark, source)
+    context = fs.FileContext.getFileContext(src.toUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(src, _path(spark, target), options)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
 
 
 def publish(doc: DataFrame, root: str, name: str, checks: DataFrame | None = None) -> int:
@@ -44,25 +71,26 @@ def publish(doc: DataFrame, root: str, name: str, checks: DataFrame | None = Non
         if row is None or not row["ok"]:
             reason = row["reason"] if row is not None and "reason" in row.asDict() else "no result"
             raise SnapshotError(f"refusing to publish {name}: {reason}")
-    version = (latest_version(spark, root, name) or 0) + 1
-    doc.coalesce(1).write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{name}/version={version}")
+    folder = f"{root.rstrip('/')}/{name}"
+    attempt = f"{folder}/_attempt-{uuid.uuid4().hex}"
+    doc.coalesce(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(attempt)
+    version = max(_versions(spark, root, name), default=0) + 1
+    while not _rename(spark, attempt, f"{folder}/{_VERSION}{version}"):
+        version += 1
     return version
 
 
 def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     """Rows of the highest committed version, or None before the first one."""
     v = latest_version(spark, root, name)
-    if v is None:
-        return None
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}/version={v}")
+    return None if v is None else spark.read.parquet(f"{root.rstrip('/')}/{name}/{_VERSION}{v}")
 
 
 def readiness(spark: SparkSession, root: str, name: str) -> DataFrame:
     """one row ``status, version, generated_at`` ('ok' or 'not_ready')."""
-    schema = "status string, version int, generated_at string"
-    df = read_latest(spark, root, name)
-    if df is None:
-        return spark.createDataFrame([("not_ready", None, None)], schema)
     v = latest_version(spark, root, name)
-    return df.select(F.lit("ok").alias("status"), F.lit(v).cast("int").alias("version"),
-                     F.col("generated_at").cast("string").alias("generated_at")).limit(1)
+    if v is None:
+        return spark.createDataFrame([("not_ready", None, None)], "status string, version int, generated_at string")
+    doc = spark.read.parquet(f"{root.rstrip('/')}/{name}/{_VERSION}{v}")
+    return doc.select(F.lit("ok").alias("status"), F.lit(v).cast("int").alias("version"),
+                      F.col("generated_at").cast("string").alias("generated_at")).limit(1)
