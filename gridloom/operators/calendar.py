@@ -15,14 +15,8 @@ from pyspark.sql import functions as F
 from gridloom.functions import columns as C
 from gridloom.operators.joins import join_dimension
 
-# Fixed calendar rules of the fixture (FIXTURES.md §2): fixed-date holidays
-# and weekend dates that are worked as make-up days.
-HOLIDAYS = ((1, 1, "New Year's Day"), (5, 1, "Labour Day"), (10, 1, "National Day"))
-MAKEUP_WORKDAYS = ((5, 4), (10, 7))
 
-
-def calendar_from_years(years: DataFrame, holidays: Sequence[tuple] = HOLIDAYS,
-                        makeup: Sequence[tuple] = MAKEUP_WORKDAYS) -> DataFrame:
+def calendar_from_years(years: DataFrame, holidays: Sequence[tuple], makeup: Sequence[tuple]) -> DataFrame:
     """``cal_date, is_workday, holiday_name`` for every year in ``years`` (column ``year``).
 
     Holidays and make-up workdays are one rule array, exploded in a single
@@ -37,17 +31,26 @@ def calendar_from_years(years: DataFrame, holidays: Sequence[tuple] = HOLIDAYS,
             .select("cal_date", F.col("r.work").alias("is_workday"), F.col("r.name").alias("holiday_name")))
 
 
-def calendar_for(series: DataFrame, date_col: str = "stat_date", extra_years: int = 1) -> DataFrame:
-    """Calendar covering the series' years plus ``extra_years`` (forecast horizon)."""
-    yr = series.agg(F.min(F.year(date_col)).alias("y0"), F.max(F.year(date_col)).alias("y1"))
-    years = yr.select(F.explode(F.sequence("y0", F.col("y1") + extra_years)).alias("year"))
-    return calendar_from_years(years)
+def calendar_for(series: DataFrame, holidays: Sequence[tuple], makeup: Sequence[tuple],
+                 date_col: str = "stat_date", horizon_days: int = 366) -> DataFrame:
+    """Calendar of every year from the first day to ``horizon_days`` after the last one."""
+    yr = series.agg(F.year(F.min(date_col)).alias("y0"),
+                    F.year(F.date_add(F.max(date_col), horizon_days)).alias("y1"))
+    years = yr.select(F.explode(F.sequence("y0", "y1")).alias("year"))
+    return calendar_from_years(years, holidays, makeup)
 
 
 def with_calendar(df: DataFrame, calendar: DataFrame, date_col: str = "stat_date") -> DataFrame:
-    """Adds ``is_rest, is_holiday, is_makeup`` (0/1) by a left join to the calendar."""
-    cal = calendar.select(F.col("cal_date").alias(date_col), "is_workday", "holiday_name",
-                          F.lit(True).alias("_listed"))
+    """Adds ``is_rest, is_holiday, is_makeup`` (0/1) by a left join to the calendar.
+
+    Raises when it runs over a calendar that lists a date twice, which would repeat that day.
+    """
+    once = F.when(F.col("_n") > 1, F.raise_error(F.concat(
+        F.lit("calendar: listed more than once: "), F.col("cal_date").cast("string")))).otherwise(F.lit(True))
+    cal = (calendar.groupBy("cal_date")
+           .agg(F.count(F.lit(1)).alias("_n"), F.bool_and("is_workday").alias("is_workday"),
+                F.max("holiday_name").alias("holiday_name"))
+           .select(F.col("cal_date").alias(date_col), "is_workday", "holiday_name", once.alias("_listed")))
     j = join_dimension(df, cal, date_col, "left")
     listed = F.coalesce(F.col("_listed"), F.lit(False))
     weekend = C.dow0(date_col) >= 5

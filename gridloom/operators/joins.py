@@ -1,22 +1,14 @@
-"""Dimension joins with a checked broadcast."""
+"""Dimension joins."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Largest dimension (rows) that is shipped to every executor. Station or
-# calendar rows are ~100 bytes, so the bound keeps a broadcast under ~200 MB.
-BROADCAST_MAX_ROWS = 2_000_000
 
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join whose strategy Spark picks by bytes.
 
-def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Bounded size proof: counts at most ``max_rows + 1`` rows."""
-    return dim.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast-hash join when the dimension is proven small, else a plain
-    join that Spark plans as a shuffle (sort-merge) join on ``on``."""
-    side = F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-    return fact.join(side, on, how)
+    A dimension below ``spark.sql.autoBroadcastJoinThreshold`` (bytes, by the
+    plan's estimate or, with AQE, by the measured shuffle size) is broadcast. A
+    larger one is shuffled on ``on``, where AQE splits skewed partitions.
+    """
+    return fact.join(dim, on, how)

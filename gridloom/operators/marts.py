@@ -44,7 +44,10 @@ def share(rollup: DataFrame, key: str, metric: str = "energy") -> DataFrame:
 
 def pivot_matrix(rollup: DataFrame, row: str = "platform", column: str = "facility",
                  metric: str = "energy", values: Sequence[str] | None = None) -> DataFrame:
-    """V1: rows × sorted columns, zero for missing combinations."""
+    """V1: rows × sorted columns, zero for missing combinations.
+
+    Without ``values`` Spark first runs ``rollup`` for its distinct columns, so pass a written table.
+    """
     m = _metric(metric)
     g = rollup.groupBy(row)
     p = g.pivot(column, sorted(values) if values else None).agg(F.sum(m))
@@ -63,15 +66,11 @@ def dense_grid(spark: SparkSession, rollup: DataFrame, metric_cols: Sequence[str
     return out.select("weekday", "hour", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in metric_cols])
 
 
-def category_series(rollups: dict[str, DataFrame], keys: dict[str, str], metric: str = "energy") -> DataFrame:
-    """V2: one long table ``chart, category, value`` of several category charts."""
-    m = _metric(metric)
-    out = None
-    for chart, df in rollups.items():
-        part = df.select(F.lit(chart).alias("chart"), F.col(keys[chart]).cast("string").alias("category"),
-                         F.col(m).cast("double").alias("value"))
-        out = part if out is None else out.unionByName(part)
-    return out
+def category_series(long: DataFrame, metric: str = "energy") -> DataFrame:
+    """V2: ``chart, category, value`` of the category charts, one per dimension
+    of a long rollup: a projection, so the one aggregate below serves them all."""
+    return long.select(F.col("dimension").alias("chart"), F.col("key1").alias("category"),
+                       F.col(_metric(metric)).cast("double").alias("value"))
 
 
 def battery_points(bands: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def reconcile(long: DataFrame, total: DataFrame) -> DataFrame:
 def require_reconciled(long: DataFrame, total: DataFrame) -> None:
     bad = reconcile(long, total).limit(1).collect()
     if bad:
-        raise ReconciliationError(f"Dimension reconciliation failed: {bad[0]['dimension']}")
+        raise ReconciliationError(f"sessions of {bad[0]['dimension']} do not add up to the total")
 
 
 def reconcile_daily(daily: DataFrame, sessions: DataFrame) -> DataFrame:

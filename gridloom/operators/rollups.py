@@ -123,7 +123,19 @@ def overview(df: DataFrame) -> DataFrame:
 
 def lookup(long: DataFrame, dimension: str,
            dimensions: Mapping[str, Sequence[str]] = DIMENSIONS) -> DataFrame:
-    """one dimension of the long table; unknown names are an error."""
+    """one dimension of the published long table; unknown names are an error."""
+    return long.filter(F.col("dimension") == _known(dimension, dimensions))
+
+
+def analyse(df: DataFrame, dimension: str, dimensions: Mapping[str, Sequence[str]] = DIMENSIONS) -> DataFrame:
+    """F13 from the sessions: the rows ``lookup`` finds, aggregating that dimension alone."""
+    keys = dimensions[_known(dimension, dimensions)]
+    key2 = F.col(keys[1]) if len(keys) > 1 else F.lit(None)
+    return rollup(df, keys).select(F.lit(dimension).alias("dimension"), F.col(keys[0]).cast("string").alias("key1"),
+                                   key2.cast("string").alias("key2"), *MEASURE_NAMES)
+
+
+def _known(dimension: str, dimensions: Mapping[str, Sequence[str]]) -> str:
     if dimension not in dimensions:
         raise KeyError(f"unknown dimension: {dimension}")
-    return long.filter(F.col("dimension") == dimension)
+    return dimension

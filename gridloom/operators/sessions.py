@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions import columns as C
-from gridloom.operators.joins import BROADCAST_MAX_ROWS, join_dimension
+from gridloom.operators.joins import join_dimension
 
 RAW_SESSION_COLUMNS = ("sessionId", "kwhTotal", "charging_fees", "chargeTimeHrs", "created", "ended",
                        "stationId", "locationId", "platform", "facilityType", "managerVehicle")
@@ -81,7 +81,7 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str = "key") -> Non
     """Guard: raise instead of picking one of several rows for a key.
     ``df`` must already be free of exact duplicates."""
     if df.groupBy(*keys).count().filter("count > 1").limit(1).count():
-        raise KeyConflictError(f"Conflicting {what}; refusing arbitrary deduplication")
+        raise KeyConflictError(f"rows that differ share a {what}")
 
 
 def dedup_accepted(classified: DataFrame, raw_columns: Sequence[str],
@@ -124,13 +124,13 @@ def clean_sessions(raw: DataFrame, century_years: Sequence[str] = C.DEFAULT_CENT
     return dedup_accepted(classify(type_sessions(raw, century_years)), raw.columns, century_years)
 
 
-def enrich(clean: DataFrame, stations: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def enrich(clean: DataFrame, stations: DataFrame) -> DataFrame:
     """DWD session table: calendar keys, cleaned dimensions, bands and the
-    station label (left join: sessions without metadata are kept). Stations
-    above ``broadcast_max_rows`` are joined by a shuffle join, where AQE
-    splits a skewed (hot) station's partition."""
+    station label (left join: sessions without metadata are kept). A station
+    table too large to broadcast is joined by a shuffle join, where AQE splits
+    a skewed (hot) station's partition."""
     st = stations.select(F.col("stationId"), F.col("station_name"))
-    joined = join_dimension(clean, st, "stationId", "left", broadcast_max_rows)
+    joined = join_dimension(clean, st, "stationId", "left")
     s = F.col("started")
     return joined.select(
         "session_id", "energy", "fees", "duration", "started",
@@ -148,4 +148,12 @@ def enrich(clean: DataFrame, stations: DataFrame, broadcast_max_rows: int = BROA
 
 
 def dedup_stations(stations: DataFrame) -> DataFrame:
-    return stations.dropDuplicates()
+    """Station metadata without exact duplicates, one row a station.
+
+    Raises when it runs over a station with two different rows, which would
+    repeat its sessions in the join.
+    """
+    rows = unique_rows_by_key(stations, "stationId", stations.columns)
+    sound = F.when(F.col("_conflict"), F.raise_error(F.concat(
+        F.lit("stations: rows that differ share stationId "), F.col("stationId")))).otherwise(F.col("stationId"))
+    return rows.withColumn("stationId", sound).select(*stations.columns)

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import columns as C
-from gridloom.operators import calendar as CAL
 from gridloom.operators import features as FE
 from gridloom.operators import forecast as FC
 from gridloom.operators import models as MD
@@ -28,12 +27,12 @@ class ForecastResult:
     snapshot_version: int
 
 
-def run(spark: SparkSession, daily: DataFrame, root: str, days: int = 7, gbt_params: dict | None = None,
-        calendar: DataFrame | None = None) -> ForecastResult:
+def run(spark: SparkSession, daily: DataFrame, root: str, calendar: DataFrame, days: int = 7,
+        gbt_params: dict | None = None) -> ForecastResult:
+    """``calendar``: cal_date, is_workday, holiday_name of the exceptions to "weekends rest"."""
     days = FC.check_horizon(days)
     base = root.rstrip("/")
     daily = SR.load_series(daily)
-    calendar = calendar if calendar is not None else CAL.calendar_for(daily)
     features = FE.build_features(daily, calendar)
     rows = FE.training_rows(features)
     metrics, bundle = MD.train_deployed(rows, gbt_params)

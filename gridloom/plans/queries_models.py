@@ -81,5 +81,5 @@ def forecast_job(spark, sf_dir):
     from gridloom.plans import forecasting as FJ
     from gridloom.session import scratch_path
     s = Series(spark, sf_dir)
-    res = FJ.run(spark, s.daily, scratch_path(spark, "forecast-job"), HORIZON, calendar=s.calendar)
+    res = FJ.run(spark, s.daily, scratch_path(spark, "forecast-job"), s.calendar, HORIZON)
     return res.report

@@ -15,6 +15,7 @@ from gridloom.plans.catalog import register, stable
 from gridloom.plans.inputs import Inputs
 from gridloom.session import materialize, scratch_path
 from gridloom.sources import raw as RAW
+from gridloom.sources.fixtures import work_calendar
 
 HORIZON = 7
 PANEL_KEYS = ["priority"]
@@ -158,14 +159,14 @@ class Series:
         # folder: the forecast branches (tail, profile, future frame, session
         # model, calendar years) read it instead of rescanning the orders.
         self.daily = materialize(SR.daily_series(self.w.order_sessions))
-        self.calendar = CAL.calendar_for(self.daily)
+        self.calendar = work_calendar(self.daily)
         self.features = FE.build_features(self.daily, self.calendar)
         self.rows = FE.experiment_rows(self.features)
         self.split_rows = SR.time_split(self.rows)
 
     def panel(self):
         d = materialize(SR.daily_series(self.w.order_sessions, PANEL_KEYS))
-        return d, FE.build_features(d, CAL.calendar_for(d), PANEL_KEYS)
+        return d, FE.build_features(d, work_calendar(d), PANEL_KEYS)
 
     def naive(self):
         return FC.naive_predictions(self.split_rows)
@@ -493,7 +494,7 @@ def panel_forecast(spark, sf_dir):
     """W6 for many series at once: one fold per series, all series in parallel."""
     s = _s(spark, sf_dir)
     d, f = s.panel()
-    cal = CAL.calendar_for(d)
+    cal = work_calendar(d)
     fut = FC.future_frame(f, HORIZON, cal, PANEL_KEYS)
     prof = FC.dow_ratio_profile(f, PANEL_KEYS)
     ratios = fut.join(prof, [*PANEL_KEYS, "dow"]).select(*PANEL_KEYS, SR.DATE, "ratio")

@@ -12,7 +12,7 @@ from gridloom.operators import telemetry as B
 from gridloom.plans import oracle_sql as O
 from gridloom.plans.catalog import register, stable
 from gridloom.plans.inputs import Inputs
-from gridloom.session import scratch_path
+from gridloom.session import materialize, scratch_path
 from gridloom.sources import raw as RAW
 
 MEAS = list(O.MEASURE_COLS)
@@ -242,7 +242,7 @@ def snapshot_check(spark, sf_dir):
 @register("analysis_lookup", O.rounded(O.with_ctes(O.DWD + _TOTAL_CTE, """
 SELECT * FROM longr WHERE dimension = 'platform_facility'"""), MEAS))
 def analysis_lookup(spark, sf_dir):
-    return stable(R.lookup(R.rollup_all(_w(spark, sf_dir).dwd), "platform_facility"))
+    return stable(R.analyse(_w(spark, sf_dir).dwd, "platform_facility"))
 
 
 # ---------------------------------------------------------------- marts
@@ -301,7 +301,7 @@ SELECT platform,
   coalesce(sum(energy) FILTER (WHERE facility = '4'), 0) AS "4"
 FROM dwd GROUP BY platform"""), ["1", "2", "3", "4"]))
 def pivot_platform_facility(spark, sf_dir):
-    r = R.dimension_rollup(_w(spark, sf_dir).dwd, "platform_facility")
+    r = materialize(R.dimension_rollup(_w(spark, sf_dir).dwd, "platform_facility"))
     return stable(M.pivot_matrix(r, "platform", "facility", "energy"))
 
 
@@ -326,9 +326,7 @@ _CATS = [("month", "month"), ("hour", "hour"), ("weekday", "weekday"), ("duratio
 def mart_category(spark, sf_dir):
     d = _w(spark, sf_dir).dwd
     dims = {c: R.DIMENSIONS[c] for c, _ in _CATS}
-    grouped = R.grouped_sets(d, dims)   # one aggregation for the six charts
-    rolls = {c: R.dimension_from_grouped(grouped, c, dims) for c, _ in _CATS}
-    return stable(M.category_series(rolls, dict(_CATS), "energy"))
+    return stable(M.category_series(R.rollup_all(d, dims), "energy"))
 
 
 @register("mart_battery", O.rounded(O.with_ctes(O.BATTERY, """
@@ -359,7 +357,6 @@ def _document(spark, sf_dir):
     """The dashboard document over materialised DWD/telemetry tables (each
     input table is computed once, as in the job), written once as well."""
     from gridloom.operators import payload as P
-    from gridloom.session import materialize
     w = _w(spark, sf_dir)
     cl = materialize(w.classified)
     from gridloom.sources.fixtures import FIXTURE_CENTURY_YEARS
@@ -401,12 +398,15 @@ def snapshot_read(spark, sf_dir):
     return stable(P.explode_document(SN.read_latest(spark, root, "dashboard"), schema))
 
 
-@register("snapshot_ready")
+@register("snapshot_ready", O.with_ctes(O.DWD, """
+SELECT CASE WHEN count(*) > 0 THEN 'ok' ELSE 'not_ready' END AS status, CAST(1 AS INTEGER) AS version,
+       count(*) > 0 AS dated FROM dwd"""))
 def snapshot_ready(spark, sf_dir):
-    """readiness of the latest committed snapshot (status, version, generated_at)."""
+    """readiness of the latest committed snapshot; ``dated``: it carries its publication time."""
     from gridloom.sources import snapshot as SN
     root, _ = _publish_document(spark, sf_dir)
-    return SN.readiness(spark, root, "dashboard")
+    return SN.readiness(spark, root, "dashboard").select(
+        "status", "version", F.col("generated_at").isNotNull().alias("dated"))
 
 
 # ---------------------------------------------------------------- the whole job

@@ -67,12 +67,12 @@ def build(spark: SparkSession, raw_paths: dict[str, str], root: str,
     raw_cols = list(ods["sessions"].columns)
     keyed = _w(S.unique_rows_by_key(S.accepted(cl), "session_id", raw_cols), root, "dwd", "clean_raw_sessions")
     if keyed.filter("_conflict").limit(1).count():
-        raise S.KeyConflictError("Conflicting session IDs; refusing arbitrary deduplication")
+        raise S.KeyConflictError("sessions: rows that differ share a session_id")
     clean = _w(S.type_sessions(keyed.drop("_conflict"), century_years), root, "dwd", "clean_sessions")
 
     st = _w(S.unique_rows_by_key(ods["stations"], "stationId", ods["stations"].columns), root, "dwd", "stations_keyed")
     if st.filter("_conflict").limit(1).count():
-        raise S.KeyConflictError("Conflicting station IDs")
+        raise S.KeyConflictError("stations: rows that differ share a stationId")
     stations = _w(st.drop("_conflict"), root, "dwd", "stations")
     parts = [partition_sessions_by] if partition_sessions_by else None
     dwd = _w(S.enrich(clean, stations), root, "dwd", "sessions", partition_by=parts)

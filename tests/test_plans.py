@@ -38,7 +38,17 @@ def test_twelve_rollups_are_one_grouping_sets_shuffle(spark):
     assert any("HashAggregate" in ln and "partial_count" in ln for ln in below)
 
 
-def test_station_join_is_a_checked_broadcast(spark):
+def test_category_charts_share_one_aggregate(spark):
+    lines = _query_plan(spark, "mart_category").splitlines()
+    assert sum("Expand [" in ln for ln in lines) == 1
+    assert "Union" not in "".join(lines)
+
+
+def test_lookup_of_one_dimension_expands_nothing(spark):
+    assert "Expand [" not in _query_plan(spark, "analysis_lookup")
+
+
+def test_small_station_table_is_broadcast_by_its_bytes(spark):
     p = _query_plan(spark, "sessions_enriched")
     assert "BroadcastHashJoin" in p and "LeftOuter" in p and "SortMergeJoin" not in p
 

@@ -1,5 +1,6 @@
 """Invariants of the warehouse and the forecast, independent of the oracles."""
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -18,6 +19,7 @@ from gridloom.plans.inputs import Inputs
 from gridloom.session import scratch_path
 from gridloom.sources import raw as RAW
 from gridloom.sources import snapshot as SN
+from gridloom.sources.fixtures import HOLIDAYS, MAKEUP_WORKDAYS, work_calendar
 
 
 def test_accepted_plus_rejected_is_source(spark):
@@ -97,6 +99,65 @@ def test_snapshot_failure_keeps_previous_version(spark):
     assert SN.readiness(spark, root, "x").first()["version"] == 2
 
 
+def test_snapshot_recovers_from_a_failed_write(spark):
+    root = scratch_path(spark, "snap-test")
+    doc = spark.createDataFrame([("t1", "{}")], "generated_at string, payload string")
+    failing = doc.withColumn("payload", F.raise_error(F.lit("lost executor")).cast("string"))
+    with pytest.raises(Exception, match="lost executor"):
+        SN.publish(failing, root, "x")
+    assert SN.latest_version(spark, root, "x") is None
+    assert SN.publish(doc, root, "x") == 1
+    with pytest.raises(Exception, match="lost executor"):
+        SN.publish(failing, root, "x")
+    # A version without a commit marker is never served, and never written to again.
+    doc.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/x/version=2")
+    assert SN.readiness(spark, root, "x").first()["version"] == 1
+    assert SN.publish(doc, root, "x") == 3
+    assert SN.readiness(spark, root, "x").first()["version"] == 3
+
+
+def test_concurrent_writers_never_share_a_version(spark):
+    root = scratch_path(spark, "snap-test")
+    docs = [spark.createDataFrame([("t", str(i))], "generated_at string, payload string") for i in range(6)]
+    with ThreadPoolExecutor(max_workers=6) as pool:
+        versions = list(pool.map(lambda d: SN.publish(d, root, "x"), docs))
+    assert sorted(versions) == [1, 2, 3, 4, 5, 6]
+    for i, v in enumerate(versions):
+        assert spark.read.parquet(f"{root}/x/version={v}").first()["payload"] == str(i)
+
+
+def test_station_with_two_names_is_refused(spark):
+    stations = spark.createDataFrame([("7", "a"), ("7", "a"), ("8", "b")], "stationId string, station_name string")
+    assert sorted(map(tuple, S.dedup_stations(stations).collect())) == [("7", "a"), ("8", "b")]
+    both = stations.union(spark.createDataFrame([("7", "c")], stations.schema))
+    with pytest.raises(Exception, match="share stationId 7"):
+        S.dedup_stations(both).collect()
+
+
+def test_calendar_listing_a_date_twice_is_refused(spark):
+    days = spark.sql("SELECT DATE '2024-05-01' AS stat_date")
+    cal = spark.sql("SELECT DATE '2024-05-01' AS cal_date, false AS is_workday, 'a' AS holiday_name")
+    assert CAL.with_calendar(days, cal).first()["is_holiday"] == 1
+    with pytest.raises(Exception, match="listed more than once"):
+        CAL.with_calendar(days, cal.union(cal)).collect()
+
+
+def test_calendar_covers_the_longest_horizon(spark):
+    daily = spark.sql("SELECT DATE '2024-12-31' AS stat_date, 5.0D AS total_kwh, 3 AS t")
+    days = {str(r["stat_date"]): r["is_holiday"]
+            for r in FC.future_frame(daily, 366, work_calendar(daily)).collect()}
+    assert days["2026-01-01"] == 1 and days["2025-01-02"] == 0
+
+
+def test_analyse_finds_what_lookup_finds(spark):
+    dwd = Inputs(spark, SMALL).dwd
+    long = R.rollup_all(dwd)
+    for name in ("platform_facility", "station"):
+        a, b = R.analyse(dwd, name).drop("avg_power"), R.lookup(long, name).drop("avg_power")
+        a, b = ({tuple(r)[:4] for r in x.collect()} for x in (a, b))
+        assert a == b and a
+
+
 def test_recursive_forecast_matches_plain_loop(spark):
     hist = [100.0 + 7 * (i % 5) for i in range(20)]
     ratios = [0.8, 1.1, 3.5, -0.2, 1.0]
@@ -141,7 +202,7 @@ def test_ridge_equals_closed_form(spark):
 def test_features_do_not_leak_the_future(spark):
     w = Inputs(spark, SMALL)
     daily = SR.daily_series(w.order_sessions)
-    cal = CAL.calendar_for(daily)
+    cal = work_calendar(daily)
     day = daily.select("stat_date").orderBy("stat_date").offset(500).first()[0]
     changed = daily.withColumn("total_kwh", F.when(F.col("stat_date") == day, F.lit(1e12))
                                .otherwise(F.col("total_kwh")))
@@ -166,7 +227,7 @@ def test_lookup_unknown_dimension(spark):
 
 def test_calendar_rules(spark):
     years = spark.range(2024, 2026).select(F.col("id").cast("int").alias("year"))
-    cal = CAL.calendar_from_years(years)
+    cal = CAL.calendar_from_years(years, HOLIDAYS, MAKEUP_WORKDAYS)
     days = spark.createDataFrame([("2024-01-01",), ("2024-05-04",), ("2024-01-06",), ("2024-01-08",)], "d string") \
         .select(F.to_date("d").alias("stat_date"))
     got = {str(r["stat_date"]): (r["is_rest"], r["is_holiday"], r["is_makeup"])
@@ -207,7 +268,7 @@ def test_shuffle_join_fallback_with_hot_station(spark):
     try:
         for k in keys:   # a dimension too large for Spark's own size estimate as well
             spark.conf.set(k, "-1")
-        b = S.enrich(hot, w.stations, broadcast_max_rows=0)
+        b = S.enrich(hot, w.stations)
         rows_b = b.collect()
         plan_b = b._jdf.queryExecution().executedPlan().toString()
         top = R.rollup(b, ["station"]).orderBy(F.col("sessions").desc()).first()
