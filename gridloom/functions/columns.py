@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 # Fixed values that must equal the reference for identical results.
 # ---------------------------------------------------------------------------
 # Session timestamps are written as `yyyy-MM-dd HH:mm:ss`.
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIMESTAMP_SHAPE = r"^([0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2})\z"  # yyyy-MM-dd HH:mm:ss
 # Years written with a `00` century that are read as `20yy`.
 DEFAULT_CENTURY_YEARS = ("14", "15")
 # Label used for missing dimension values.
@@ -58,14 +58,12 @@ def repair_century(c, years: Sequence[str] = DEFAULT_CENTURY_YEARS) -> Column:
 
 
 # --- P3: strict timestamp parse ----------------------------------------------
-def safe_timestamp(c, fmt: str = TIMESTAMP_FORMAT) -> Column:
+def safe_timestamp(c) -> Column:
     """Strict parse, NULL on failure; wall-clock result (TIMESTAMP_NTZ).
 
-    Parsing and the cast back to NTZ both use the session zone, so the result
-    is the written wall-clock time whatever the zone; downstream calendar keys
-    are then zone independent.
+    No zone takes part, so an hour that the session zone skips stays as written.
     """
-    return F.try_to_timestamp(col(c), F.lit(fmt)).cast("timestamp_ntz")
+    return F.regexp_extract(col(c), TIMESTAMP_SHAPE, 1).try_cast("timestamp_ntz")
 
 
 # --- P4-P6: calendar keys -----------------------------------------------------

@@ -39,8 +39,8 @@ FEATURE_COLUMNS = (["t", "dow", "is_weekend", "month", "is_holiday", "is_rest"]
 
 
 def experiment_rows(features: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """rows with every feature present, re-positioned (``pos``)."""
-    f = features.dropna(subset=FEATURE_COLUMNS)
+    """rows with every column present, re-positioned (``pos``)."""
+    f = features.dropna()
     return SR.add_position(f, keys)
 
 

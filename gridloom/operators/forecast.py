@@ -177,23 +177,29 @@ def forecast_payload(history_points: DataFrame, forecast_points: DataFrame, gene
                      keys: Sequence[str] = ()) -> DataFrame:
     """One JSON document per series: ``generated_at, history_end,
     history[], forecast[]`` (points ``date, energy, sessions``), sorted by date."""
-    pt = F.struct(F.col("date"), F.col("energy").cast("double").alias("energy"), F.col("sessions"))
-    h = history_points.groupBy(*keys).agg(F.sort_array(F.collect_list(pt)).alias("history"),
-                                          F.max("date").alias("history_end"))
-    f = forecast_points.groupBy(*keys).agg(F.sort_array(F.collect_list(pt)).alias("forecast"))
+    def points(sessions: str) -> Column:
+        return F.sort_array(F.collect_list(F.struct(F.col("date"), F.col("energy").cast("double").alias("energy"),
+                                                    F.col("sessions").cast(sessions).alias("sessions"))))
+    # actual sessions are counts, forecast ones estimates
+    h = history_points.groupBy(*keys).agg(points("bigint").alias("history"), F.max("date").alias("history_end"))
+    f = forecast_points.groupBy(*keys).agg(points("double").alias("forecast"))
     if keys:
         j = h.join(f, list(keys))
     else:
         j = h.withColumn("_k", F.lit(1)).join(f.withColumn("_k", F.lit(1)), "_k").drop("_k")
     doc = F.struct(generated_at.alias("generated_at"), F.col("history_end"), F.col("history"), F.col("forecast"))
-    return j.select(*keys, doc.alias("doc"), F.to_json(doc).alias("payload"))
+    return j.select(*keys, doc.alias("doc"), F.to_json(doc, {"ignoreNullFields": "false"}).alias("payload"))
 
 
 def payload_check(payload: DataFrame) -> DataFrame:
     """F8/F9 for the forecast document: all four fields non-empty, all values finite."""
     d = F.col("doc")
-    finite = lambda a: F.forall(a, lambda p: ~C.is_nonfinite(p["energy"]))
+
+    def finite(points):
+        return F.forall(points, lambda p: ~C.is_nonfinite(p["energy"].cast("double"))
+                        & ~C.is_nonfinite(p["sessions"].cast("double")))
     ok = (d["generated_at"].isNotNull() & d["history_end"].isNotNull() & (F.size(d["history"]) > 0)
           & (F.size(d["forecast"]) > 0) & finite(d["history"]) & finite(d["forecast"]))
-    return payload.agg(F.bool_and(ok).alias("ok")).select(
+    # an unknown verdict is a refusal
+    return payload.agg(F.bool_and(F.coalesce(ok, F.lit(False))).alias("ok")).select(
         "ok", F.when(F.col("ok"), F.lit(None)).otherwise(F.lit("incomplete or non-finite forecast")).alias("reason"))

@@ -43,7 +43,7 @@ for _q, _c in (("ridge_trend", "lin_trend"), ("gbt_ratio", "gbr_ratio14"), ("gbt
 @register("gbt_logratio")
 def gbt_logratio(spark, sf_dir):
     """M1: the deployed log-ratio model's test metrics next to the 14-row mean."""
-    report, _ = MD.train_deployed(Series(spark, sf_dir).rows)
+    report, _ = MD.train_deployed(Series(spark, sf_dir).training)
     return stable(report)
 
 
@@ -62,7 +62,7 @@ def gbt_forecast(spark, sf_dir):
     next days recursively, estimate sessions (report rows as in the CSV copy)."""
     from gridloom.session import scratch_path
     s = Series(spark, sf_dir)
-    _, bundle = MD.train_deployed(s.rows)
+    _, bundle = MD.train_deployed(s.training)
     path = scratch_path(spark, "model")
     bundle.save(spark, path)
     bundle = MD.Bundle.load(spark, path)

@@ -162,6 +162,7 @@ class Series:
         self.calendar = work_calendar(self.daily)
         self.features = FE.build_features(self.daily, self.calendar)
         self.rows = FE.experiment_rows(self.features)
+        self.training = FE.training_rows(self.features)
         self.split_rows = SR.time_split(self.rows)
 
     def panel(self):
@@ -178,7 +179,8 @@ class Series:
         fut = FC.future_frame(self.features, days, self.calendar)
         prof = FC.dow_ratio_profile(self.features)
         # prof: 7 rows (one per weekday); ratios: one row per forecast day (<= 366)
-        ratios = fut.join(F.broadcast(prof), "dow").select(SR.DATE, "ratio", "is_holiday")
+        # a weekday without history keeps its day, with an unknown value
+        ratios = fut.join(F.broadcast(prof), "dow", "left").select(SR.DATE, "ratio", "is_holiday")
         fc = FC.recursive_forecast(self.daily, ratios.select(SR.DATE, "ratio"))
         sm = FC.session_model(self.daily)
         fc = fc.join(F.broadcast(ratios.select(SR.DATE, "is_holiday")), SR.DATE)
@@ -497,5 +499,5 @@ def panel_forecast(spark, sf_dir):
     cal = work_calendar(d)
     fut = FC.future_frame(f, HORIZON, cal, PANEL_KEYS)
     prof = FC.dow_ratio_profile(f, PANEL_KEYS)
-    ratios = fut.join(prof, [*PANEL_KEYS, "dow"]).select(*PANEL_KEYS, SR.DATE, "ratio")
+    ratios = fut.join(prof, [*PANEL_KEYS, "dow"], "left").select(*PANEL_KEYS, SR.DATE, "ratio")
     return stable(FC.recursive_forecast(d, ratios, PANEL_KEYS))

@@ -23,9 +23,11 @@ from gridloom.operators import sessions as S
 
 def raw_stream(spark: SparkSession, path: str, columns: Sequence[str] = S.RAW_SESSION_COLUMNS,
                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Text columns of every new header CSV file under ``path``."""
+    """Text columns of every new header CSV file under ``path``; a file whose header
+    names other columns, or the same in another order, fails the query."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    r = spark.readStream.schema(schema).option("header", True).option("mode", "FAILFAST")
+    r = spark.readStream.schema(schema).option("header", True).option("mode", "FAILFAST") \
+        .option("enforceSchema", False)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.csv(path)

@@ -256,6 +256,39 @@ def test_streaming_landing_matches_batch(spark):
     assert clean.count() == w.clean.count()
 
 
+def test_streaming_refuses_a_file_with_another_column_order(spark):
+    from gridloom.streaming import ingest
+    raw = Inputs(spark, SMALL).raw_sessions
+    cols = list(raw.columns)
+    cols[1], cols[2] = cols[2], cols[1]
+    base = scratch_path(spark, "stream-test")
+    RAW.write_csv(raw.select(*cols), f"{base}/in/a")
+    with pytest.raises(Exception):
+        ingest.start(spark, f"{base}/in/*", f"{base}/landed", f"{base}/chk").awaitTermination(120)
+
+
+def test_timestamps_keep_the_written_time_in_any_zone(spark):
+    texts = ["2014-03-30 02:30:00", "2014-13-01 00:00:00", "2014-1-01 00:00:00", "2014-01-01 00:00:00\n", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        got = [r[0] for r in df.select(C.safe_timestamp("x").cast("string")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == ["2014-03-30 02:30:00", None, None, None, None, None]
+
+
+@pytest.mark.parametrize("energy, sessions", [(float("nan"), 1.0), (1.0, float("inf")), (None, 1.0), (1.0, None)])
+def test_forecast_document_refuses_unknown_values(spark, energy, sessions):
+    hist = spark.createDataFrame([("2024-01-01", 2.0, 3)], "date string, energy double, sessions long")
+    good = spark.createDataFrame([("2024-01-02", 2.0, 3.0)], "date string, energy double, sessions double")
+    bad = spark.createDataFrame([("2024-01-02", energy, sessions)], good.schema)
+    doc = FC.forecast_payload(hist, good, F.lit("now"))
+    assert FC.payload_check(doc).first()["ok"] and '"sessions":3}' in doc.first()["payload"]
+    assert not FC.payload_check(FC.forecast_payload(hist, bad, F.lit("now"))).first()["ok"]
+
+
 def test_shuffle_join_fallback_with_hot_station(spark):
     """A third of all sessions on one station; the shuffle-join path (used
     when the dimension is too large to broadcast) gives the same rows."""
