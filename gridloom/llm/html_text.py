@@ -5,7 +5,11 @@ tag, adjusted by the share of characters and tags that are links against the
 page's own link share. The density sum of a node adds up the densities of its
 block children; the node with the largest sum holds the article. The smallest
 density on the path from that node up to the body is the threshold: blocks
-beside the path count as article text when they reach it. Elements that are
+beside the path count as article text when they reach it. When an article
+element holds the chosen node, all text of the outermost one is article text.
+Elsewhere in the body, loose text, inline children and blocks below the
+threshold are left out only where two links or more make up over half of their
+characters and they are no heading. Elements that are
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
 reader comments by their name, role, class or id are cut off before.
 
@@ -55,6 +59,7 @@ MARKS = frozenset(("ad ads advert adverts advertisement advertisements advertisi
                    "footer sidebar sidepanel cookie cookies consent gdpr notice notices popup modal overlay newsletter "
                    "subscribe subscription signup login comment comments commentlist respond replies disqus feedback "
                    "share sharing social related recommended widget toolbar pagination pager skip").split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEVER_MARKED = frozenset("html body main article".split())
 _NOT_ITSELF = frozenset("has with no without hide".split())
 
@@ -221,16 +226,46 @@ def main_text(page: str) -> str:
         up = up.parent
         path.append(up)
     threshold = min(n.density for n in path)
+    article = next((n for n in reversed(path) if n.name == "article"), best)
+    whole = {id(best), id(article)}
     out: list[str] = []
-    on_path = {id(n) for n in path[1:]}
-    stack = [body]
+    _add_beside(body, {id(n) for n in path}, whole, threshold, out)
+    return " ".join("".join(out).split())
+
+
+def _add_beside(body: Node, on_path: set[int], whole: set[int], threshold: float, out: list[str]) -> None:
+    """The chosen node or its article, and around it all text but lists of links below the threshold."""
+    stack: list[Node | list[Node | str]] = [body]
     while stack:
         node = stack.pop()
-        if node is best or (id(node) not in on_path and node.density >= threshold and node.chars):
+        if isinstance(node, list):
+            links = sum(x.link_tags for x in node if isinstance(x, Node))
+            linked = sum(x.link_chars for x in node if isinstance(x, Node))
+            chars = sum(_size(html.unescape(x)) if isinstance(x, str) else x.chars for x in node)
+            if links < 2 or 2 * linked <= chars:
+                for x in node:
+                    _add_text(x, out) if isinstance(x, Node) else out.append(html.unescape(x))
+        elif id(node) in whole or (id(node) not in on_path and (
+                node.name in HEADINGS or (node.density >= threshold and node.chars))):
             _add_text(node, out)
+        elif id(node) in on_path or node.link_tags < 2 or 2 * node.link_chars <= node.chars:
+            out.append(" ")
+            stack.extend(reversed(_runs(node, on_path)))
+
+
+def _runs(node: Node, on_path: set[int]) -> list[Node | list[Node | str]]:
+    """Block children and nodes of the path, and between them the runs of loose text and inline children."""
+    out: list[Node | list[Node | str]] = []
+    for x in node.items:
+        if isinstance(x, Node) and x.dropped:
+            continue
+        if isinstance(x, Node) and (x.name not in INLINE or id(x) in on_path):
+            out.append(x)
+        elif out and isinstance(out[-1], list):
+            out[-1].append(x)
         else:
-            stack.extend(reversed(_blocks(node)))
-    return " ".join("".join(out).split())
+            out.append([x])
+    return out
 
 
 def _inside(node: Node, body: Node) -> bool:

@@ -212,6 +212,28 @@ def test_html():
     assert html_text.main_text("plain") == "plain" and html_text.main_text("<nav>only</nav>") == ""
 
 
+def test_html_keeps_the_whole_article():
+    def p(letter, *sizes):
+        return "".join(f"<p>{letter * n}</p>" for n in sizes)
+
+    def found(page):
+        return html_text.main_text(page).split()
+
+    assert found(f"<article>Lead text <b>bold</b><div>{p('x', 300, 300)}</div>tail</article>") == [
+        "Lead", "text", "bold", "x" * 300, "x" * 300, "tail"]
+    title = f"<h1>{'t' * 30}</h1><div>{p('x', 300, 300, 300)}</div>"
+    for page in (f"<article>{title}</article>", f"<main><div class=wrap>{title}</div></main>", f"<body>{title}</body>",
+                 f"<article><div><div>{title}</div></div></article>", f"<body><font>{title}</font></body>"):
+        assert found(page) == ["t" * 30, *["x" * 300] * 3], page
+    sections = f"<section>{p('x', 300, 300, 300, 300)}</section><section><h2>second</h2>{p('y', 300, 250, 150)}</section>"
+    for name in ("article", "main", "body", "div"):
+        assert found(f"<{name}>{sections}</{name}>") == [*["x" * 300] * 4, "second", "y" * 300, "y" * 250, "y" * 150]
+    links = "<ul><li><a href=/1>one thing</a><li><a href=/2>other thing</a></ul>"
+    assert "thing" not in found(f"<body>{links}<article>{title}<nav>menu</nav></article>{links}</body>")
+    assert found(f"<body>{links}<article>{title}<div>{links}</div></article></body>").count("thing") == 2
+    assert found(f"<body><h1><a href=/1>linked</a> <a href=/2>title</a></h1><div>{p('x', 300, 300)}</div>{links}</body>")[:2] == ["linked", "title"]
+
+
 def test_html_table(spark):
     pages = spark.createDataFrame([(1, None, None, "c"), (None, "u", "<p>é 你</p>", "c"), (1, None, None, "c")],
                                   "page_id long, url string, html string, text string")
