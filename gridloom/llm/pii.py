@@ -8,6 +8,14 @@ patterns run over the rewritten text, and a match that used at least one
 rewritten character is mapped back to its span in the source. Base spans always
 stay; a disguised span inside a base span of its kind adds nothing.
 
+Numbers with a spelled digit are read in several ways, and the check of each
+kind decides. In an address, dots and dot words part the numbers; a full stop
+before a space does so only where a part has three digits, so a spoken count is
+none. In cards and phones, spaces, dots, hyphens, brackets, commas and one line
+break at a time may part the digits. A longer match takes the place of the
+shorter ones inside it, but a single digit after a comma or line break never
+lengthens a number that is complete without it.
+
 Defined results: a null text is empty and has no spans; offsets count code
 points of the original text, end exclusive; matches that fail their check are
 dropped and not tried again; repeated rows give repeated results; an empty
@@ -113,7 +121,7 @@ class Rewritten:
 _HIDDEN = re.compile(f"[{INVISIBLE}]")
 _ODD_RE = re.compile(_ODD)
 _DIGIT_PART = re.compile(rf"(?:{_WORDS})|[0-9]+", re.I)
-_SPELLED_WORD = re.compile(rf"(?<![A-Za-z])(?:{_WORDS})(?![A-Za-z])", re.I)
+_SPELLED_WORD = re.compile(rf"(?<![A-Za-z])(?:{_WORDS})+(?![A-Za-z])", re.I)
 _DOT_WORD = re.compile(r"(?<![A-Za-z])dot(?![A-Za-z])", re.I)
 
 
@@ -146,15 +154,21 @@ def _dots(m: re.Match, part: str) -> list[tuple[int, int, str]]:
     return [(m.start(part) + d.start(), m.start(part) + d.end(), ".") for d in _BARE_DOT.finditer(m[part])]
 
 
-def rewrite(text: str) -> Rewritten | None:
-    """The text without disguises, or None when it has none."""
-    if not _disguised(text):
-        return None
+def _signs(text: str) -> Rewritten:
+    """The text with plain characters, signs and dots; number words and bare words stay."""
     out = Rewritten(text)
     out.sub(_HIDDEN, "")
     out.sub(_ODD_RE, lambda m: _SINGLE[ord(m[0])])
     out.sub(_BRACKET_AT, "@")
     out.sub(_BRACKET_DOT, ".")
+    return out
+
+
+def rewrite(text: str) -> Rewritten | None:
+    """The text without disguises, or None when it has none."""
+    if not _disguised(text):
+        return None
+    out = _signs(text)
     if _digit_runs(out.text):
         out.sub(_SPELLED_PLUS, "+")
         out.replace(_digit_runs(out.text))
@@ -195,6 +209,112 @@ def matches(text: str, kind: str) -> list[tuple[int, int]]:
     return [m.span() for m in PATTERNS[kind].finditer(text) if _passes(kind, m[0])]
 
 
+_GAP = r"[\s().,_-]{0,8}"
+_ATOM = rf"(?:(?<![A-Za-z])(?:{_WORDS})++(?![A-Za-z])|(?<![0-9])[0-9]++)"
+_PLUS_WORD = r"(?<![A-Za-z])plus(?![A-Za-z])"
+#: Digits and spelled digits in a row, with the separators that any number kind may have.
+_STRETCH = re.compile(rf"(?:(?:\+|{_PLUS_WORD}){_GAP})?{_ATOM}(?:{_GAP}(?:(?<![A-Za-z])dot(?![A-Za-z]){_GAP})?{_ATOM})+", re.I)
+_TOKEN = re.compile(rf"(?P<plus>\+|plus)|(?P<digit>{_WORDS}|[0-9])|(?P<gap>(?:dot|[\s().,_-])+)", re.I)
+_IP_DOT = re.compile(r"[\x20_-]*dot[\x20_-]*|[\x20]+\.[\x20]*|\.", re.I)
+_FULL_STOP = re.compile(r"\.[\x20]+")
+_JOINED = re.compile(r"[\x20_-]+")
+_TIGHT = re.compile(r"[\x20.-]+")
+#: Stands for a gap that ends a number.
+_END = "|"
+
+
+class Gap:
+    """Separators between two digits: whether those are spelled, and the digits up to the next comma or line break."""
+
+    __slots__ = ("text", "left", "right", "ahead")
+
+    def __init__(self, text: str, left: bool):
+        self.text, self.left, self.right, self.ahead = text, left, False, 0
+
+    @property
+    def lines(self) -> int:
+        return self.text.count("\n")
+
+    @property
+    def breaks(self) -> bool:
+        return "," in self.text or "\n" in self.text
+
+
+def _ip_gap(gap: Gap, either: bool, stops: bool) -> str:
+    if _IP_DOT.fullmatch(gap.text) or (stops and _FULL_STOP.fullmatch(gap.text)):
+        return "."
+    joined = gap.left or gap.right if either else gap.left and gap.right
+    return "" if joined and _JOINED.fullmatch(gap.text) else _END
+
+
+def _long_part(found: str) -> bool:
+    return any(len(part) == 3 for part in found.split("."))
+
+
+#: Readings of a stretch, from strict to loose: kinds, what a gap becomes, further check,
+#: and whether a match may replace shorter ones.
+_READINGS = (
+    (("ip",), lambda g: _ip_gap(g, False, False), None, True),
+    (("ip",), lambda g: _ip_gap(g, True, False), None, True),
+    (("ip",), lambda g: _ip_gap(g, True, True), _long_part, True),
+    (("card", "phone"), lambda g: "" if _TIGHT.fullmatch(g.text) else _END, None, True),
+    (("card", "phone"), lambda g: "" if not g.lines and (g.ahead > 1 or not g.breaks) else _END, None, True),
+    (("card", "phone"), lambda g: "" if g.lines < 2 and (g.ahead > 1 or not g.breaks) else _END, None, True),
+    (("card", "phone"), lambda g: "" if g.lines < 2 else _END, None, False),
+)
+
+
+def _tokens(stretch: str) -> list[tuple[str | Gap, int, int, bool]]:
+    """Sign, digits and gaps with their places in the stretch, and whether a digit is spelled."""
+    out: list[tuple[str | Gap, int, int, bool]] = []
+    for m in _TOKEN.finditer(stretch):
+        if m["plus"]:
+            out.append(("+", m.start(), m.end(), False))
+        elif m["digit"]:
+            out.append((SPELLED.get(m[0].lower(), m[0]), m.start(), m.end(), not m[0].isdigit()))
+        elif out[-1][0] != "+":
+            out.append((Gap(m[0], out[-1][3]), m.start(), m.end(), False))
+    ahead, right = 0, False
+    for token, _, _, spelled in reversed(out):
+        if isinstance(token, Gap):
+            token.right, token.ahead = right, ahead
+            ahead = 0 if token.breaks else ahead
+        else:
+            ahead, right = ahead + 1, spelled
+    return out
+
+
+def _spelled_numbers(clear: Rewritten, base: dict[str, list], every: dict[str, list]) -> None:
+    """Add the numbers that use a spelled digit to the spans of their kinds."""
+    for stretch in _STRETCH.finditer(clear.text):
+        if not _DIGIT_WORD.search(stretch[0]):
+            continue
+        tokens = _tokens(stretch[0])
+        for kinds, becomes, check, replaces in _READINGS:
+            text, place = [], []
+            for token, start, end, spelled in tokens:
+                new = becomes(token) if isinstance(token, Gap) else token
+                if new:
+                    text.append(new)
+                    place.append((start, end, spelled))
+            whole = "".join(text)
+            for kind in kinds:
+                for a, b in matches(whole, kind):
+                    if not any(p[2] for p in place[a:b]) or (check and not check(whole[a:b])):
+                        continue
+                    span = (clear.lo[stretch.start() + place[a][0]], clear.hi[stretch.start() + place[b - 1][1] - 1])
+                    _add(span, base[kind], every[kind], replaces)
+
+
+def _add(span: tuple[int, int], base: list[tuple[int, int]], extra: list[tuple[int, int]], replaces: bool) -> None:
+    """Add a span that is in no other one; it takes the place of the disguised spans inside it."""
+    if any(s <= span[0] and span[1] <= e for s, e in (*base, *extra)):
+        return
+    if not replaces and any(s < span[1] and span[0] < e for s, e in (*base, *extra)):
+        return
+    extra[:] = [x for x in extra if not (span[0] <= x[0] and x[1] <= span[1])] + [span]
+
+
 def spans(text: str) -> tuple[dict[str, list[tuple[int, int]]], dict[str, list[tuple[int, int]]]]:
     """Base spans and all spans of each kind, in order."""
     base = {kind: matches(text, kind) for kind in KINDS}
@@ -209,8 +329,10 @@ def spans(text: str) -> tuple[dict[str, list[tuple[int, int]]], dict[str, list[t
                 span = clear.lo[start], clear.hi[end - 1]
                 if not any(s <= span[0] and span[1] <= e for s, e in base[kind]):
                     extra.append(span)
-        every[kind] = sorted(base[kind] + extra)
-    return base, every
+        every[kind] = extra
+    if _SPELLED_WORD.search(text) or not text.isascii():
+        _spelled_numbers(_signs(text), base, every)
+    return base, {kind: sorted(base[kind] + every[kind]) for kind in KINDS}
 
 
 def listing(found: dict[str, list[tuple[int, int]]]) -> str:

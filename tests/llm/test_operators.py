@@ -367,6 +367,34 @@ def test_personal_data(spark):
     assert [(s, e) for s, e in pii.spans("jоhn@exаmple.com!")[1]["email"]] == [(0, 16)]
 
 
+@pytest.mark.parametrize("kind, text", [
+    ("ip", "one nine two dot one six eight dot one dot one"), ("ip", "192.168.one.one"),
+    ("ip", "one nine two . one six eight . one . one"), ("ip", "one nine two. one six eight. one. one"),
+    ("ip", "one nine two [dot] 168 (dot) oneone dot 2"), ("ip", "10.zero.0 dot one"),
+    ("phone", "plus four four, two zero, seven nine four six, zero nine five eight"),
+    ("phone", "plus one (five five five) one two three, four five six seven"),
+    ("phone", "+44 (two zero) 7946\nzero nine five eight"), ("phone", "+ four four two zero seven nine four six 0958"),
+    ("card", "four one one one one one one one\none one one one one one one one"),
+    ("card", "four one one one, 1111 (1111) one one one one"), ("card", ", ".join(["four", *["one"] * 15])),
+    ("card", ".".join(["four", *["one"] * 15])), ("card", "411111111111111 one"),
+])
+def test_spelled_numbers(kind, text):
+    for around in ("{}", "see {}. Thanks", "at one of them,\n\n{};\n\ntwo of us", "é {} x"):
+        whole = around.format(text)
+        start = whole.index(text)
+        assert (start, start + len(text)) in pii.spans(whole)[1][kind], whole
+    assert re.fullmatch(r"(\[(ip|card|phone)\])+", pii.redact_text(text))
+
+
+def test_number_words_of_prose_stay():
+    for text in ("One. Two. Three. Four.", "1. one 2. two 3. three 4. four", "one, two, three, four, five", "two plus two",
+                 "nine nine nine dot one dot one dot one", "four one one one\n\n" + "one " * 12, "someone dot twofold dot one dot nine"):
+        assert not any(pii.spans(text)[1].values()), text
+    found = pii.spans("plus one four one five five five five two six seven one, two of us")[1]
+    assert found["phone"] == [(0, len("plus one four one five five five five two six seven one"))]
+    assert pii.spans("room one 192.168.one.one")[1]["ip"] == [(9, 24)]
+
+
 def test_rewriting_keeps_offsets():
     text = "a​b " + "１" * 3 + " [at] end"
     out = pii.rewrite(text)
