@@ -8,8 +8,10 @@ that differ by few edits agree in most steps, so samples of a few steps collide
 often. An item of length n meets windows of any start; the walk of a window
 needs no length, as samples come from steps that both walks take inside the
 item. Repetitions (embedding, sample) are added until the measured collision
-rate of edited items reaches the target recall. Every colliding window is then
-checked by exact edit distance against the item.
+rate of edited items reaches the target recall. Items that do not reach it, or
+are too long for such walks, meet every stretch that shares enough word triples
+with them, which loses no match. Every candidate is then checked by exact edit
+distance against the item.
 
 Windows are embedded only where a leak is possible: an item of n words within d
 edits shares at least n - 2 - 3 d of its word triples with its window, so
@@ -46,6 +48,10 @@ MIN_ITEM_WORDS = 5
 BLOCK_BYTES = 4 << 20
 #: Steps that a sample reads, samples taken from one embedding, repetitions at most.
 SAMPLED, PER_EMBEDDING, MOST = 4, 6, 240
+#: Items from this length on go by their triples alone, as longer walks drift apart.
+LONG_ITEM_WORDS = 256
+#: Items that go by their triples and are looked up together.
+EXACT_ITEMS = 64
 TRIPLE = 3
 
 _TRIPLE_BASE = 0x94D049BB133111EB
@@ -80,6 +86,7 @@ class Items:
     ids: list[int | None]
     words: list[np.ndarray]
     classes: list[Class]
+    exact: list[tuple[np.ndarray, np.ndarray]]
     triples: np.ndarray
     likely: np.ndarray
     span: int
@@ -155,23 +162,27 @@ def _edited(words: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     return np.array([*out, *rng.integers(1, 1 << 62, 2 * len(words)).tolist()], np.uint64)
 
 
-def _repetitions(words: list[np.ndarray], lo: int) -> list[tuple[int, np.ndarray]]:
-    """As many repetitions as edited items need to collide with the target probability."""
+def _repetitions(words: list[np.ndarray], lo: int) -> list[tuple[int, np.ndarray]] | None:
+    """As many repetitions as edited items need to collide with the target probability, or None when none suffice."""
     rng = np.random.default_rng(lo)
-    trial = _sampled(lo, 8 * PER_EMBEDDING, 1)
+    most = MOST // PER_EMBEDDING
+    trial = _sampled(lo, MOST, 1)
     some = [words[i] for i in rng.choice(len(words), 200)]
     edited = [_edited(w, rng) for w in some]
-    pad = 4 * max(map(len, some))
+    pad = max(map(len, some))
     plain, at = _flat(some, pad)
     other, other_at = _flat(edited, pad)
     hits = np.array([a == b for a, b in zip(_keys(plain, at, trial), _keys(other, other_at, trial))])
-    # The chance to miss is averaged over pairs, as far edits collide less than near ones.
-    by_embedding = hits.reshape(8, PER_EMBEDDING, -1).any(axis=1).mean(axis=0)
-    for embeddings in range(1, MOST // PER_EMBEDDING + 1):
-        missed = np.mean((1 - np.clip(by_embedding, 1 / 16, 1)) ** embeddings)
-        if missed <= 1 - TARGET_RECALL:
-            break
-    return _sampled(lo, embeddings * PER_EMBEDDING, 2)
+    # The chance to miss is averaged over pairs, as far edits collide less than near ones. For each it is
+    # the share of draws of that many trial embeddings that hold no colliding one, which has no bias.
+    blank = most - hits.reshape(most, PER_EMBEDDING, -1).any(axis=1).sum(axis=0)
+    missed = np.ones(len(some))
+    for embeddings in range(1, most + 1):
+        missed *= np.maximum(blank - embeddings + 1, 0) / (most - embeddings + 1)
+        # A tenth of the misses that the target allows, and two standard errors for pairs that the trial did not draw.
+        if missed.mean() + 2 * missed.std() / len(missed) ** 0.5 <= (1 - TARGET_RECALL) / 10:
+            return _sampled(lo, embeddings * PER_EMBEDDING, 2)
+    return None
 
 
 def prepare(rows: list[tuple[int | None, str | None]]) -> Items | None:
@@ -184,26 +195,30 @@ def prepare(rows: list[tuple[int | None, str | None]]) -> Items | None:
         return None
     ids, words = [k[0] for k in kept], [k[1] for k in kept]
     lengths = np.array([len(w) for w in words])
-    classes, lo = [], MIN_ITEM_WORDS
+    classes, unsure, lo = [], [], MIN_ITEM_WORDS
     while lo <= lengths.max():
         hi = max(lo + 1, lo * 3 // 2)
         own = np.flatnonzero((lengths >= lo) & (lengths < hi))
         if len(own):
             members = [words[i] for i in own]
             shortest = int(lengths[own].min())
-            steps = _repetitions(members, shortest)
-            flat, at = _flat(members, 4 * hi)
-            keys, items = [], []
-            for k in _keys(flat, at, steps):
-                order = np.argsort(k, kind="stable")
-                keys.append(k[order])
-                items.append(own[order])
-            classes.append(Class(steps, keys, items))
+            steps = _repetitions(members, shortest) if shortest < LONG_ITEM_WORDS else None
+            if steps is None:
+                unsure += own.tolist()
+            else:
+                flat, at = _flat(members, 4 * hi)
+                keys, items = [], []
+                for k in _keys(flat, at, steps):
+                    order = np.argsort(k, kind="stable")
+                    keys.append(k[order])
+                    items.append(own[order])
+                classes.append(Class(steps, keys, items))
         lo = hi
+    exact = [_by_triple(words, unsure[i:i + EXACT_ITEMS]) for i in range(0, len(unsure), EXACT_ITEMS)]
     triples = np.unique(np.concatenate([_triples(w)[0] for w in words]))
     likely = np.zeros(1 << 20, bool)
     likely[(triples >> np.uint64(44)).astype(np.int64)] = True
-    return Items(ids, words, classes, triples, likely,
+    return Items(ids, words, classes, exact, triples, likely,
                  max(n + edits_allowed(n) for n in lengths.tolist()),
                  min(n - TRIPLE + 1 - TRIPLE * edits_allowed(n) for n in lengths.tolist()))
 
@@ -213,6 +228,14 @@ def _triples(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _spans(words, start, start + TRIPLE, _TRIPLE_BASE), start
 
 
+def _by_triple(words: list[np.ndarray], items: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct triples of some items in order, and the item of each."""
+    own = [np.unique(_triples(words[i])[0]) for i in items]
+    keys, owners = np.concatenate(own), np.repeat(items, [len(k) for k in own])
+    order = np.argsort(keys, kind="stable")
+    return keys[order], owners[order]
+
+
 def _possible(words: np.ndarray, items: Items) -> np.ndarray:
     """Starts of windows with enough triples of items to hold a match; triples may cross texts, which only adds some."""
     keys, _ = _triples(words)
@@ -252,6 +275,33 @@ def _candidates(words: np.ndarray, starts: np.ndarray, items: Items) -> Iterator
                 yield np.repeat(starts[hit], n), owners[np.repeat(lo[hit], n) + offset]
 
 
+def _exact_candidates(words: np.ndarray, texts_at: np.ndarray, items: Items) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(start, item) pairs at both ends of every stretch with enough triples of an item that goes by them."""
+    if not items.exact:
+        return
+    keys, _ = _triples(words)
+    at = np.minimum(np.searchsorted(items.triples, keys), len(items.triples) - 1)
+    place = np.flatnonzero(items.triples[at] == keys)
+    keys = keys[place]
+    size = np.array([len(w) for w in items.words])
+    edits = np.array([edits_allowed(n) for n in size.tolist()])
+    for known, owners in items.exact:
+        lo = np.searchsorted(known, keys)
+        n = np.searchsorted(known, keys, side="right") - lo
+        offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        item, start = owners[np.repeat(lo, n) + offset], np.repeat(place, n)
+        order = np.lexsort((start, item))
+        item, start = item[order], start[order]
+        # Triples of an item in the longest run that it may match, from each of them on.
+        row = item * (2 * len(words) + items.span) + start
+        count = np.searchsorted(row, row + size[item] + edits[item] - TRIPLE, side="right") - np.arange(len(row))
+        enough = count >= size[item] - TRIPLE + 1 - TRIPLE * edits[item]
+        item, start = item[enough], start[enough]
+        # Such a run begins at most its length before the first triple, in the same text.
+        text_at = texts_at[np.searchsorted(texts_at, start, side="right") - 1]
+        yield np.concatenate([np.maximum(start - size[item], text_at), start]), np.concatenate([item, item])
+
+
 def find(texts: list[str], items: Items) -> list[list[dict]]:
     """Matches of each text: item, its words, edit distance and the word after the matching run."""
     out: list[list[dict]] = [[] for _ in texts]
@@ -268,8 +318,8 @@ def find(texts: list[str], items: Items) -> list[list[dict]]:
     flat, at = _flat([hashes[chunk.word_at[d]:chunk.word_at[d + 1]] for d in docs], pad)
     row = np.searchsorted(docs, chunk.doc[starts])
     moved = starts - chunk.word_at[docs][row] + at[row]
-    pairs = list(_candidates(flat, moved, items))
-    if not pairs:
+    pairs = [*_candidates(flat, moved, items), *_exact_candidates(flat, at, items)]
+    if not sum(len(p[0]) for p in pairs):
         return out
     start = np.concatenate([p[0] for p in pairs])
     item = np.concatenate([p[1] for p in pairs])

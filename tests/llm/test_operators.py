@@ -134,6 +134,43 @@ def test_decontamination(spark, bench):
     assert decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), none).count() == 0
 
 
+def _edited_items(n_words, count, seed):
+    """Items, and texts that hold each of them with as many edits as are allowed."""
+    rng = random.Random(seed)
+
+    def draw(k):
+        return [f"w{rng.randrange(50000)}" for _ in range(k)]
+
+    items, texts = [draw(n_words) for _ in range(count)], []
+    for item in items:
+        w = list(item)
+        for _ in range(decontaminate.edits_allowed(n_words)):
+            at, new = rng.randrange(len(w)), f"e{rng.randrange(10**9)}"
+            w[at:at + rng.randrange(2)] = [new] * rng.randrange(2)
+        texts.append(" ".join(draw(rng.randrange(200)) + w + draw(rng.randrange(200))))
+    return [(i, " ".join(w)) for i, w in enumerate(items)], texts
+
+
+@pytest.mark.parametrize("n_words, count", [(60, 200), (300, 40), (1600, 20)])
+def test_long_items_are_found(n_words, count):
+    rows, texts = _edited_items(n_words, count, n_words)
+    found = decontaminate.find([*texts, prose(3000, 3)], decontaminate.prepare(rows))
+    assert [[f["item_id"] for f in x] for x in found] == [[i] for i in range(count)] + [[]]
+    assert all(f["edits"] <= decontaminate.edits_allowed(n_words) for x in found for f in x)
+
+
+def test_items_beyond_the_target_go_by_triples(monkeypatch):
+    rows, texts = _edited_items(40, 150, 7)
+    monkeypatch.setattr(decontaminate, "MOST", decontaminate.PER_EMBEDDING)
+    items = decontaminate.prepare([*rows, (999, "five words of no text")])
+    assert len(items.classes) == 1 and sum(len(set(owners)) for _, owners in items.exact) == 150
+    found = decontaminate.find(texts, items)
+    assert [[f["item_id"] for f in x] for x in found] == [[i] for i in range(150)]
+    # At the very start and end of a text, and twice in one.
+    edge = [rows[0][1], f"{rows[1][1]} {rows[0][1]} {rows[1][1]}", ""]
+    assert [[f["item_id"] for f in x] for x in decontaminate.find(edge, items)] == [[0], [0, 1], []]
+
+
 def test_mixing(awkward, docs):
     for table in (awkward, docs):
         rows = mixing.mix_with_plan(table).select("row.doc_id", "row.source", "epoch", "source_plan.*").collect()
