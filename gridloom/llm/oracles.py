@@ -64,4 +64,40 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(l.n
 FROM d LEFT JOIN left_over l USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_quality_rules": _OP1, "op5_warc": _OP5, "op9_substring_dedup": _OP9}
+_OP13 = rf"""
+WITH l AS (SELECT doc_id, CAST(max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS BIGINT) AS good,
+                  CAST(max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS BIGINT) AS toxic FROM labels GROUP BY doc_id),
+d AS (SELECT documents.doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_WORDS} AS ws,
+             coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             min(documents.doc_id) OVER (PARTITION BY coalesce(text, '')) AS original
+      FROM documents LEFT JOIN l USING (doc_id)),
+fails AS (SELECT part, good, toxic,
+                 CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END
+              || CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END
+              || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+              || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+              || CASE WHEN original < doc_id THEN 'E' ELSE '' END AS failed FROM d),
+c AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fails GROUP BY part, failed),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+o AS (SELECT a.k || b.k || x.k || y.k || z.k AS filter_order FROM f a, f b, f x, f y, f z
+      WHERE len(list_distinct([a.k, b.k, x.k, y.k, z.k])) = 5),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS k,
+             substr(filter_order, 1, step - 1) AS before FROM o, range(1, 6) AS r(step)),
+hit AS (SELECT part, filter_order, step, k, n, good, toxic, contains(failed, k) AS fails, failed = k AS only_this,
+               before <> '' AND regexp_matches(failed, '[' || before || 'x]') AS gone FROM c, s),
+g AS (SELECT part, filter_order, step, any_value(k) AS k,
+             sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN only_this THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+      FROM hit GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley
+FROM g
+"""
+
+ORACLES: dict[str, str] = {"op1_quality_rules": _OP1, "op5_warc": _OP5, "op9_substring_dedup": _OP9, "op13_filter_audit": _OP13}
