@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 _OP1 = rf"""
@@ -100,4 +102,70 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
 FROM g
 """
 
-ORACLES: dict[str, str] = {"op1_quality_rules": _OP1, "op5_warc": _OP5, "op9_substring_dedup": _OP9, "op13_filter_audit": _OP13}
+#: Levels of the trees in SQL: enough for 16**8 rows.
+_LEVELS = 8
+
+
+def _field(name: str) -> str:
+    return f"coalesce(strlen(CAST({name} AS VARCHAR)) || ':' || CAST({name} AS VARCHAR), '-')"
+
+
+def _tree(name: str, key: str) -> str:
+    """Relations name0 (key, pos, digest) to name8, each holding the parents of the one before."""
+    return ",\n".join(f"""
+{name}{i + 1} AS (SELECT {key}, pos // 16 AS pos, any_value(n) AS n, CASE WHEN any_value(n) = 1 THEN any_value(digest)
+                 ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest, string_agg(digest, ',' ORDER BY pos) AS kids
+          FROM (SELECT {key}, pos, digest, count(*) OVER (PARTITION BY {key}) AS n FROM {name}{i}) GROUP BY {key}, pos // 16)"""
+                      for i in range(_LEVELS))
+
+
+def _steps(name: str, key: str, child: str) -> str:
+    """Joins from a node with a position ``pos`` to the parents on every level."""
+    return " ".join(f"JOIN {name}{i + 1} AS {name}_{i + 1} ON {name}_{i + 1}.{key} IS NOT DISTINCT FROM {child}.{key} "
+                    f"AND {name}_{i + 1}.pos = {child}.pos // {16 ** (i + 1)}" for i in range(_LEVELS))
+
+
+def _sides(name: str, child: str) -> list[tuple[str, str]]:
+    """Digests to the left and to the right on every level; none where the tree has ended."""
+    out = []
+    for i in range(_LEVELS):
+        kids, slot = f"string_split({name}_{i + 1}.kids, ',')", f"(({child}.pos // {16 ** i}) % 16)"
+        out.append((f"CASE WHEN {name}_{i + 1}.n = 1 THEN NULL ELSE array_to_string(list_slice({kids}, 1, {slot}), '') END",
+                    f"CASE WHEN {name}_{i + 1}.n = 1 THEN NULL ELSE array_to_string(list_slice({kids}, {slot} + 2, 16), '') END"))
+    return out
+
+
+_CRC32 = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(8 * strlen(CAST(doc_id AS VARCHAR))),
+        lambda i: CASE WHEN i % 8 = 0 THEN CAST(ascii(substr(CAST(doc_id AS VARCHAR), 1 + i // 8, 1)) AS BIGINT) ELSE 0 END)),
+        lambda c, x: CASE WHEN xor(c, x) & 1 = 1 THEN xor(xor(c, x) >> 1, 3988292384) ELSE xor(c, x) >> 1 END)"""
+
+
+def _op11() -> str:
+    text = _field("text")
+    other = "".join(f"{_field(c)} || " for c in ("doc_id", "source", "lang", "n_chars"))
+    lowered = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    sides = _sides("t", "l") + _sides("u", "s")
+    listed = ", ".join(f"{a} AS l{i}, {b} AS r{i}" for i, (a, b) in enumerate(sides))
+    chain = ["w0 AS (SELECT *, coalesce(tampered, leaf) AS f0 FROM p)"]
+    for i in range(len(sides)):
+        chain.append(f"w{i + 1} AS (SELECT * REPLACE (CASE WHEN l{i} IS NULL THEN f0 ELSE sha256(l{i} || f0 || r{i}) END AS f0) "
+                     f"FROM w{i})")
+    proof = " || ".join(f"coalesce(l{i} || r{i}, '')" for i in range(len(sides)))
+    return f"""
+WITH d AS (SELECT doc_id, source, sha256({other}{text}) AS leaf,
+                  CASE WHEN xor({_CRC32}, 4294967295) % 5 = 0 THEN sha256({other}{text.replace('text', lowered)}) END AS tampered
+           FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+t0 AS (SELECT source, pos, leaf AS digest FROM l),{_tree("t", "source")},
+s AS (SELECT 1 AS one, source, digest, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS pos FROM t{_LEVELS}),
+u0 AS (SELECT one, pos, digest FROM s),{_tree("u", "one")},
+p AS (SELECT l.doc_id, l.leaf, l.tampered, s.digest AS subroot, u_{_LEVELS}.digest AS root, {listed}
+      FROM l JOIN s ON s.source IS NOT DISTINCT FROM l.source {_steps("t", "source", "l")} {_steps("u", "one", "s")}),
+{", ".join(chain)}
+SELECT doc_id, leaf, subroot, root, sha256({proof}) AS proof_sha256, f0 AS folded_root, f0 = root AS verified
+FROM w{len(sides)}
+"""
+
+
+ORACLES: dict[str, str] = {"op1_quality_rules": _OP1, "op5_warc": _OP5, "op9_substring_dedup": _OP9, "op11_merkle_manifest": _op11(),
+                           "op13_filter_audit": _OP13}
