@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import (decontaminate, filter_audit, html_text, merkle, mixing, near_dup, pii, quality_model,
-                          quality_rules, rlz, sharding, warc)
+from gridloom.llm import (collision_search, decontaminate, filter_audit, html_text, merkle, mixing, near_dup, pii,
+                          quality_model, quality_rules, rlz, sharding, warc)
 from gridloom.llm.common import table
 from gridloom.llm.oracles import ORACLES  # noqa: F401
 from gridloom.session import scratch_path
@@ -81,6 +81,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth vector."""
+    return collision_search.search(table(spark, sf_dir, "embeddings"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of five filters removes and loses at each step of every order, by language."""
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -89,4 +94,5 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_decontamination, op4_mixing, op5_warc,
                             op6_quality_classifier, op7_html_extraction, op8_order_minhash, op9_substring_dedup,
-                            op10_pii, op11_merkle_manifest, op13_filter_audit)}
+                            op10_pii, op11_merkle_manifest, op12_collision_search,
+                            op13_filter_audit)}
