@@ -1,32 +1,37 @@
 """Near-duplicate classes by Order MinHash and banded alignment.
 
-Exact copies collapse to the smallest doc_id that holds the text. Each sketch
-of a text picks the ``PICKED`` occurrence-labelled 5-word shingles of least hash
-and hashes them in text order, so texts with the same shingles in another order
-get other sketches. Texts with an equal sketch share a bucket and are
-candidates. A pair is linked when its 5-word shingle sets have a Jaccard
-similarity of 0.8 or more and a banded alignment of its words keeps 0.8 of the
-longer text.
-
-No bucket is expanded into all its pairs. Small buckets compare all pairs.
-In a larger one every member meets one leader first, which is another one in
-each of the twelve buckets of a text. Members that are not linked to their
-leader are open, and those meet all members of the bucket, block by block,
-until they are linked to them directly or through others. So two texts that
-share a bucket are either linked or compared, and no link is lost to the size
-of a bucket.
+Exact copies collapse to one node. Each sketch of a text picks the ``PICKED``
+occurrence-labelled 5-word shingles of least hash and hashes them in text order,
+so texts with the same shingles in another order get other sketches. Texts with
+an equal sketch share a bucket and are candidates. A pair is linked when a banded
+alignment of their words shows that edits (words added, dropped or replaced) are
+at most a fifth of the longer text, that is at an edit similarity of 0.8 or more.
+Before the alignment stand only tests that cannot refuse such a pair: an edit
+changes three 3-word shingles at most, and the length by one.
+
+An edit breaks five shingles, so a text of n words with n / 5 scattered edits
+keeps a third of them. Sketches are as many as find nine of ten such pairs of
+100 words or more; pairs at 0.85 and above are found nearly always. Texts of up
+to ``SHORT`` words have too few 5-word shingles left for that and are sketched by
+2-word shingles; those near the boundary have both kinds, so that a pair always
+has one in common.
+
+No bucket is expanded into pairs of texts. Small buckets compare all pairs. In a
+larger one every member meets the leader of the bucket, which is another one in
+each bucket of a text. What is not in the leader's class by then is open: open
+members are compared with all members of the bucket, block by block, by the least
+hashes of their sketches, and only those that agree as often as linked texts do
+go to the alignment. A linked pair agrees less often with probability 0.002.
 
 Joins that carry texts are always sort-merge joins: what is small enough to
 broadcast on a small corpus is not on a large one.
 
-At a similarity of 0.8 a sketch agrees with probability 0.8**3 at least, so a
-pair misses all twelve buckets with probability 0.0002.
-
 Defined results: null and empty texts are copies of one another; texts without
 a whole shingle use all their words as one, texts without a word link to equal
 texts only; rows with a null doc_id get a null class; every row is judged by
-its own text, and its class is the smallest doc_id of the class; an empty table
-gives an empty result; columns other than doc_id and text are ignored.
+its own text, also where one doc_id has several, and its class is the smallest
+doc_id of the class; an empty table gives an empty result; columns other than
+doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -42,31 +47,39 @@ from gridloom.llm.components import components
 from gridloom.session import materialize
 
 SHINGLE = 5
+#: Least share of the longer text that is left unedited.
 SIMILARITY = 0.8
 #: Sketches per text, and shingles that each picks.
-SKETCHES, PICKED = 12, 3
+SKETCHES, PICKED = 48, 2
+#: Texts of up to SHORT words have sketches of their own, by shorter shingles.
+SHORT, SHORT_SHINGLE, SHORT_SKETCHES = 60, 2, 16
+#: Least hashes, of those of a text's sketches, that an open pair shares at least.
+AGREE, SHORT_AGREE = 3, 1
+#: Words of the shingles that bound the edits of a pair from below.
+BOUND_SHINGLE = 3
 #: Buckets up to this size compare all their pairs.
 SMALL_BUCKET = 8
 #: Members of a large bucket that one task compares with as many open ones.
-BLOCK_MEMBERS = 256
-#: Hash values that a sketch of one text holds at a time.
+BLOCK_MEMBERS = 1024
+#: Hash values that the sketches of one text hold at a time.
 _WIDE = 1 << 20
+#: Edits after which an alignment takes all its diagonals together.
+_FEW_EDITS = 48
 
-_SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _LABEL = np.uint64(0xD6E8FEB86659FD93)
+_SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def shingles(chunk: Chunk) -> list[np.ndarray]:
-    """Shingle hashes of each text in order."""
+def shingles(chunk: Chunk, k: int) -> list[np.ndarray]:
+    """Hashes of the k-word shingles of each text in order; the words of a shorter text are one shingle."""
     words = chunk.word_hashes()
-    start, keys = chunk.windows(words, SHINGLE)
+    start, keys = chunk.windows(words, k)
     at = np.searchsorted(chunk.doc[start], np.arange(chunk.n + 1)) if len(start) else np.zeros(chunk.n + 1, np.int64)
     out = []
     for d in range(chunk.n):
         own = keys[at[d]:at[d + 1]]
         lo, hi = chunk.word_at[d], chunk.word_at[d + 1]
         if not len(own) and hi > lo:
-            # Fewer words than a shingle: all of them are one.
             whole = np.uint64(hi - lo)
             for w in words[lo:hi]:
                 whole = mix(np.array([whole]) ^ w)[0]
@@ -90,47 +103,103 @@ def labelled(keys: np.ndarray) -> np.ndarray:
         return mix(keys + nth * _LABEL)
 
 
-def sketch(keys: np.ndarray) -> list[int]:
-    """One signed 64-bit key per sketch; none for a text without words."""
-    if not len(keys):
-        return []
-    labels = labelled(keys)
-    picked = min(PICKED, len(labels))
+def sketch(labels: np.ndarray, count: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """A key of PICKED shingles in text order, and the least shingle, for each of count sketches.
+
+    Labels are hashes already, so a product with an odd number orders them anew.
+    """
+    keys, least = np.empty(count, np.uint64), np.empty(count, np.uint64)
     step = max(1, _WIDE // len(labels))
-    out = np.zeros(SKETCHES, np.uint64)
-    for lo in range(0, SKETCHES, step):
-        seeds = _SEEDS[lo:lo + step, None]
-        least = np.argpartition(mix(labels[None, :] ^ seeds), picked - 1, axis=1)[:, :picked]
-        least.sort(axis=1)
-        key = _SEEDS[lo:lo + step].copy()
-        for column in labels[least].T:
-            key = mix(key ^ column)
-        out[lo:lo + step] = key
-    return out.view(np.int64).tolist()
+    for lo in range(0, count, step):
+        seeds = _SEEDS[lo:lo + step]
+        each = np.arange(len(seeds))
+        with np.errstate(over="ignore"):
+            hashes = labels[None, :] * seeds[:min(step, count - lo), None]
+        each = each[:len(hashes)]
+        picks = []
+        for _ in range(min(PICKED, len(labels))):
+            picks.append(hashes.argmin(axis=1))
+            hashes[each, picks[-1]] = ~np.uint64(0)
+        least[lo:lo + len(each)] = labels[picks[0]]
+        key = seeds[:len(each)] ^ np.uint64(kind)
+        for column in np.sort(np.array(picks), axis=0):
+            key = mix(key ^ labels[column])
+        keys[lo:lo + len(each)] = key
+    return keys, least
+
+
+def _marks(least: np.ndarray) -> bytes:
+    """Two bytes of each least hash."""
+    return (least >> np.uint64(40)).astype(np.uint16).tobytes()
 
 
 def sketch_batch(texts: pd.Series) -> pd.DataFrame:
     whole = texts.tolist()
-    keys, sizes = [], []
+    out = []
     for lo, hi in slices(whole):
-        for own in shingles(Chunk(whole[lo:hi])):
-            keys.append(sketch(own))
-            sizes.append(len(np.unique(own)))
-    return pd.DataFrame({"keys": keys, "shingles": sizes})
+        chunk = Chunk(whole[lo:hi])
+        sizes = np.diff(chunk.word_at)
+        long = shingles(chunk, SHINGLE)
+        short = shingles(chunk, SHORT_SHINGLE) if len(sizes) and (sizes <= SHORT).any() else long
+        for n, by_five, by_two in zip(sizes.tolist(), long, short):
+            keys, marks = [], [b"", b""]
+            if n and n >= SIMILARITY * SHORT:
+                found, least = sketch(labelled(by_five), SKETCHES, 0)
+                keys, marks[0] = found.view(np.int64).tolist(), _marks(least)
+            if n and n <= SHORT:
+                found, least = sketch(labelled(by_two), SHORT_SKETCHES, 1)
+                keys, marks[1] = keys + found.view(np.int64).tolist(), _marks(least)
+            out.append((keys, n, *marks))
+    return pd.DataFrame(out, columns=["keys", "words", "marks", "short_marks"])
+
+
+class _Overlap:
+    """Lengths of the common runs of two word sequences from given places on, by prefix hashes and bisection."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray):
+        self.a, self.b = a, b
+        size = max(len(a), len(b)) + 1
+        with np.errstate(over="ignore"):
+            up = np.cumprod(np.full(size, 0x9E3779B97F4A7C15, np.uint64))
+            self.down = np.cumprod(np.full(size, pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64))
+            self.sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(w * up[:len(w)])]) for w in (a, b)]
+
+    def __call__(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        room = np.minimum(len(self.a) - x, len(self.b) - y)
+        out = np.zeros(len(x), np.int64)
+        some = np.flatnonzero(room > 0)
+        some = some[self.a[x[some]] == self.b[y[some]]]
+        if not len(some):
+            return out
+        x, y, room, run = x[some], y[some], room[some], np.zeros(len(some), np.int64)
+        step = 1 << int(room.max()).bit_length()
+        with np.errstate(over="ignore"):
+            while step:
+                fits = np.flatnonzero(run + step <= room)
+                at, to = x[fits] + run[fits], y[fits] + run[fits]
+                same = ((self.sums[0][at + step] - self.sums[0][at]) * self.down[at]
+                        == (self.sums[1][to + step] - self.sums[1][to]) * self.down[to])
+                run[fits[same]] += step
+                step >>= 1
+        out[some] = run
+        return out
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """Edits between two word sequences, or band + 1 when they are more than the band allows.
 
-    Only diagonals inside the band are followed, each to the furthest word that a number of edits reaches.
+    Only diagonals that can still end within the band are followed, each to the
+    furthest word that a number of edits reaches.
     """
     n, m = len(a), len(b)
-    if abs(n - m) > band:
+    goal = n - m
+    if abs(goal) > band:
         return band + 1
+    x_words, y_words = a.tolist(), b.tolist()
 
     def slide(x: int, y: int) -> int:
-        step = 16
-        while x < n and y < m:
+        step = 32
+        while x < n and y < m and x_words[x] == y_words[y]:
             width = min(step, n - x, m - y)
             differ = np.flatnonzero(a[x:x + width] != b[y:y + width])
             if len(differ):
@@ -138,34 +207,57 @@ def edit_distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
             x, y, step = x + width, y + width, step * 4
         return x
 
+    never = -band - 2
     reach = {0: slide(0, 0)}
-    if n == m and reach[0] == n:
+    if goal == 0 and reach[0] == n:
         return 0
-    for edits in range(1, band + 1):
+    for edits in range(1, min(band, _FEW_EDITS) + 1):
         now = {}
-        for k in range(-min(edits, band), min(edits, band) + 1):
-            x = max(reach.get(k, -2) + 1, reach.get(k - 1, -2) + 1, reach.get(k + 1, -1))
-            x = min(x, n)
-            y = x - k
-            if x < 0 or y < 0 or y > m:
+        for k in range(max(-edits, goal - band + edits), min(edits, goal + band - edits) + 1):
+            x = max(reach.get(k, never) + 1, reach.get(k - 1, never) + 1, reach.get(k + 1, never))
+            x = min(x, n, m + k)
+            if x < 0 or x < k:
                 continue
-            now[k] = slide(x, y)
-            if k == n - m and now[k] >= n:
+            now[k] = x = slide(x, x - k)
+            if k == goal and x >= n:
                 return edits
         reach = now
+    if band <= _FEW_EDITS:
+        return band + 1
+    overlap = _Overlap(a, b)
+    low = min(reach, default=0)
+    far = np.array([reach.get(k, never) for k in range(low, max(reach, default=0) + 1)], np.int64)
+    for edits in range(_FEW_EDITS + 1, band + 1):
+        first, last = max(-edits, goal - band + edits), min(edits, goal + band - edits)
+        if first > last:
+            break
+        k = np.arange(first, last + 1)
+        wide = np.full(last - first + 3, never, np.int64)  # the old reach at first - 1 to last + 1
+        lo, hi = max(first - 1, low), min(last + 1, low + len(far) - 1)
+        if lo <= hi:
+            wide[lo - first + 1:hi - first + 2] = far[lo - low:hi - low + 1]
+        x = np.maximum(np.maximum(wide[1:-1] + 1, wide[:-2] + 1), wide[2:])
+        x = np.minimum(np.minimum(x, n), m + k)
+        live = np.flatnonzero((x >= 0) & (x >= k))
+        x[live] += overlap(x[live], x[live] - k[live])
+        if first <= goal <= last and x[goal - first] >= n:
+            return edits
+        dead = np.ones(len(x), bool)
+        dead[live] = False
+        x[dead] = never
+        far, low = x, first
     return band + 1
 
 
 def _linked(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> bool:
-    """Whether two texts, as (words, distinct shingles in order), are near-duplicates."""
-    few, many = sorted((len(a[1]), len(b[1])))
-    if few < SIMILARITY * many:
-        return False
-    shared = len(np.intersect1d(a[1], b[1], assume_unique=True))
-    if shared < SIMILARITY * (len(a[1]) + len(b[1]) - shared) or not shared:
-        return False
+    """Whether two texts, as (words, labelled shingles in order of hash), are near-duplicates."""
     longer = max(len(a[0]), len(b[0]))
     band = int((1 - SIMILARITY) * longer + 1e-9)
+    if abs(len(a[0]) - len(b[0])) > band:
+        return False
+    least = longer - BOUND_SHINGLE + 1 - BOUND_SHINGLE * band
+    if least > 0 and len(np.intersect1d(a[1], b[1], assume_unique=True)) < least:
+        return False
     return edit_distance(a[0], b[0], band) <= band
 
 
@@ -174,8 +266,8 @@ def _prepared(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     for lo, hi in slices(texts):
         chunk = Chunk(texts[lo:hi])
         words = chunk.word_hashes()
-        for d, own in enumerate(shingles(chunk)):
-            out.append((words[chunk.word_at[d]:chunk.word_at[d + 1]].copy(), np.unique(own)))
+        for d, own in enumerate(shingles(chunk, BOUND_SHINGLE)):
+            out.append((words[chunk.word_at[d]:chunk.word_at[d + 1]].copy(), np.unique(labelled(own))))
     return out
 
 
@@ -194,21 +286,34 @@ def _copy_key() -> Column:
     return F.unhex(F.md5(text_bytes()))
 
 
+_SKETCH = "keys array<long>, words long, marks binary, short_marks binary"
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, copy key, sketch keys and number of shingles of every row, written once without the texts."""
-    parts = F.pandas_udf(sketch_batch, "keys array<long>, shingles long")
+    """doc_id, copy key and sketches of every row, written once without the texts."""
+    parts = F.pandas_udf(sketch_batch, _SKETCH)
     return materialize(docs.select("doc_id", _copy_key().alias("copy"), parts(text_bytes()).alias("s"))
                        .select("doc_id", "copy", "s.*"))
 
 
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """copy, low (its least doc_id) and node of every text; a node is a doc_id, or made up where the id has one already."""
+    low = rows.filter("doc_id IS NOT NULL").groupBy("copy").agg(F.min("doc_id").alias("low"))
+    low = materialize(low)
+    owner = low.groupBy("low").agg(F.min("copy").alias("owner"), F.count("*").alias("n")).filter("n > 1").select("low", "owner")
+    spare = -F.shiftrightunsigned(F.xxhash64("copy"), 1) - 1
+    return low.join(owner, "low", "left").select("copy", "low", F.when(
+        F.col("owner").isNull() | (F.col("owner") == F.col("copy")), F.col("low")).otherwise(spare).alias("node"))
+
+
 def _length_fits() -> Column:
-    return F.least("a_size", "b_size") >= F.lit(SIMILARITY) * F.greatest("a_size", "b_size")
+    return F.least("a_words", "b_words") >= F.lit(SIMILARITY) * F.greatest("a_words", "b_words") - F.lit(1e-6)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Links u, v of the pairs a, b whose texts are near-duplicates."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
     near = F.pandas_udf(linked_batch, "boolean")
     return (pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
             .filter(near(F.col("a_text"), F.col("b_text"))).select(F.col("a").alias("u"), F.col("b").alias("v")))
@@ -217,117 +322,103 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _first_pairs(members: DataFrame) -> DataFrame:
     """All pairs of small buckets, and each member with its leader in large ones."""
     small = members.filter(F.col("n") <= SMALL_BUCKET)
-    left = small.select("key", F.col("doc_id").alias("a"), F.col("shingles").alias("a_size"))
-    right = small.select("key", F.col("doc_id").alias("b"), F.col("shingles").alias("b_size"))
+    left = small.select("key", F.col("node").alias("a"), F.col("words").alias("a_words"))
+    right = small.select("key", F.col("node").alias("b"), F.col("words").alias("b_words"))
     pairs = left.join(right, "key").filter("a < b")
-    led = members.filter((F.col("n") > SMALL_BUCKET) & (F.col("doc_id") != F.col("leader"))).select(
-        F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b"),
-        F.col("shingles").alias("a_size"), F.col("leader_size").alias("b_size"))
-    return (pairs.select("a", "b", "a_size", "b_size").unionByName(led)
-            .filter(_length_fits()).select("a", "b").distinct())
+    led = members.filter((F.col("n") > SMALL_BUCKET) & (F.col("node") != F.col("leader"))).select(
+        F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"),
+        F.col("words").alias("a_words"), F.col("leader_words").alias("b_words"))
+    return pairs.select("a", "b", "a_words", "b_words").unionByName(led).filter(_length_fits()).select("a", "b").distinct()
 
 
-_LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Number of shingles that each text on the left shares with each on the right, some shingles at a time."""
-    sides = []
-    for texts in (left, right):
-        keys = np.concatenate([*texts, np.zeros(0, np.uint64)])
-        sides.append((keys, np.repeat(np.arange(len(texts)), [len(t) for t in texts])))
-    common = np.intersect1d(sides[0][0], sides[1][0])
-    out = np.zeros((len(left), len(right)), np.float32)
-    if not len(common):
+def _agreeing(left: list[bytes], right: list[bytes], least: int) -> np.ndarray:
+    """Whether texts on the left and on the right share that many least hashes."""
+    out = np.zeros((len(left), len(right)), bool)
+    size = max([len(m) for m in [*left, *right]], default=0)
+    if not size:
         return out
-    held = []
-    for keys, owner in sides:
-        at = np.minimum(np.searchsorted(common, keys), len(common) - 1)
-        hit = common[at] == keys
-        order = np.argsort(at[hit], kind="stable")
-        held.append((at[hit][order], owner[hit][order]))
-    for lo in range(0, len(common), 4096):
-        parts = []
-        for (at, owner), n in zip(held, out.shape):
-            a, b = np.searchsorted(at, [lo, lo + 4096])
-            part = np.zeros((n, 4096), np.float32)
-            part[owner[a:b], at[a:b] - lo] = 1
-            parts.append(part)
-        out += parts[0] @ parts[1].T
+    rows, cols = (np.flatnonzero([len(m) == size for m in side]) for side in (left, right))
+    a, b = (np.frombuffer(b"".join(side[i] for i in own), np.uint16).reshape(len(own), -1).T.copy()
+            for side, own in ((left, rows), (right, cols)))
+    for lo in range(0, len(rows), 64):
+        some = rows[lo:lo + 64]
+        same = np.zeros((len(some), len(cols)), np.uint8)
+        for x, y in zip(a[:, lo:lo + 64], b):
+            same += x[:, None] == y[None, :]
+        out[np.ix_(some, cols)] = same >= least
     return out
 
 
-def _link_open(group: pa.Table) -> pa.Table:
-    """Links between open members of a bucket and one block of its members, if others do not link them already."""
-    ids, parts = group.column("doc_id").to_pylist(), group.column("component").to_pylist()
-    is_open = np.array(group.column("open").to_pylist(), bool)
-    ready = _prepared(group.column("text").to_pylist())
+def _open_pairs(group: pa.Table) -> pa.Table:
+    """Pairs of an open member of a bucket and one in a block of its members that may be linked and are not yet."""
+    is_open = group.column("open").to_numpy(zero_copy_only=False).astype(bool)
+    nodes, parts, words = (group.column(c).to_numpy() for c in ("node", "component", "words"))
     openers, targets = np.flatnonzero(is_open), np.flatnonzero(~is_open)
-    sizes = np.array([len(r[1]) for r in ready])
-    shared = _shared([ready[i][1] for i in openers], [ready[i][1] for i in targets])
-    near = (shared > 0) & (shared >= SIMILARITY * (sizes[openers][:, None] + sizes[targets][None, :] - shared) - 1e-3)
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while root.get(x, x) != x:
-            x = root[x]
-        return x
-
-    links = []
-    for o, i in enumerate(openers):
-        for j in targets[near[o]]:
-            if find(parts[i]) != find(parts[j]) and _linked(ready[i], ready[j]):
-                links.append({"u": ids[i], "v": ids[j]})
-                root[find(parts[i])] = find(parts[j])
-    return pa.Table.from_pylist(links, schema=_LINKS)
-
-
-def _open_links(members: DataFrame, first: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links that the leaders of large buckets did not show."""
-    large = members.filter(F.col("n") > SMALL_BUCKET).select(
-        "key", "doc_id", "leader", "n", F.least("doc_id", "leader").alias("u"), F.greatest("doc_id", "leader").alias("v"))
-    is_open = (F.col("doc_id") != F.col("leader")) & F.col("linked").isNull()
-    known = materialize(large.join(first.withColumn("linked", F.lit(True)), ["u", "v"], "left")
-                        .select("key", "doc_id", "n", is_open.alias("open"),
-                                F.when(is_open, F.col("doc_id")).otherwise(F.col("leader")).alias("component")))
+    marks, short = group.column("marks").to_pylist(), group.column("short_marks").to_pylist()
+    near = np.zeros((len(openers), len(targets)), bool)
+    for own, least in ((marks, AGREE), (short, SHORT_AGREE)):
+        near |= _agreeing([own[i] for i in openers], [own[i] for i in targets], least)
+    near &= parts[openers][:, None] != parts[targets][None, :]
+    near &= (np.minimum(words[openers][:, None], words[targets][None, :])
+             >= SIMILARITY * np.maximum(words[openers][:, None], words[targets][None, :]) - 1e-6)
+    i, j = np.nonzero(near)
+    a, b = nodes[openers[i]], nodes[targets[j]]
+    return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=_PAIRS)
+
+
+def _open_links(members: DataFrame, parts: DataFrame, chosen: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links of members of large buckets that are in another class than their leader so far."""
+    large = members.filter(F.col("n") > SMALL_BUCKET).select("key", "node", "words", "leader", "n")
+    known = large.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    led = parts.select(F.col("node").alias("leader"), F.col("component").alias("led"))
+    known = known.join(led, "leader", "left").select("key", "node", "words", "n", "component", (
+        F.col("component") != F.coalesce("led", "leader")).alias("open"))
+    known = materialize(known)
     # Members and open ones are cut into blocks; a task compares one block of each.
     cut = (known.groupBy("key").agg(F.sum(F.col("open").cast("long")).alias("waiting")).filter("waiting > 0")
            .select("key", F.ceil(F.col("waiting") / F.lit(BLOCK_MEMBERS)).cast("int").alias("visits")))
     asked = known.join(cut, "key").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK_MEMBERS)).cast("int"))
+    asked = asked.join(chosen.select("node", "marks", "short_marks"), "node")
 
     def own(count: str) -> Column:
-        return F.pmod(F.xxhash64("doc_id"), F.col(count)).cast("int")
+        return F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
 
     def each(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    targets = asked.select("key", "doc_id", "component", F.lit(False).alias("open"),
-                           own("blocks").alias("block"), each("visits").alias("visit"))
-    openers = asked.filter("open").select("key", "doc_id", "component", "open",
-                                          each("blocks").alias("block"), own("visits").alias("visit"))
-    rows = targets.unionByName(openers).join(texts.hint("merge"), "doc_id")
-    return rows.groupBy("key", "block", "visit").applyInArrow(_link_open, "u long, v long").distinct()
+    kept = ("key", "node", "words", "component", "marks", "short_marks")
+    targets = asked.select(*kept, F.lit(False).alias("open"), own("blocks").alias("block"), each("visits").alias("visit"))
+    openers = asked.filter("open").select(*kept, "open", each("blocks").alias("block"), own("visits").alias("visit"))
+    pairs = targets.unionByName(openers).groupBy("key", "block", "visit").applyInArrow(_open_pairs, "a long, b long")
+    return _verified(materialize(pairs.distinct()), texts)
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, copy key and class_id of every row of docs."""
     rows = sketches(bound_batches(docs).select("doc_id", "text"))
-    nodes = (rows.filter("doc_id IS NOT NULL").groupBy("copy").agg(F.min("doc_id").alias("node")))
-    # One row per distinct text: the rows of its smallest doc_id.
-    chosen = materialize(rows.join(nodes, (rows["copy"] == nodes["copy"]) & (rows["doc_id"] == nodes["node"]))
-                         .select("doc_id", "keys", "shingles").dropDuplicates(["doc_id"]))
-    keyed = chosen.select("doc_id", "shingles", F.explode("keys").alias("key"))
-    order = F.struct(F.xxhash64("key", "doc_id").alias("h"), F.col("doc_id"), F.col("shingles"))
-    buckets = (keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(order).alias("lead")).filter("n > 1")
-               .select("key", "n", F.col("lead.doc_id").alias("leader"), F.col("lead.shingles").alias("leader_size")))
+    nodes = materialize(distinct_texts(rows))
+    # One row per distinct text, of its smallest doc_id.
+    chosen = materialize(rows.join(nodes.withColumnRenamed("low", "doc_id"), ["copy", "doc_id"])
+                         .dropDuplicates(["copy", "doc_id"]).drop("copy", "doc_id"))
+    keyed = chosen.select("node", "words", F.explode("keys").alias("key"))
+    order = F.xxhash64("key", "node")
+    buckets = (keyed.groupBy("key").agg(F.count("*").alias("n"), F.min_by("node", order).alias("leader"),
+                                        F.min_by("words", order).alias("leader_words")).filter("n > 1"))
     members = materialize(keyed.join(buckets, "key"))
     # The texts are shuffled once, and only those that share a bucket are written.
-    texts = materialize(docs.select("doc_id", text_bytes().alias("text"))
-                        .join(members.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"))
-    pairs = materialize(_first_pairs(members))
-    first = materialize(_verified(pairs, texts))
-    parts = components(first.unionByName(_open_links(members, first, texts)))
-    named = nodes.join(parts, "node", "left").select("copy", F.coalesce("component", "node").alias("class_id"))
+    wanted = nodes.join(members.select("node").distinct(), "node").select("copy", F.col("low").alias("doc_id"), "node")
+    texts = materialize(docs.select("doc_id", _copy_key().alias("copy"), text_bytes().alias("text"))
+                        .join(wanted.hint("merge"), ["copy", "doc_id"])
+                        .dropDuplicates(["copy", "doc_id"]).select("node", "text"))
+    first = materialize(_verified(materialize(_first_pairs(members)), texts))
+    found = first.unionByName(_open_links(members, components(first), chosen, texts))
+    named = nodes.join(components(found), "node", "left").select("copy", "low", F.coalesce("component", "node").alias("component"))
+    named = materialize(named)
+    least = named.groupBy("component").agg(F.min("low").alias("class_id"))
+    named = named.join(least, "component").select("copy", "class_id")
     return rows.select("doc_id", "copy").join(named, "copy", "left").withColumn(
         "class_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")))
 

@@ -278,45 +278,6 @@ def test_html_table(spark):
     assert got == [("", 0), ("", 0), ("é 你", 3)]
 
 
-def _links(texts):
-    sets = {}
-    for i, t in texts.items():
-        w = words(t)
-        sets[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set())
-    ids = sorted(texts)
-    root = {i: i for i in ids}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for n, a in enumerate(ids):
-        for b in ids[n + 1:]:
-            both = len(sets[a] & sets[b])
-            if (texts[a] or "") == (texts[b] or "") or (both and both >= 0.8 * len(sets[a] | sets[b])):
-                x, y = sorted((find(a), find(b)))
-                root[y] = x
-    return {i: find(i) for i in ids}
-
-
-def test_near_duplicates(spark, docs):
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    rng = random.Random(2)
-    base = prose(150, 50).split()
-    for n in range(60):  # a large group, with members beyond their leader's reach
-        w = list(base)
-        for _ in range(rng.randrange(8)):
-            w[rng.randrange(len(w))] = f"new{n}"
-        texts[100000 + n] = " ".join(w)
-    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    want = _links(texts)
-    got = {r.doc_id: r.class_id for r in near_dup.classes(rows).collect()}
-    assert got == want
-    kept = near_dup.keep_one(rows).collect()
-    assert sorted(r.doc_id for r in kept) == sorted(set(want.values()))
-
-
 def test_near_duplicates_awkward(awkward):
     got = [(r.doc_id, r.class_id) for r in near_dup.classes(awkward).collect()]
     assert len(got) == awkward.count()
@@ -332,23 +293,6 @@ def test_components(spark):
     assert {got[n] for n in range(1, 41)} == {1} and {got[n] for n in [100, *range(50, 80)]} == {50}
 
 
-def test_edit_distance():
-    import numpy as np
-    rng = random.Random(1)
-    for _ in range(150):
-        a = [rng.randrange(4) for _ in range(rng.randrange(12))]
-        b = [rng.randrange(4) for _ in range(rng.randrange(12))]
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            new = [i]
-            for j, y in enumerate(b, 1):
-                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-            row = new
-        for band in (0, 1, 3, 20):
-            want = row[-1] if row[-1] <= band else band + 1
-            assert near_dup.edit_distance(np.array(a, np.uint64), np.array(b, np.uint64), band) == want
-
-
 def _kept(rows):
     order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
     first = {}
