@@ -63,8 +63,6 @@ SMALL_BUCKET = 8
 BLOCK_MEMBERS = 1024
 #: Hash values that the sketches of one text hold at a time.
 _WIDE = 1 << 20
-#: Edits after which an alignment takes all its diagonals together.
-_FEW_EDITS = 48
 
 _LABEL = np.uint64(0xD6E8FEB86659FD93)
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -103,150 +101,91 @@ def labelled(keys: np.ndarray) -> np.ndarray:
         return mix(keys + nth * _LABEL)
 
 
-def sketch(labels: np.ndarray, count: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    """A key of PICKED shingles in text order, and the least shingle, for each of count sketches.
+def picks(labels: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The PICKED least shingles of each of count sketches in text order, and the least one.
 
     Labels are hashes already, so a product with an odd number orders them anew.
     """
-    keys, least = np.empty(count, np.uint64), np.empty(count, np.uint64)
+    picked, least = np.empty((count, PICKED), np.uint64), np.empty(count, np.uint64)
     step = max(1, _WIDE // len(labels))
     for lo in range(0, count, step):
-        seeds = _SEEDS[lo:lo + step]
-        each = np.arange(len(seeds))
-        with np.errstate(over="ignore"):
-            hashes = labels[None, :] * seeds[:min(step, count - lo), None]
-        each = each[:len(hashes)]
-        picks = []
-        for _ in range(min(PICKED, len(labels))):
-            picks.append(hashes.argmin(axis=1))
-            hashes[each, picks[-1]] = ~np.uint64(0)
-        least[lo:lo + len(each)] = labels[picks[0]]
-        key = seeds[:len(each)] ^ np.uint64(kind)
-        for column in np.sort(np.array(picks), axis=0):
-            key = mix(key ^ labels[column])
-        keys[lo:lo + len(each)] = key
-    return keys, least
-
-
-def _marks(least: np.ndarray) -> bytes:
-    """Two bytes of each least hash."""
-    return (least >> np.uint64(40)).astype(np.uint16).tobytes()
+        hi = min(lo + step, count)
+        hashes, each = labels[None, :] * _SEEDS[lo:hi, None], np.arange(hi - lo)
+        at = np.empty((hi - lo, PICKED), np.int64)
+        for k in range(PICKED):
+            # A text of fewer shingles picks its last one again.
+            at[:, k] = hashes.argmin(axis=1) if k < len(labels) else at[:, k - 1]
+            hashes[each, at[:, k]] = ~np.uint64(0)
+        least[lo:hi] = labels[at[:, 0]]
+        picked[lo:hi] = labels[np.sort(at, axis=1)]
+    return picked, least
+
+
+def sketch_keys(picked: np.ndarray, kind: int) -> np.ndarray:
+    """Signed 64-bit keys of picked shingles, an array of texts by sketches by picks."""
+    key = np.broadcast_to(_SEEDS[:picked.shape[1]] ^ np.uint64(kind), picked.shape[:2])
+    for k in range(PICKED):
+        key = mix(key ^ picked[:, :, k])
+    return key.view(np.int64)
+
+
+#: Shingle length, sketches and word counts of the two kinds of sketches.
+_KINDS = ((SHINGLE, SKETCHES, SIMILARITY * SHORT, float("inf")), (SHORT_SHINGLE, SHORT_SKETCHES, 1, SHORT))
 
 
 def sketch_batch(texts: pd.Series) -> pd.DataFrame:
     whole = texts.tolist()
-    out = []
+    sizes, keys, marks = [], [[] for _ in whole], [[b""] * len(whole) for _ in _KINDS]
     for lo, hi in slices(whole):
         chunk = Chunk(whole[lo:hi])
-        sizes = np.diff(chunk.word_at)
-        long = shingles(chunk, SHINGLE)
-        short = shingles(chunk, SHORT_SHINGLE) if len(sizes) and (sizes <= SHORT).any() else long
-        for n, by_five, by_two in zip(sizes.tolist(), long, short):
-            keys, marks = [], [b"", b""]
-            if n and n >= SIMILARITY * SHORT:
-                found, least = sketch(labelled(by_five), SKETCHES, 0)
-                keys, marks[0] = found.view(np.int64).tolist(), _marks(least)
-            if n and n <= SHORT:
-                found, least = sketch(labelled(by_two), SHORT_SKETCHES, 1)
-                keys, marks[1] = keys + found.view(np.int64).tolist(), _marks(least)
-            out.append((keys, n, *marks))
-    return pd.DataFrame(out, columns=["keys", "words", "marks", "short_marks"])
-
-
-class _Overlap:
-    """Lengths of the common runs of two word sequences from given places on, by prefix hashes and bisection."""
-
-    def __init__(self, a: np.ndarray, b: np.ndarray):
-        self.a, self.b = a, b
-        size = max(len(a), len(b)) + 1
-        with np.errstate(over="ignore"):
-            up = np.cumprod(np.full(size, 0x9E3779B97F4A7C15, np.uint64))
-            self.down = np.cumprod(np.full(size, pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64))
-            self.sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(w * up[:len(w)])]) for w in (a, b)]
-
-    def __call__(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        room = np.minimum(len(self.a) - x, len(self.b) - y)
-        out = np.zeros(len(x), np.int64)
-        some = np.flatnonzero(room > 0)
-        some = some[self.a[x[some]] == self.b[y[some]]]
-        if not len(some):
-            return out
-        x, y, room, run = x[some], y[some], room[some], np.zeros(len(some), np.int64)
-        step = 1 << int(room.max()).bit_length()
-        with np.errstate(over="ignore"):
-            while step:
-                fits = np.flatnonzero(run + step <= room)
-                at, to = x[fits] + run[fits], y[fits] + run[fits]
-                same = ((self.sums[0][at + step] - self.sums[0][at]) * self.down[at]
-                        == (self.sums[1][to + step] - self.sums[1][to]) * self.down[to])
-                run[fits[same]] += step
-                step >>= 1
-        out[some] = run
-        return out
+        words = np.diff(chunk.word_at)
+        sizes += words.tolist()
+        for kind, (length, count, fewest, most) in enumerate(_KINDS):
+            own = np.flatnonzero((words >= max(1, fewest)) & (words <= most))
+            if not len(own):
+                continue
+            runs = shingles(chunk, length)
+            found = [picks(labelled(runs[d]), count) for d in own]
+            for d, key, (_, least) in zip(own.tolist(), sketch_keys(np.array([f[0] for f in found]), kind).tolist(), found):
+                keys[lo + d] += key
+                # Two bytes of each least hash.
+                marks[kind][lo + d] = (least >> np.uint64(40)).astype(np.uint16).tobytes()
+    return pd.DataFrame({"keys": keys, "words": sizes, "marks": marks[0], "short_marks": marks[1]})
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """Edits between two word sequences, or band + 1 when they are more than the band allows.
 
-    Only diagonals that can still end within the band are followed, each to the
-    furthest word that a number of edits reaches.
+    The table of distances is filled column by column, and of each column only
+    the rows within the band. A column is held as two bit vectors: the rows whose
+    distance is one more, and one less, than that of the row above.
     """
+    if len(a) < len(b):
+        a, b = b, a
     n, m = len(a), len(b)
-    goal = n - m
-    if abs(goal) > band:
-        return band + 1
-    x_words, y_words = a.tolist(), b.tolist()
-
-    def slide(x: int, y: int) -> int:
-        step = 32
-        while x < n and y < m and x_words[x] == y_words[y]:
-            width = min(step, n - x, m - y)
-            differ = np.flatnonzero(a[x:x + width] != b[y:y + width])
-            if len(differ):
-                return x + int(differ[0])
-            x, y, step = x + width, y + width, step * 4
-        return x
-
-    never = -band - 2
-    reach = {0: slide(0, 0)}
-    if goal == 0 and reach[0] == n:
-        return 0
-    for edits in range(1, min(band, _FEW_EDITS) + 1):
-        now = {}
-        for k in range(max(-edits, goal - band + edits), min(edits, goal + band - edits) + 1):
-            x = max(reach.get(k, never) + 1, reach.get(k - 1, never) + 1, reach.get(k + 1, never))
-            x = min(x, n, m + k)
-            if x < 0 or x < k:
-                continue
-            now[k] = x = slide(x, x - k)
-            if k == goal and x >= n:
-                return edits
-        reach = now
-    if band <= _FEW_EDITS:
+    if n - m > band:
         return band + 1
-    overlap = _Overlap(a, b)
-    low = min(reach, default=0)
-    far = np.array([reach.get(k, never) for k in range(low, max(reach, default=0) + 1)], np.int64)
-    for edits in range(_FEW_EDITS + 1, band + 1):
-        first, last = max(-edits, goal - band + edits), min(edits, goal + band - edits)
-        if first > last:
-            break
-        k = np.arange(first, last + 1)
-        wide = np.full(last - first + 3, never, np.int64)  # the old reach at first - 1 to last + 1
-        lo, hi = max(first - 1, low), min(last + 1, low + len(far) - 1)
-        if lo <= hi:
-            wide[lo - first + 1:hi - first + 2] = far[lo - low:hi - low + 1]
-        x = np.maximum(np.maximum(wide[1:-1] + 1, wide[:-2] + 1), wide[2:])
-        x = np.minimum(np.minimum(x, n), m + k)
-        live = np.flatnonzero((x >= 0) & (x >= k))
-        x[live] += overlap(x[live], x[live] - k[live])
-        if first <= goal <= last and x[goal - first] >= n:
-            return edits
-        dead = np.ones(len(x), bool)
-        dead[live] = False
-        x[dead] = never
-        far, low = x, first
-    return band + 1
+    places: dict[int, int] = {}
+    for i, w in enumerate(a.tolist()):
+        places[w] = places.get(w, 0) | 1 << i
+    full = (1 << 2 * band + 1) - 1  # bit r of a column j is row j - band + r; what lies outside counts as farther
+    middle, last = 1 << band, 1 << 2 * band
+    more, less, here = full ^ ((middle << 1) - 1), 0, 0  # here: the distance on the main diagonal
+    for j, w in enumerate(b.tolist(), 1):
+        more, less = more >> 1 | last, less >> 1
+        same = places.get(w, 0)
+        if same:
+            same = (same >> j - band - 1 if j > band else same << band + 1 - j) & full
+        level = ((same & more) + more ^ more | same | less) & full  # no farther than the row above, a column before
+        if not level & middle:
+            here += 1
+            if here > 2 * band:
+                return band + 1
+        right, back = (less | full ^ (level | more)) << 1 | 1, (level & more) << 1
+        more, less = (back | ~(level | right)) & full, level & right
+    below = ((1 << n - m) - 1) << band + 1
+    found = here + (more & below).bit_count() - (less & below).bit_count()
+    return found if found <= band else band + 1
 
 
 def _linked(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> bool:
@@ -341,7 +280,7 @@ def _agreeing(left: list[bytes], right: list[bytes], least: int) -> np.ndarray:
     if not size:
         return out
     rows, cols = (np.flatnonzero([len(m) == size for m in side]) for side in (left, right))
-    a, b = (np.frombuffer(b"".join(side[i] for i in own), np.uint16).reshape(len(own), -1).T.copy()
+    a, b = (np.frombuffer(b"".join(side[i] for i in own), np.uint16).reshape(len(own), size // 2).T.copy()
             for side, own in ((left, rows), (right, cols)))
     for lo in range(0, len(rows), 64):
         some = rows[lo:lo + 64]
