@@ -7,7 +7,7 @@ an equal sketch share a bucket and are candidates. A pair is linked when a bande
 alignment of their words shows that edits (words added, dropped or replaced) are
 at most a fifth of the longer text, that is at an edit similarity of 0.8 or more.
 Before the alignment stand only tests that cannot refuse such a pair: an edit
-changes three 3-word shingles at most, and the length by one.
+changes one word and three 3-word shingles at most, and the length by one.
 
 An edit breaks five shingles, so a text of n words with n / 5 scattered edits
 keeps a third of them. Sketches are as many as find nine of ten such pairs of
@@ -20,8 +20,10 @@ No bucket is expanded into pairs of texts. Small buckets compare all pairs. In a
 larger one every member meets the leader of the bucket, which is another one in
 each bucket of a text. What is not in the leader's class by then is open: open
 members are compared with all members of the bucket, block by block, by the least
-hashes of their sketches, and only those that agree as often as linked texts do
-go to the alignment. A linked pair agrees less often with probability 0.002.
+hashes of their words, and only those that agree as often as linked texts do go to
+the alignment. Linked texts share two thirds of their words, counted with their
+repetitions, so a pair agrees less often with probability 0.002. A passage that
+many texts share leaves their other words unlike, so they do not agree.
 
 Joins that carry texts are always sort-merge joins: what is small enough to
 broadcast on a small corpus is not on a large one.
@@ -53,10 +55,11 @@ SIMILARITY = 0.8
 SKETCHES, PICKED = 48, 2
 #: Texts of up to SHORT words have sketches of their own, by shorter shingles.
 SHORT, SHORT_SHINGLE, SHORT_SKETCHES = 60, 2, 16
-#: Least hashes, of those of a text's sketches, that an open pair shares at least.
-AGREE, SHORT_AGREE = 3, 1
+#: Least hashes of the words of a text, a byte each, and how many an open pair shares at least: fewer than that have
+#: a probability of 0.002 where a share of 2/3 is expected.
+MARKS, AGREE = 128, 69
 #: Words of the shingles that bound the edits of a pair from below.
-BOUND_SHINGLE = 3
+BOUND_SHINGLES = (1, 3)
 #: Buckets up to this size compare all their pairs.
 SMALL_BUCKET = 8
 #: Members of a large bucket that one task compares with as many open ones.
@@ -65,7 +68,7 @@ BLOCK_MEMBERS = 1024
 _WIDE = 1 << 20
 
 _LABEL = np.uint64(0xD6E8FEB86659FD93)
-_SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_SEEDS = mix(np.arange(1, MARKS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
 def shingles(chunk: Chunk, k: int) -> list[np.ndarray]:
@@ -101,24 +104,23 @@ def labelled(keys: np.ndarray) -> np.ndarray:
         return mix(keys + nth * _LABEL)
 
 
-def picks(labels: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """The PICKED least shingles of each of count sketches in text order, and the least one.
+def picks(labels: np.ndarray, count: int, picked: int = PICKED) -> np.ndarray:
+    """The least shingles of each of count sketches, in text order.
 
     Labels are hashes already, so a product with an odd number orders them anew.
     """
-    picked, least = np.empty((count, PICKED), np.uint64), np.empty(count, np.uint64)
+    out = np.empty((count, picked), np.uint64)
     step = max(1, _WIDE // len(labels))
     for lo in range(0, count, step):
         hi = min(lo + step, count)
         hashes, each = labels[None, :] * _SEEDS[lo:hi, None], np.arange(hi - lo)
-        at = np.empty((hi - lo, PICKED), np.int64)
-        for k in range(PICKED):
+        at = np.empty((hi - lo, picked), np.int64)
+        for k in range(picked):
             # A text of fewer shingles picks its last one again.
             at[:, k] = hashes.argmin(axis=1) if k < len(labels) else at[:, k - 1]
             hashes[each, at[:, k]] = ~np.uint64(0)
-        least[lo:hi] = labels[at[:, 0]]
-        picked[lo:hi] = labels[np.sort(at, axis=1)]
-    return picked, least
+        out[lo:hi] = labels[np.sort(at, axis=1)]
+    return out
 
 
 def sketch_keys(picked: np.ndarray, kind: int) -> np.ndarray:
@@ -135,7 +137,7 @@ _KINDS = ((SHINGLE, SKETCHES, SIMILARITY * SHORT, float("inf")), (SHORT_SHINGLE,
 
 def sketch_batch(texts: pd.Series) -> pd.DataFrame:
     whole = texts.tolist()
-    sizes, keys, marks = [], [[] for _ in whole], [[b""] * len(whole) for _ in _KINDS]
+    sizes, keys, marks = [], [[] for _ in whole], [b""] * len(whole)
     for lo, hi in slices(whole):
         chunk = Chunk(whole[lo:hi])
         words = np.diff(chunk.word_at)
@@ -145,12 +147,13 @@ def sketch_batch(texts: pd.Series) -> pd.DataFrame:
             if not len(own):
                 continue
             runs = shingles(chunk, length)
-            found = [picks(labelled(runs[d]), count) for d in own]
-            for d, key, (_, least) in zip(own.tolist(), sketch_keys(np.array([f[0] for f in found]), kind).tolist(), found):
+            found = np.array([picks(labelled(runs[d]), count) for d in own])
+            for d, key in zip(own.tolist(), sketch_keys(found, kind).tolist()):
                 keys[lo + d] += key
-                # Two bytes of each least hash.
-                marks[kind][lo + d] = (least >> np.uint64(40)).astype(np.uint16).tobytes()
-    return pd.DataFrame({"keys": keys, "words": sizes, "marks": marks[0], "short_marks": marks[1]})
+        for d, run in enumerate(shingles(chunk, 1)):
+            if len(run):
+                marks[lo + d] = (picks(labelled(run), MARKS, 1)[:, 0] >> np.uint64(40)).astype(np.uint8).tobytes()
+    return pd.DataFrame({"keys": keys, "words": sizes, "marks": marks})
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
@@ -188,25 +191,27 @@ def edit_distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
     return found if found <= band else band + 1
 
 
-def _linked(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> bool:
-    """Whether two texts, as (words, labelled shingles in order of hash), are near-duplicates."""
+def _linked(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> bool:
+    """Whether two texts, as their words and labelled shingles in order of hash, are near-duplicates."""
     longer = max(len(a[0]), len(b[0]))
     band = int((1 - SIMILARITY) * longer + 1e-9)
     if abs(len(a[0]) - len(b[0])) > band:
         return False
-    least = longer - BOUND_SHINGLE + 1 - BOUND_SHINGLE * band
-    if least > 0 and len(np.intersect1d(a[1], b[1], assume_unique=True)) < least:
-        return False
+    for k, left, right in zip(BOUND_SHINGLES, a[1:], b[1:]):
+        least = longer - k + 1 - k * band
+        if least > 0 and len(np.intersect1d(left, right, assume_unique=True)) < least:
+            return False
     return edit_distance(a[0], b[0], band) <= band
 
 
-def _prepared(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+def _prepared(texts: list[bytes]) -> list[tuple[np.ndarray, ...]]:
     out = []
     for lo, hi in slices(texts):
         chunk = Chunk(texts[lo:hi])
         words = chunk.word_hashes()
-        for d, own in enumerate(shingles(chunk, BOUND_SHINGLE)):
-            out.append((words[chunk.word_at[d]:chunk.word_at[d + 1]].copy(), np.unique(labelled(own))))
+        bounds = [[np.unique(labelled(own)) for own in shingles(chunk, k)] for k in BOUND_SHINGLES]
+        for d, own in enumerate(zip(*bounds)):
+            out.append((words[chunk.word_at[d]:chunk.word_at[d + 1]].copy(), *own))
     return out
 
 
@@ -225,7 +230,7 @@ def _copy_key() -> Column:
     return F.unhex(F.md5(text_bytes()))
 
 
-_SKETCH = "keys array<long>, words long, marks binary, short_marks binary"
+_SKETCH = "keys array<long>, words long, marks binary"
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -273,21 +278,15 @@ def _first_pairs(members: DataFrame) -> DataFrame:
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _agreeing(left: list[bytes], right: list[bytes], least: int) -> np.ndarray:
-    """Whether texts on the left and on the right share that many least hashes."""
-    out = np.zeros((len(left), len(right)), bool)
-    size = max([len(m) for m in [*left, *right]], default=0)
-    if not size:
-        return out
-    rows, cols = (np.flatnonzero([len(m) == size for m in side]) for side in (left, right))
-    a, b = (np.frombuffer(b"".join(side[i] for i in own), np.uint16).reshape(len(own), size // 2).T.copy()
-            for side, own in ((left, rows), (right, cols)))
-    for lo in range(0, len(rows), 64):
-        some = rows[lo:lo + 64]
-        same = np.zeros((len(some), len(cols)), np.uint8)
-        for x, y in zip(a[:, lo:lo + 64], b):
+def _agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether texts on the left and on the right, as rows of marks, share AGREE marks or more."""
+    out = np.empty((len(left), len(right)), bool)
+    columns = right.T.copy()
+    for lo in range(0, len(left), 64):
+        same = np.zeros((len(left[lo:lo + 64]), len(right)), np.uint8)
+        for x, y in zip(left[lo:lo + 64].T, columns):
             same += x[:, None] == y[None, :]
-        out[np.ix_(some, cols)] = same >= least
+        out[lo:lo + 64] = same >= AGREE
     return out
 
 
@@ -295,11 +294,9 @@ def _open_pairs(group: pa.Table) -> pa.Table:
     """Pairs of an open member of a bucket and one in a block of its members that may be linked and are not yet."""
     is_open = group.column("open").to_numpy(zero_copy_only=False).astype(bool)
     nodes, parts, words = (group.column(c).to_numpy() for c in ("node", "component", "words"))
+    marks = np.frombuffer(b"".join(group.column("marks").to_pylist()), np.uint8).reshape(-1, MARKS)
     openers, targets = np.flatnonzero(is_open), np.flatnonzero(~is_open)
-    marks, short = group.column("marks").to_pylist(), group.column("short_marks").to_pylist()
-    near = np.zeros((len(openers), len(targets)), bool)
-    for own, least in ((marks, AGREE), (short, SHORT_AGREE)):
-        near |= _agreeing([own[i] for i in openers], [own[i] for i in targets], least)
+    near = _agreeing(marks[openers], marks[targets])
     near &= parts[openers][:, None] != parts[targets][None, :]
     near &= (np.minimum(words[openers][:, None], words[targets][None, :])
              >= SIMILARITY * np.maximum(words[openers][:, None], words[targets][None, :]) - 1e-6)
@@ -320,7 +317,7 @@ def _open_links(members: DataFrame, parts: DataFrame, chosen: DataFrame, texts:
     cut = (known.groupBy("key").agg(F.sum(F.col("open").cast("long")).alias("waiting")).filter("waiting > 0")
            .select("key", F.ceil(F.col("waiting") / F.lit(BLOCK_MEMBERS)).cast("int").alias("visits")))
     asked = known.join(cut, "key").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK_MEMBERS)).cast("int"))
-    asked = asked.join(chosen.select("node", "marks", "short_marks"), "node")
+    asked = asked.join(chosen.select("node", "marks"), "node")
 
     def own(count: str) -> Column:
         return F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
@@ -328,7 +325,7 @@ def _open_links(members: DataFrame, parts: DataFrame, chosen: DataFrame, texts:
     def each(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    kept = ("key", "node", "words", "component", "marks", "short_marks")
+    kept = ("key", "node", "words", "component", "marks")
     targets = asked.select(*kept, F.lit(False).alias("open"), own("blocks").alias("block"), each("visits").alias("visit"))
     openers = asked.filter("open").select(*kept, "open", each("blocks").alias("block"), own("visits").alias("visit"))
     pairs = targets.unionByName(openers).groupBy("key", "block", "visit").applyInArrow(_open_pairs, "a long, b long")
