@@ -19,11 +19,12 @@ has one in common.
 No bucket is expanded into pairs of texts. Small buckets compare all pairs. In a
 larger one every member meets the leader of the bucket, which is another one in
 each bucket of a text. What is not in the leader's class by then is open: open
-members are compared with all members of the bucket, block by block, by the least
-hashes of their words, and only those that agree as often as linked texts do go to
-the alignment. Linked texts share two thirds of their words, counted with their
-repetitions, so a pair agrees less often with probability 0.002. A passage that
-many texts share leaves their other words unlike, so they do not agree.
+members are compared with all members of the bucket, block by block, without their
+texts: by the least hashes of their words, and where those agree as often as they
+do in linked texts, by an alignment of the words as 32 bits of hash each, in the
+first bucket that the pair shares. Linked texts share two thirds of their words,
+counted with their repetitions, so a pair agrees less often with probability 0.005.
+A passage that many texts share leaves their other words unlike, so they do not agree.
 
 Joins that carry texts are always sort-merge joins: what is small enough to
 broadcast on a small corpus is not on a large one.
@@ -55,15 +56,15 @@ SIMILARITY = 0.8
 SKETCHES, PICKED = 48, 2
 #: Texts of up to SHORT words have sketches of their own, by shorter shingles.
 SHORT, SHORT_SHINGLE, SHORT_SKETCHES = 60, 2, 16
-#: Least hashes of the words of a text, a byte each, and how many an open pair shares at least: fewer than that have
-#: a probability of 0.002 where a share of 2/3 is expected.
-MARKS, AGREE = 128, 69
+#: Least hashes of the words of a text, half a byte each, and how many an open pair shares at least: fewer than that
+#: have a probability of 0.005 where 2/3 of the words are shared (and 1/16 of the other halves of bytes).
+MARKS, AGREE = 384, 241
 #: Words of the shingles that bound the edits of a pair from below.
 BOUND_SHINGLES = (1, 3)
 #: Buckets up to this size compare all their pairs.
 SMALL_BUCKET = 8
 #: Members of a large bucket that one task compares with as many open ones.
-BLOCK_MEMBERS = 1024
+BLOCK_MEMBERS = 512
 #: Hash values that the sketches of one text hold at a time.
 _WIDE = 1 << 20
 
@@ -131,13 +132,19 @@ def sketch_keys(picked: np.ndarray, kind: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _slot(keys: np.ndarray) -> np.ndarray:
+    """Half of each key; 0 stands for none."""
+    return keys.view(np.uint64).astype(np.uint32) | np.uint32(1)
+
+
 #: Shingle length, sketches and word counts of the two kinds of sketches.
 _KINDS = ((SHINGLE, SKETCHES, SIMILARITY * SHORT, float("inf")), (SHORT_SHINGLE, SHORT_SKETCHES, 1, SHORT))
 
 
 def sketch_batch(texts: pd.Series) -> pd.DataFrame:
     whole = texts.tolist()
-    sizes, keys, marks = [], [[] for _ in whole], [b""] * len(whole)
+    sizes, keys = [], [[] for _ in whole]
+    slots = np.zeros((len(whole), SKETCHES + SHORT_SKETCHES), np.uint32)
     for lo, hi in slices(whole):
         chunk = Chunk(whole[lo:hi])
         words = np.diff(chunk.word_at)
@@ -147,13 +154,25 @@ def sketch_batch(texts: pd.Series) -> pd.DataFrame:
             if not len(own):
                 continue
             runs = shingles(chunk, length)
-            found = np.array([picks(labelled(runs[d]), count) for d in own])
-            for d, key in zip(own.tolist(), sketch_keys(found, kind).tolist()):
+            found = sketch_keys(np.array([picks(labelled(runs[d]), count) for d in own]), kind)
+            slots[lo + own, kind * SKETCHES:kind * SKETCHES + count] = _slot(found)
+            for d, key in zip(own.tolist(), found.tolist()):
                 keys[lo + d] += key
+    return pd.DataFrame({"keys": keys, "words": sizes, "slots": [row.tobytes() for row in slots]})
+
+
+def compact_batch(texts: pd.Series) -> pd.DataFrame:
+    """The marks of texts that have words, two in a byte, and the words as 32 bits of hash each."""
+    whole, marks, codes = texts.tolist(), [], []
+    for lo, hi in slices(whole):
+        chunk = Chunk(whole[lo:hi])
+        words = chunk.word_hashes().astype(np.uint32)
         for d, run in enumerate(shingles(chunk, 1)):
-            if len(run):
-                marks[lo + d] = (picks(labelled(run), MARKS, 1)[:, 0] >> np.uint64(40)).astype(np.uint8).tobytes()
-    return pd.DataFrame({"keys": keys, "words": sizes, "marks": marks})
+            least = picks(labelled(run), MARKS, 1)[:, 0] >> np.uint64(40) if len(run) else np.zeros(MARKS, np.uint64)
+            half = least & np.uint64(15)
+            marks.append((half[::2] | half[1::2] << np.uint64(4)).astype(np.uint8).tobytes())
+            codes.append(words[chunk.word_at[d]:chunk.word_at[d + 1]].tobytes())
+    return pd.DataFrame({"marks": marks, "codes": codes})
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
@@ -204,14 +223,23 @@ def _linked(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> bool:
     return edit_distance(a[0], b[0], band) <= band
 
 
+def _bounded(words: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Words, and their labelled shingles of each bound in order of hash."""
+    out = [words.copy()]
+    for k in BOUND_SHINGLES:
+        runs = np.zeros(max(0, len(words) - k + 1), np.uint64)
+        for i in range(k):
+            runs = mix(runs ^ words[i:len(runs) + i])
+        out.append(np.unique(labelled(runs)))
+    return tuple(out)
+
+
 def _prepared(texts: list[bytes]) -> list[tuple[np.ndarray, ...]]:
     out = []
     for lo, hi in slices(texts):
         chunk = Chunk(texts[lo:hi])
         words = chunk.word_hashes()
-        bounds = [[np.unique(labelled(own)) for own in shingles(chunk, k)] for k in BOUND_SHINGLES]
-        for d, own in enumerate(zip(*bounds)):
-            out.append((words[chunk.word_at[d]:chunk.word_at[d + 1]].copy(), *own))
+        out += [_bounded(words[chunk.word_at[d]:chunk.word_at[d + 1]]) for d in range(chunk.n)]
     return out
 
 
@@ -230,7 +258,7 @@ def _copy_key() -> Column:
     return F.unhex(F.md5(text_bytes()))
 
 
-_SKETCH = "keys array<long>, words long, marks binary"
+_SKETCH = "keys array<long>, words long, slots binary"
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -275,7 +303,7 @@ def _first_pairs(members: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "a_words", "b_words").unionByName(led).filter(_length_fits()).select("a", "b").distinct()
 
 
-_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
 def _agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -283,26 +311,54 @@ def _agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     out = np.empty((len(left), len(right)), bool)
     columns = right.T.copy()
     for lo in range(0, len(left), 64):
-        same = np.zeros((len(left[lo:lo + 64]), len(right)), np.uint8)
+        same = np.zeros((len(left[lo:lo + 64]), len(right)), np.uint16)
         for x, y in zip(left[lo:lo + 64].T, columns):
             same += x[:, None] == y[None, :]
         out[lo:lo + 64] = same >= AGREE
     return out
 
 
-def _open_pairs(group: pa.Table) -> pa.Table:
-    """Pairs of an open member of a bucket and one in a block of its members that may be linked and are not yet."""
-    is_open = group.column("open").to_numpy(zero_copy_only=False).astype(bool)
+def _link_open(group: pa.Table) -> pa.Table:
+    """Links of open members of a bucket to one block of its members, if others do not link them already."""
+    is_open, waits = (group.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("open", "waits"))
     nodes, parts, words = (group.column(c).to_numpy() for c in ("node", "component", "words"))
-    marks = np.frombuffer(b"".join(group.column("marks").to_pylist()), np.uint8).reshape(-1, MARKS)
+    marks = np.frombuffer(b"".join(group.column("marks").to_pylist()), np.uint8).reshape(group.num_rows, -1)
+    marks = np.concatenate([marks & 15, marks >> 4], axis=1)
     openers, targets = np.flatnonzero(is_open), np.flatnonzero(~is_open)
     near = _agreeing(marks[openers], marks[targets])
     near &= parts[openers][:, None] != parts[targets][None, :]
+    # Two open members meet twice, as either may be the target.
+    near &= ~waits[targets][None, :] | (nodes[openers][:, None] < nodes[targets][None, :])
     near &= (np.minimum(words[openers][:, None], words[targets][None, :])
              >= SIMILARITY * np.maximum(words[openers][:, None], words[targets][None, :]) - 1e-6)
     i, j = np.nonzero(near)
-    a, b = nodes[openers[i]], nodes[targets[j]]
-    return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=_PAIRS)
+    i, j = openers[i], targets[j]
+    # A pair meets in many buckets and is aligned in the first. Where that is a small one, it has been aligned already.
+    slots = np.frombuffer(b"".join(group.column("slots").to_pylist()), np.uint32).reshape(group.num_rows, -1)
+    here = _slot(group.column("key").to_numpy()[:1])[0]
+    first = np.zeros(len(i), bool)
+    for lo in range(0, len(i), 1 << 16):
+        left, right = slots[i[lo:lo + (1 << 16)]], slots[j[lo:lo + (1 << 16)]]
+        at = ((left == right) & (left > 0)).argmax(axis=1)
+        first[lo:lo + (1 << 16)] = left[np.arange(len(at)), at] == here
+    codes, ready, root, links = group.column("codes"), {}, {}, []
+
+    def prepared(x: int) -> tuple[np.ndarray, ...]:
+        if x not in ready:
+            ready[x] = _bounded(np.frombuffer(codes[x].as_py(), np.uint32).astype(np.uint64))
+        return ready[x]
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in zip(i[first].tolist(), j[first].tolist()):
+        x, y = find(parts[a]), find(parts[b])
+        if x != y and _linked(prepared(a), prepared(b)):
+            links.append((nodes[a], nodes[b]))
+            root[x] = y
+    return pa.Table.from_pylist([{"u": int(a), "v": int(b)} for a, b in links], schema=_LINKS)
 
 
 def _open_links(members: DataFrame, parts: DataFrame, chosen: DataFrame, texts: DataFrame) -> DataFrame:
@@ -317,7 +373,8 @@ def _open_links(members: DataFrame, parts: DataFrame, chosen: DataFrame, texts:
     cut = (known.groupBy("key").agg(F.sum(F.col("open").cast("long")).alias("waiting")).filter("waiting > 0")
            .select("key", F.ceil(F.col("waiting") / F.lit(BLOCK_MEMBERS)).cast("int").alias("visits")))
     asked = known.join(cut, "key").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK_MEMBERS)).cast("int"))
-    asked = asked.join(chosen.select("node", "marks"), "node")
+    asked = (asked.withColumn("waits", F.col("open")).join(chosen.select("node", "slots"), "node")
+             .join(texts.select("node", "marks", "codes"), "node"))
 
     def own(count: str) -> Column:
         return F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
@@ -325,11 +382,11 @@ def _open_links(members: DataFrame, parts: DataFrame, chosen: DataFrame, texts:
     def each(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    kept = ("key", "node", "words", "component", "marks")
+    kept = ("key", "node", "words", "component", "waits", "marks", "codes", "slots")
     targets = asked.select(*kept, F.lit(False).alias("open"), own("blocks").alias("block"), each("visits").alias("visit"))
     openers = asked.filter("open").select(*kept, "open", each("blocks").alias("block"), own("visits").alias("visit"))
-    pairs = targets.unionByName(openers).groupBy("key", "block", "visit").applyInArrow(_open_pairs, "a long, b long")
-    return _verified(materialize(pairs.distinct()), texts)
+    links = targets.unionByName(openers).groupBy("key", "block", "visit").applyInArrow(_link_open, "u long, v long")
+    return links.distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -348,7 +405,9 @@ def classes(docs: DataFrame) -> DataFrame:
     wanted = nodes.join(members.select("node").distinct(), "node").select("copy", F.col("low").alias("doc_id"), "node")
     texts = materialize(docs.select("doc_id", _copy_key().alias("copy"), text_bytes().alias("text"))
                         .join(wanted.hint("merge"), ["copy", "doc_id"])
-                        .dropDuplicates(["copy", "doc_id"]).select("node", "text"))
+                        .dropDuplicates(["copy", "doc_id"])
+                        .select("node", "text", F.pandas_udf(compact_batch, "marks binary, codes binary")("text").alias("c"))
+                        .select("node", "text", "c.*"))
     first = materialize(_verified(materialize(_first_pairs(members)), texts))
     found = first.unionByName(_open_links(members, components(first), chosen, texts))
     named = nodes.join(components(found), "node", "left").select("copy", "low", F.coalesce("component", "node").alias("component"))
