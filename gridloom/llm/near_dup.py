@@ -361,7 +361,7 @@ def _link_open(group: pa.Table) -> pa.Table:
     return pa.Table.from_pylist([{"u": int(a), "v": int(b)} for a, b in links], schema=_LINKS)
 
 
-def _open_links(members: DataFrame, parts: DataFrame, chosen: DataFrame, texts: DataFrame) -> DataFrame:
+def _open_links(members: DataFrame, parts: DataFrame, texts: DataFrame) -> DataFrame:
     """Links of members of large buckets that are in another class than their leader so far."""
     large = members.filter(F.col("n") > SMALL_BUCKET).select("key", "node", "words", "leader", "n")
     known = large.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -373,8 +373,7 @@ def _open_links(members: DataFrame, parts: DataFrame, chosen: DataFrame, texts:
     cut = (known.groupBy("key").agg(F.sum(F.col("open").cast("long")).alias("waiting")).filter("waiting > 0")
            .select("key", F.ceil(F.col("waiting") / F.lit(BLOCK_MEMBERS)).cast("int").alias("visits")))
     asked = known.join(cut, "key").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK_MEMBERS)).cast("int"))
-    asked = (asked.withColumn("waits", F.col("open")).join(chosen.select("node", "slots"), "node")
-             .join(texts.select("node", "marks", "codes"), "node"))
+    asked = asked.withColumn("waits", F.col("open")).join(texts.select("node", "marks", "codes", "slots"), "node")
 
     def own(count: str) -> Column:
         return F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
@@ -395,21 +394,21 @@ def classes(docs: DataFrame) -> DataFrame:
     nodes = materialize(distinct_texts(rows))
     # One row per distinct text, of its smallest doc_id.
     chosen = materialize(rows.join(nodes.withColumnRenamed("low", "doc_id"), ["copy", "doc_id"])
-                         .dropDuplicates(["copy", "doc_id"]).drop("copy", "doc_id"))
+                         .dropDuplicates(["copy", "doc_id"]))
     keyed = chosen.select("node", "words", F.explode("keys").alias("key"))
     order = F.xxhash64("key", "node")
     buckets = (keyed.groupBy("key").agg(F.count("*").alias("n"), F.min_by("node", order).alias("leader"),
                                         F.min_by("words", order).alias("leader_words")).filter("n > 1"))
     members = materialize(keyed.join(buckets, "key"))
     # The texts are shuffled once, and only those that share a bucket are written.
-    wanted = nodes.join(members.select("node").distinct(), "node").select("copy", F.col("low").alias("doc_id"), "node")
+    wanted = chosen.select("copy", "doc_id", "node", "slots").join(members.select("node").distinct(), "node", "left_semi")
     texts = materialize(docs.select("doc_id", _copy_key().alias("copy"), text_bytes().alias("text"))
                         .join(wanted.hint("merge"), ["copy", "doc_id"])
                         .dropDuplicates(["copy", "doc_id"])
-                        .select("node", "text", F.pandas_udf(compact_batch, "marks binary, codes binary")("text").alias("c"))
-                        .select("node", "text", "c.*"))
+                        .select("node", "text", "slots", F.pandas_udf(compact_batch, "marks binary, codes binary")("text").alias("c"))
+                        .select("node", "text", "slots", "c.*"))
     first = materialize(_verified(materialize(_first_pairs(members)), texts))
-    found = first.unionByName(_open_links(members, components(first), chosen, texts))
+    found = first.unionByName(_open_links(members, components(first), texts))
     named = nodes.join(components(found), "node", "left").select("copy", "low", F.coalesce("component", "node").alias("component"))
     named = materialize(named)
     least = named.groupBy("component").agg(F.min("low").alias("class_id"))
