@@ -1,10 +1,11 @@
-"""Model candidates with Spark ML.
+"""Model candidates.
 
 The forecasting target is the ratio of a day's energy to its 14-row anchor
 (plain or log), so trees learn weekday / holiday effects while the anchor
-carries the trend. Each fit is a Spark ML job over the feature rows; folds
-train on ``pos < train_end`` filters of the same table (no cross join), and
-independent fits are submitted from a thread pool (one per core) so they overlap.
+carries the trend. The comparison fits every (series, learner, fold) in a task
+of its own: a row is dealt to the folds that train on it or test it, one shuffle
+brings the rows of a fit together (a series has a row a day), and all fits run
+side by side. The deployed model is a saved Spark ML pipeline.
 """
 from __future__ import annotations
 
@@ -13,21 +14,26 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gridloom.functions import columns as C
 from gridloom.operators import features as FE
 from gridloom.operators import forecast as FC
 from gridloom.operators import series as SR
+from gridloom.operators import trees as TR
 from gridloom.session import materialize
 
 # Fixed hyper-parameters mirroring the candidate definitions.
 GBT_PARAMS = dict(maxIter=100, maxDepth=3, stepSize=0.1, seed=42, subsamplingRate=1.0)
-RF_PARAMS = dict(numTrees=400, featureSubsetStrategy="all", maxDepth=10, seed=42)
+#: Without a depth, trees grow until their leaves hold one value.
+RF_PARAMS = dict(numTrees=400, maxDepth=None, seed=42)
 RIDGE_ALPHA = 1.0
 SEED = 42
 
@@ -92,9 +98,6 @@ def _estimator(learner: str, params: dict, feats: Sequence[str], label: str, tra
     if learner == "gbt":
         return GBTRegressor(featuresCol="_x", labelCol=label, predictionCol="_z", lossType="squared",
                             **{"maxBins": _split_points(train, feats), **params})
-    if learner == "rf":
-        return RandomForestRegressor(featuresCol="_x", labelCol=label, predictionCol="_z", bootstrap=True,
-                                     **{"maxBins": _split_points(train, feats), **params})
     if learner == "ridge":
         # sklearn's Ridge(alpha) equals Spark's normal-equation solver with the
         # penalty rescaled: Spark scales the label by its std inside the fit.
@@ -112,63 +115,100 @@ def fit(learner: str, params: dict, feats: Sequence[str], train: DataFrame, labe
     return pipe.fit(t)
 
 
-def fit_predict(c: Candidate, train: DataFrame, test: DataFrame) -> DataFrame:
-    """Test rows with a ``pred`` column (energy, not ratio). Members score the
-    same frame one after the other, so combining them needs no join."""
-    keep = [x for x in test.columns if not x.startswith("_")]
-    if c.column:
-        return test.select(*keep, F.col(c.column).alias("pred"))
-    scored, energies = test, []
-    for i, m in enumerate(c.members):
-        target = TARGETS[m.target]
-        model = fit(m.learner, m.params, m.features, train.withColumn("_y", target.label()), "_y")
-        scored = model.transform(scored).withColumn(f"_energy{i}", target.energy()).drop("_x", "_z")
-        energies.append(F.col(f"_energy{i}"))
-    return scored.select(*keep, (sum(energies[1:], energies[0]) / len(energies)).alias("pred"))
-
-
-MAX_FIT_WORKERS = 16
-
-
-def fit_workers(spark) -> int:
-    """Concurrent fits: one per core of the session, at most MAX_FIT_WORKERS
-    (the driver submits the jobs; executors run them)."""
-    return max(1, min(MAX_FIT_WORKERS, spark.sparkContext.defaultParallelism))
-
-
-def _parallel(tasks, workers: int):
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        return list(pool.map(lambda t: t(), tasks))
+#: The fold that stands for the final split.
+LAST = -1
+
+
+def _fit_task(members: Sequence[Member], names: Sequence[str], kept: Sequence[str]):
+    """Fits one member on the training rows of a group and predicts its label for the test rows."""
+    def run(group: pa.Table) -> pa.Table:
+        member = members[group.column("member")[0].as_py()]
+        at = [names.index(f) for f in member.features]
+        x = group.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(group.num_rows, -1)[:, at]
+        y = group.column(f"label_{member.target}").to_numpy(zero_copy_only=False).astype(float)
+        is_test = group.column("is_test").to_numpy(zero_copy_only=False).astype(bool)
+        order = np.argsort(group.column("pos").to_numpy(), kind="stable")
+        train = order[~is_test[order] & ~np.isnan(y[order])]
+        test = np.flatnonzero(is_test)
+        p, fitted = member.params, (x[train], y[train], x[test])
+        if not len(train) or not len(test):
+            z = np.full(len(test), np.nan)
+        elif member.learner == "ridge":
+            z = TR.ridge(*fitted, RIDGE_ALPHA)
+        elif member.learner == "gbt":
+            z = TR.boosted(*fitted, p["maxIter"], p["maxDepth"], p["stepSize"])
+        elif member.learner == "rf":
+            z = TR.forest(*fitted, p["numTrees"], p["maxDepth"], p["seed"])
+        else:
+            raise ValueError(member.learner)
+        return group.select(list(kept)).take(pa.array(test)).append_column("_z", pa.array(z, pa.float64()))
+    return run
+
+
+def in_folds(rows: DataFrame, keys: Sequence[str] = (), start: int = SR.WF_START, step: int = SR.WF_STEP,
+             horizon: int = SR.WF_HORIZON, min_test: int = SR.WF_MIN_TEST, walk: bool = True) -> DataFrame:
+    """A row for every fold that trains on it or tests it, with ``fold`` and ``is_test``; LAST is the 80/20 split."""
+    n = F.max("pos").over(Window.partitionBy(*keys)) + 1
+    later = F.floor((F.col("pos") - start - horizon) / step) + 1
+    first, last = F.greatest(F.lit(0), later), F.floor((F.col("_n") - min_test - start) / step)
+    every = F.when(F.lit(walk) & (first <= last), F.sequence(first.cast("int"), last.cast("int"))).otherwise(
+        F.array().cast("array<int>"))
+    dealt = rows.withColumn("_n", n).withColumn("fold", F.explode(F.concat(F.array(F.lit(LAST)), every)))
+    train_end = F.when(F.col("fold") == LAST, F.floor(F.col("_n") * SR.TRAIN_FRACTION)).otherwise(
+        F.lit(start) + F.col("fold") * step)
+    return dealt.withColumn("is_test", F.col("pos") >= train_end).drop("_n")
+
+
+def fold_predictions(rows: DataFrame, cands: Sequence[Candidate], keys: Sequence[str] = (), **folds) -> DataFrame:
+    """keys, model, fold, stat_date, pos, energy and ``pred`` of every test row of every fold and candidate."""
+    members: list[Member] = []
+    for c in cands:
+        members += [m for m in c.members if m not in members]
+    names = sorted({f for m in members for f in m.features})
+    kept = [*keys, "member", "fold", SR.DATE, "pos", SR.TARGET, FE.ANCHOR]
+    dealt = in_folds(rows, keys, **folds)
+    out = []
+    for c in cands:
+        if c.column:
+            out.append(dealt.filter("is_test").select(*keys, F.lit(c.name).alias("model"), "fold", SR.DATE, "pos",
+                                                      SR.TARGET, F.col(c.column).alias("pred")))
+    if members:
+        labels = [TARGETS[t].label().cast("double").alias(f"label_{t}") for t in sorted({m.target for m in members})]
+        ready = dealt.select(*[c for c in kept if c != "member"], "is_test", *labels,
+                             F.array(*[F.col(f).cast("double") for f in names]).alias("x"),
+                             F.explode(F.array(*[F.lit(i) for i in range(len(members))])).alias("member"))
+        schema = ready.select(*kept).withColumn("_z", F.lit(0.0)).schema
+        # A fit is little data and much work, so its partitions are not merged by their bytes.
+        conf = rows.sparkSession.conf
+        tasks = max(int(conf.get("spark.sql.shuffle.partitions")), 4 * rows.sparkSession.sparkContext.defaultParallelism)
+        ready = ready.repartition(tasks, *keys, "member", "fold")
+        fitted = ready.groupBy(*keys, "member", "fold").applyInArrow(_fit_task(members, names, kept), schema)
+        energy, used = F.lit(None).cast("double"), F.lit(None).cast("array<string>")
+        for i, m in enumerate(members):
+            energy = F.when(F.col("member") == i, TARGETS[m.target].energy()).otherwise(energy)
+            used = F.when(F.col("member") == i, F.array(*[F.lit(c.name) for c in cands if m in c.members])).otherwise(used)
+        each = fitted.withColumn("_energy", energy).withColumn("model", F.explode(used))
+        out.append(each.groupBy(*keys, "model", "fold", SR.DATE, "pos", SR.TARGET).agg(F.avg("_energy").alias("pred")))
+    whole = out[0]
+    for more in out[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
+def compare(rows: DataFrame, cands: Sequence[Candidate], keys: Sequence[str] = (), **folds) -> DataFrame:
+    """Walk-forward fold MAE (mean, population std, count) over all folds and the final
+    80/20 test MAE/RMSE/sMAPE for every candidate. ``rows`` carries ``pos``."""
+    found = FC.metrics(fold_predictions(materialize(rows), cands, keys, **folds), by=(*keys, "model", "fold"))
+    found = materialize(found)
+    walked = FC.fold_summary(found.filter(F.col("fold") != LAST), by=(*keys, "model"))
+    last = found.filter(F.col("fold") == LAST).select(*keys, "model", F.col("mae").alias("test_mae"),
+                                                      F.col("rmse").alias("test_rmse"), F.col("smape").alias("test_smape"))
+    return walked.join(last, [*keys, "model"])
 
 
-def compare(rows: DataFrame, cands: Sequence[Candidate], start: int = SR.WF_START, step: int = SR.WF_STEP,
-            horizon: int = SR.WF_HORIZON, min_test: int = SR.WF_MIN_TEST, workers: int | None = None) -> DataFrame:
-    """Walk-forward fold MAE (mean, population std, count) and the final
-    80/20 test MAE/RMSE/sMAPE for every candidate. ``rows`` carries ``pos``."""
-    spark = rows.sparkSession
-    rows = materialize(rows)  # every fit re-reads this table, not its lineage
-    n = rows.count()
-    bounds = [(f, i, min(i + horizon, n)) for f, i in enumerate(range(start, n - min_test + 1, step))]
-    cut = int(n * SR.TRAIN_FRACTION)
-    tasks, keys = [], []
-    for c in cands:
-        for f, i, e in bounds:
-            tr, te = rows.filter(F.col("pos") < i), rows.filter((F.col("pos") >= i) & (F.col("pos") < e))
-            tasks.append(lambda c=c, tr=tr, te=te: FC.metrics(fit_predict(c, tr, te), by=()).first())
-            keys.append((c.name, "fold", f))
-        tr, te = rows.filter(F.col("pos") < cut), rows.filter(F.col("pos") >= cut)
-        tasks.append(lambda c=c, tr=tr, te=te: FC.metrics(fit_predict(c, tr, te), by=()).first())
-        keys.append((c.name, "test", -1))
-    # each task returns one metrics row (a few numbers), never data rows; a fit
-    # over one series is a handful of small tasks, so fits run side by side
-    res = _parallel(tasks, workers or fit_workers(spark))
-    recs = [(name, kind, f, float(r["mae"]), float(r["rmse"]), float(r["smape"]))
-            for (name, kind, f), r in zip(keys, res)]
-    df = spark.createDataFrame(recs, "model string, kind string, fold int, mae double, rmse double, smape double")
-    wf = FC.fold_summary(df.filter("kind = 'fold'"))
-    test = df.filter("kind = 'test'").select("model", F.col("mae").alias("test_mae"),
-                                             F.col("rmse").alias("test_rmse"), F.col("smape").alias("test_smape"))
-    return wf.join(test, "model")
+def final_metrics(rows: DataFrame, cand: Candidate, keys: Sequence[str] = ()) -> DataFrame:
+    """MAE, RMSE and sMAPE of one candidate on the final split."""
+    return FC.metrics(fold_predictions(rows, [cand], keys, walk=False), by=(*keys, "model"))
 
 
 # ------------------------------------------------------------------ deployed model

@@ -11,17 +11,6 @@ from gridloom.plans.catalog import register, stable
 from gridloom.plans.queries_series import HORIZON, Series
 from gridloom.session import materialize
 
-# Walk-forward for the ML comparison: about six expanding folds over the series
-# (every fold is a model fit); the exact baselines use the full 21-row step.
-ML_FOLDS = 6
-
-
-def _split(s: Series):
-    rows = materialize(s.rows)
-    n = rows.count()
-    cut = int(n * SR.TRAIN_FRACTION)
-    return rows.filter(F.col("pos") < cut), rows.filter(F.col("pos") >= cut)
-
 
 def _candidate(name):
     return next(c for c in MD.candidates() if c.name == name)
@@ -29,9 +18,7 @@ def _candidate(name):
 
 def _test_metrics(name):
     def q(spark, sf_dir):
-        tr, te = _split(Series(spark, sf_dir))
-        p = MD.fit_predict(_candidate(name), tr, te)
-        return stable(FC.metrics(p.withColumn("model", F.lit(name))))
+        return stable(MD.final_metrics(materialize(Series(spark, sf_dir).rows), _candidate(name)))
     return q
 
 
@@ -49,11 +36,8 @@ def gbt_logratio(spark, sf_dir):
 
 @register("model_compare")
 def model_compare(spark, sf_dir):
-    """Walk-forward and final-test metrics of every candidate."""
-    rows = materialize(Series(spark, sf_dir).rows)
-    n = rows.count()
-    step = max(SR.WF_STEP, -(-(n - SR.WF_START - SR.WF_MIN_TEST + 1) // ML_FOLDS))
-    return stable(MD.compare(rows, MD.candidates(), step=step))
+    """Walk-forward metrics over every fold, and final-test metrics, of every candidate."""
+    return stable(MD.compare(Series(spark, sf_dir).rows, MD.candidates()))
 
 
 @register("gbt_forecast")
