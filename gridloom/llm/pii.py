@@ -16,6 +16,11 @@ break at a time may part the digits. A longer match takes the place of the
 shorter ones inside it, but a single digit after a comma or line break never
 lengthens a number that is complete without it.
 
+Every search takes time in proportion to the length of the text, however long its
+runs of letters, digits or separators are: addresses are sought from their ``@``
+outwards, runs are entered at their start only, and the parts of a disguised
+address have the lengths that mail allows (64 and 63 characters).
+
 Defined results: a null text is empty and has no spans; offsets count code
 points of the original text, end exclusive; matches that fail their check are
 dropped and not tried again; repeated rows give repeated results; an empty
@@ -26,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -35,10 +41,12 @@ from gridloom.llm.common import bound_batches
 
 KINDS = ("email", "ip", "card", "phone")
 
-# Patterns of the kinds.
+# Patterns of the kinds. An address is the letters before an @ and what _DOMAIN takes from it on; a run of
+# digits is entered at its start, as no later start goes on differently.
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 PATTERNS = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "ip": re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)"),
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
@@ -73,11 +81,14 @@ _WORDS = "|".join(sorted(SPELLED, key=len, reverse=True))
 #: Spelled digits count only in runs of digits, so prose keeps its number words.
 _DIGIT_RUN = re.compile(rf"(?<![A-Za-z0-9])(?:(?:{_WORDS}|[0-9]+)[\x20.-]+){{4,}}(?:{_WORDS}|[0-9]+)(?![A-Za-z0-9])", re.I)
 _SPELLED_PLUS = re.compile(rf"(?<![A-Za-z0-9])plus[\x20-]+(?=(?:{_WORDS}|[0-9])(?![A-Za-z]))", re.I)
-_BRACKET_AT = re.compile(r"\s*[\[({<]\s*(?:at|@|ät)\s*[\])}>]\s*", re.I)
-_BRACKET_DOT = re.compile(r"\s*[\[({<]\s*(?:dot|\.|punkt|point|punto)\s*[\])}>]\s*", re.I)
-_LABEL = r"[A-Za-z0-9-]+"
-#: Bare words need the whole shape: name at host dot label.
-_BARE = re.compile(rf"(?P<name>[A-Za-z0-9._%+-]+(?:[\x20_-]+dot[\x20_-]+[A-Za-z0-9._%+-]+)*)(?P<at>[\x20_-]+at[\x20_-]+|@)(?P<host>{_LABEL}(?:\.{_LABEL})*(?:[\x20_-]+dot[\x20_-]+{_LABEL})+)", re.I)
+_BRACKET_AT = re.compile(r"(?:(?<!\s)\s++)?[\[({<]\s*(?:at|@|ät)\s*[\])}>]\s*", re.I)
+_BRACKET_DOT = re.compile(r"(?:(?<!\s)\s++)?[\[({<]\s*(?:dot|\.|punkt|point|punto)\s*[\])}>]\s*", re.I)
+_LABEL = r"[A-Za-z0-9-]{1,63}"
+_PART = r"[A-Za-z0-9._%+-]{1,64}"
+_SPACED_DOT = r"[\x20_-]{1,4}dot[\x20_-]{1,4}"
+#: Bare words need the whole shape: name at host dot label. A name is entered where its run begins.
+_BARE = re.compile(rf"(?<![A-Za-z0-9._%+-])(?P<name>{_PART}(?:{_SPACED_DOT}{_PART}){{0,4}})(?P<at>[\x20_-]{{1,4}}at[\x20_-]{{1,4}}|@)"
+                   rf"(?P<host>{_LABEL}(?:\.{_LABEL}){{0,8}}(?:{_SPACED_DOT}{_LABEL})+)", re.I)
 _BARE_DOT = re.compile(r"[\x20_-]+dot[\x20_-]+", re.I)
 _NUMBER_DOT = re.compile(r"(?<=[0-9])[\x20]+dot[\x20]+(?=[0-9])", re.I)
 _DIGIT_WORD = re.compile(rf"(?:{_WORDS})", re.I)
@@ -194,18 +205,33 @@ def luhn(digits: str) -> bool:
 def _passes(kind: str, found: str) -> bool:
     if kind == "ip":
         return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in found.split("."))
-    if kind == "email":
-        return True
     digits = re.sub(r"[^0-9]", "", found)
     if kind == "card":
         return 16 <= len(digits) <= 19 and luhn(digits)
     return 8 <= len(digits) <= 15
 
 
+def _addresses(text: str) -> list[tuple[int, int]]:
+    """Leftmost non-overlapping matches of an address, each found from its @ outwards."""
+    out, done, at = [], 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        domain = _DOMAIN.match(text, at) if start < at else None
+        if domain:
+            done = domain.end()
+            out.append((start, done))
+        at = text.find("@", max(done, at + 1))
+    return out
+
+
 def matches(text: str, kind: str) -> list[tuple[int, int]]:
     """Leftmost non-overlapping matches that pass the check of their kind."""
     if (kind != "email" and not _DIGIT.search(text)) or not NEEDS[kind].search(text):
         return []
+    if kind == "email":
+        return _addresses(text)
     return [m.span() for m in PATTERNS[kind].finditer(text) if _passes(kind, m[0])]
 
 
@@ -284,7 +310,7 @@ def _tokens(stretch: str) -> list[tuple[str | Gap, int, int, bool]]:
     return out
 
 
-def _spelled_numbers(clear: Rewritten, base: dict[str, list], every: dict[str, list]) -> None:
+def _spelled_numbers(clear: Rewritten, base: dict[str, Spans], every: dict[str, Spans]) -> None:
     """Add the numbers that use a spelled digit to the spans of their kinds."""
     for stretch in _STRETCH.finditer(clear.text):
         if not _DIGIT_WORD.search(stretch[0]):
@@ -306,13 +332,36 @@ def _spelled_numbers(clear: Rewritten, base: dict[str, list], every: dict[str, l
                     _add(span, base[kind], every[kind], replaces)
 
 
-def _add(span: tuple[int, int], base: list[tuple[int, int]], extra: list[tuple[int, int]], replaces: bool) -> None:
+class Spans:
+    """Spans in order, none inside another, so that their ends are in order too."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts, self.ends = [s for s, _ in spans], [e for _, e in spans]
+
+    def hold(self, span: tuple[int, int]) -> bool:
+        """Whether the span lies in one of these."""
+        k = bisect_right(self.starts, span[0])
+        return k > 0 and self.ends[k - 1] >= span[1]
+
+    def touch(self, span: tuple[int, int]) -> bool:
+        """Whether the span shares a character with one of these."""
+        k = bisect_right(self.ends, span[0])
+        return k < len(self.starts) and self.starts[k] < span[1]
+
+    def take_in(self, span: tuple[int, int]) -> None:
+        """Put the span in the place of those inside it."""
+        lo, hi = bisect_left(self.starts, span[0]), bisect_right(self.ends, span[1])
+        self.starts[lo:max(lo, hi)], self.ends[lo:max(lo, hi)] = [span[0]], [span[1]]
+
+    def listed(self) -> list[tuple[int, int]]:
+        return list(zip(self.starts, self.ends))
+
+
+def _add(span: tuple[int, int], base: Spans, extra: Spans, replaces: bool) -> None:
     """Add a span that is in no other one; it takes the place of the disguised spans inside it."""
-    if any(s <= span[0] and span[1] <= e for s, e in (*base, *extra)):
-        return
-    if not replaces and any(s < span[1] and span[0] < e for s, e in (*base, *extra)):
+    if base.hold(span) or extra.hold(span) or (not replaces and (base.touch(span) or extra.touch(span))):
         return
-    extra[:] = [x for x in extra if not (span[0] <= x[0] and x[1] <= span[1])] + [span]
+    extra.take_in(span)
 
 
 def spans(text: str) -> tuple[dict[str, list[tuple[int, int]]], dict[str, list[tuple[int, int]]]]:
@@ -321,18 +370,14 @@ def spans(text: str) -> tuple[dict[str, list[tuple[int, int]]], dict[str, list[t
     clear = rewrite(text)
     if clear is None:
         return base, base
-    every = {}
+    plain, extra = {}, {}
     for kind in KINDS:
-        extra = []
-        for start, end in matches(clear.text, kind):
-            if any(clear.changed[start:end]):
-                span = clear.lo[start], clear.hi[end - 1]
-                if not any(s <= span[0] and span[1] <= e for s, e in base[kind]):
-                    extra.append(span)
-        every[kind] = extra
+        plain[kind] = Spans(base[kind])
+        used = [(clear.lo[a], clear.hi[b - 1]) for a, b in matches(clear.text, kind) if any(clear.changed[a:b])]
+        extra[kind] = Spans([span for span in used if not plain[kind].hold(span)])
     if _SPELLED_WORD.search(text) or not text.isascii():
-        _spelled_numbers(_signs(text), base, every)
-    return base, {kind: sorted(base[kind] + every[kind]) for kind in KINDS}
+        _spelled_numbers(_signs(text), plain, extra)
+    return base, {kind: sorted(base[kind] + extra[kind].listed()) for kind in KINDS}
 
 
 def listing(found: dict[str, list[tuple[int, int]]]) -> str:

@@ -194,7 +194,9 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         picked = some if picked is None else picked.unionByName(some)
     bag = F.pandas_udf(_bag_batch, "binary")
     return (bound_batches(docs).select("doc_id", text_bytes().alias("text")).join(F.broadcast(picked), "doc_id")
-            .select("doc_id", "quality", bag("text").alias("rows")))
+            .select("doc_id", "quality", bag("text").alias("rows"))
+            # A doc_id may have many rows; one of them counts, and one row a label reaches the driver.
+            .groupBy("doc_id", "quality").agg(F.min("rows").alias("rows")))
 
 
 def _bag_batch(texts: pd.Series) -> pd.Series:
