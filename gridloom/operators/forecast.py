@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions import columns as C
+from gridloom.operators import quality as Q
 from gridloom.operators import series as SR
 from gridloom.operators.calendar import with_calendar
 
@@ -200,6 +201,7 @@ def payload_check(payload: DataFrame) -> DataFrame:
                         & ~C.is_nonfinite(p["sessions"].cast("double")))
     ok = (d["generated_at"].isNotNull() & d["history_end"].isNotNull() & (F.size(d["history"]) > 0)
           & (F.size(d["forecast"]) > 0) & finite(d["history"]) & finite(d["forecast"]))
+    ok = ok & Q.all_finite(d, payload.schema["doc"].dataType)
     # an unknown verdict is a refusal
     return payload.agg(F.bool_and(F.coalesce(ok, F.lit(False))).alias("ok")).select(
         "ok", F.when(F.col("ok"), F.lit(None)).otherwise(F.lit("incomplete or non-finite forecast")).alias("reason"))

@@ -29,6 +29,7 @@ from gridloom.operators import forecast as FC
 from gridloom.operators import series as SR
 from gridloom.operators import trees as TR
 from gridloom.session import materialize
+from gridloom.sources import snapshot as SN
 
 # Fixed hyper-parameters mirroring the candidate definitions.
 GBT_PARAMS = dict(maxIter=100, maxDepth=3, stepSize=0.1, seed=42, subsamplingRate=1.0)
@@ -221,16 +222,24 @@ class Bundle:
     log_target: bool
     t_max: int
 
-    def save(self, spark, path: str) -> None:
-        """Model directory plus one metadata row (features, target, anchor, t_max)."""
-        self.model.write().overwrite().save(f"{path}/model")
+    def save(self, spark, path: str) -> int:
+        """The next version of the bundle: model directory plus one metadata row (features, target, anchor, t_max).
+
+        Both are written to an attempt folder that is renamed as a whole, so a save that fails leaves the versions
+        before it as they are, and no reader or second writer meets a mixture.
+        """
+        attempt = SN.attempt_path(path)
+        self.model.write().save(f"{attempt}/model")
         meta = {"features": self.features, "target": self.target, "anchor": self.anchor,
                 "log_target": self.log_target, "t_max": self.t_max}
-        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
-            .write.mode("overwrite").json(f"{path}/meta")
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.json(f"{attempt}/meta")
+        SN.mark_complete(spark, attempt)
+        return SN.commit(spark, attempt, path)
 
     @staticmethod
-    def load(spark, path: str) -> "Bundle":
+    def load(spark, path: str, version: int | None = None) -> "Bundle":
+        """A committed version, the latest one if none is named."""
+        path = SN.version_path(spark, path, version)
         meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
         return Bundle(PipelineModel.load(f"{path}/model"), meta["features"], meta["target"], meta["anchor"],
                       meta["log_target"], int(meta["t_max"]))

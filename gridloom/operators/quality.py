@@ -3,8 +3,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.functions import columns as C
 from gridloom.operators.rollups import DIMENSIONS
@@ -19,6 +20,34 @@ class ReconciliationError(RuntimeError):
     pass
 
 
+def all_finite(value: Column, kind: T.DataType) -> Column:
+    """whether no number at any depth of a value is NaN or infinite; a null holds none."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return ~F.coalesce(C.is_nonfinite(value), F.lit(False))
+    if isinstance(kind, T.StructType):
+        sound = F.lit(True)
+        for field in kind.fields:
+            if _holds_floats(field.dataType):
+                sound = sound & all_finite(value[field.name], field.dataType)
+        return sound
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.forall(value, lambda x: all_finite(x, kind.elementType)), F.lit(True))
+    if isinstance(kind, T.MapType):
+        return (all_finite(F.map_keys(value), T.ArrayType(kind.keyType))
+                & all_finite(F.map_values(value), T.ArrayType(kind.valueType)))
+    return F.lit(True)
+
+
+def _holds_floats(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_floats(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _holds_floats(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _holds_floats(kind.keyType) or _holds_floats(kind.valueType)
+    return isinstance(kind, (T.DoubleType, T.FloatType))
+
+
 def dimension_totals(long: DataFrame) -> DataFrame:
     return long.groupBy("dimension").agg(F.sum("sessions").alias("sessions"))
 

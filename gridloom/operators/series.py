@@ -34,11 +34,12 @@ def daily_series(sessions: DataFrame, keys: Sequence[str] = (), ts: str = "start
                  F.sum("fees").alias("total_fee"), F.count_distinct("station").alias("active_stations")))
 
 
-def load_series(daily: DataFrame) -> DataFrame:
-    """Numeric coercion (NULL on failure), date order for presentation."""
-    return daily.select(*[c for c in daily.columns if c not in ("total_kwh", "sessions")],
+def load_series(daily: DataFrame, keys: Sequence[str] = (), ordered: bool = False) -> DataFrame:
+    """Numeric coercion (NULL on failure); with ``ordered``, by keys and date for presentation."""
+    loaded = daily.select(*[c for c in daily.columns if c not in ("total_kwh", "sessions")],
                         C.safe_double(F.col("total_kwh").cast("string")).alias("total_kwh"),
                         C.safe_long(F.col("sessions").cast("string")).alias("sessions"))
+    return loaded.orderBy(*keys, DATE) if ordered else loaded
 
 
 def _order(keys: Sequence[str]) -> Window:

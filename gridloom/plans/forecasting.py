@@ -37,8 +37,8 @@ def run(spark: SparkSession, daily: DataFrame, root: str, calendar: DataFrame, d
     rows = FE.training_rows(features)
     metrics, bundle = MD.train_deployed(rows, gbt_params)
     metrics.write.mode("overwrite").parquet(f"{base}/ml/metrics")
-    bundle.save(spark, f"{base}/ml/bundle")
-    bundle = MD.Bundle.load(spark, f"{base}/ml/bundle")
+    saved = bundle.save(spark, f"{base}/ml/bundle")
+    bundle = MD.Bundle.load(spark, f"{base}/ml/bundle", saved)
 
     fut = FC.future_frame(features, days, calendar)
     fc = MD.forecast_with(bundle, daily, fut)

@@ -231,12 +231,12 @@ def orc_roundtrip(spark, sf_dir):
     """Typed table with column comments stored as ORC, then read back."""
     path = scratch_path(spark, "daily-series-orc")
     RAW.write_typed_orc(_s(spark, sf_dir).daily, path, SERIES_COMMENTS)
-    return stable(spark.read.orc(path))
+    return stable(RAW.read_typed_orc(spark, path))
 
 
 @register("series_load", sql("SELECT * FROM daily", DAILY_COLS))
 def series_load(spark, sf_dir):
-    return stable(SR.load_series(_s(spark, sf_dir).daily))
+    return stable(SR.load_series(_s(spark, sf_dir).daily, ordered=True))
 
 
 @register("reconcile_daily", sql("""

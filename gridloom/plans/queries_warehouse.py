@@ -182,7 +182,7 @@ def _rollup_query(name):
     keys = R.DIMENSIONS[name]
 
     def q(spark, sf_dir):
-        return stable(R.rollup(_w(spark, sf_dir).dwd, keys))
+        return stable(R.order_rollup(R.rollup(_w(spark, sf_dir).dwd, keys), name))
     q.__name__ = f"rollup_{name}"
     return q
 

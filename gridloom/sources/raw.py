@@ -1,10 +1,12 @@
 """Raw (ODS) scans and layer persistence."""
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BOM = "﻿"
 
@@ -59,11 +61,33 @@ def read_layer(spark: SparkSession, root: str, layer: str, name: str,
 
 
 def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
-    """Attach column comments (S6) as schema metadata; ORC/Parquet keep them."""
+    """Attach column comments (S6) as schema metadata. Parquet keeps them, ORC does not."""
     return df.select(*[F.col(c).alias(c, metadata={"comment": comments[c]}) if c in comments
                        else F.col(c) for c in df.columns])
 
 
 def write_typed_orc(df: DataFrame, path: str, comments: Mapping[str, str]) -> None:
-    """Typed table with column comments stored as ORC, replaced as a whole."""
-    with_comments(df, comments).write.mode("overwrite").orc(path)
+    """Typed table stored as ORC, replaced as a whole, with its schema and column comments beside the data."""
+    typed = with_comments(df, comments)
+    typed.write.mode("overwrite").orc(path)
+    # Spark's readers skip names that begin with an underscore.
+    (df.sparkSession.createDataFrame([(typed.schema.json(),)], "value string").coalesce(1)
+     .write.mode("overwrite").text(f"{path.rstrip('/')}/{SCHEMA_SIDECAR}"))
+
+
+#: Folder of the schema beside the data of a typed table.
+SCHEMA_SIDECAR = "_schema"
+
+
+class SchemaError(ValueError):
+    """The files of a table do not hold what its schema says."""
+
+
+def read_typed_orc(spark: SparkSession, path: str) -> DataFrame:
+    """A table of :func:`write_typed_orc` with its column comments; files of another schema are refused."""
+    text = spark.read.text(f"{path.rstrip('/')}/{SCHEMA_SIDECAR}").first()["value"]
+    schema = StructType.fromJson(json.loads(text))
+    stored = spark.read.orc(path).schema
+    if [(f.name, f.dataType) for f in stored] != [(f.name, f.dataType) for f in schema]:
+        raise SchemaError(f"{path} holds {stored.simpleString()}, not {schema.simpleString()}")
+    return spark.read.schema(schema).orc(path)

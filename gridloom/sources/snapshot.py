@@ -59,6 +59,35 @@ def _rename(spark: SparkSession, source: str, target: str) -> bool:
     return True
 
 
+def commit(spark: SparkSession, attempt: str, folder: str) -> int:
+    """Rename a written attempt to the next free version of a folder."""
+    root, _, name = folder.rstrip("/").rpartition("/")
+    version = max(_versions(spark, root, name), default=0) + 1
+    while not _rename(spark, attempt, f"{folder.rstrip('/')}/{_VERSION}{version}"):
+        version += 1
+    return version
+
+
+def attempt_path(folder: str) -> str:
+    return f"{folder.rstrip('/')}/_attempt-{uuid.uuid4().hex}"
+
+
+def mark_complete(spark: SparkSession, folder: str) -> None:
+    """Leave the marker that tells a whole version from one that failed."""
+    marker = _path(spark, f"{folder.rstrip('/')}/_SUCCESS")
+    marker.getFileSystem(spark._jsc.hadoopConfiguration()).create(marker, True).close()
+
+
+def version_path(spark: SparkSession, folder: str, version: int | None = None) -> str:
+    """The path of a committed version, the latest one if none is named."""
+    root, _, name = folder.rstrip("/").rpartition("/")
+    found = _versions(spark, root, name)
+    version = max((v for v, whole in found.items() if whole), default=None) if version is None else version
+    if version is None or not found.get(version):
+        raise SnapshotError(f"{folder} has no committed version{'' if version is None else f' {version}'}")
+    return f"{folder.rstrip('/')}/{_VERSION}{version}"
+
+
 def publish(doc: DataFrame, root: str, name: str, checks: DataFrame | None = None) -> int:
     """Validate then write ``doc`` (one row) as the next version.
 
@@ -72,12 +101,9 @@ def publish(doc: DataFrame, root: str, name: str, checks: DataFrame | None = Non
             reason = row["reason"] if row is not None and "reason" in row.asDict() else "no result"
             raise SnapshotError(f"refusing to publish {name}: {reason}")
     folder = f"{root.rstrip('/')}/{name}"
-    attempt = f"{folder}/_attempt-{uuid.uuid4().hex}"
+    attempt = attempt_path(folder)
     doc.coalesce(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(attempt)
-    version = max(_versions(spark, root, name), default=0) + 1
-    while not _rename(spark, attempt, f"{folder}/{_VERSION}{version}"):
-        version += 1
-    return version
+    return commit(spark, attempt, folder)
 
 
 def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame | None:
