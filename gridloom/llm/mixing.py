@@ -12,6 +12,12 @@ permutation's documents up to the budget. That cut is one (block, key) pair per
 source, so the texts are never shuffled: each row finds its number of copies
 from a table with one row per source.
 
+The order of the mix follows from its copies without their texts. Every pass over
+a source permutes its blocks anew, by a hash of pass and block, and spreads them
+over its part of the mix; a copy's place among all copies is counted by prefix
+sums. So blocks stay whole, the sources are interleaved, and every stretch of the
+mix holds them at about their weights.
+
 Defined results: a null source is a source of its own; documents without words
 count zero tokens and are taken with the pass they fall in; a source without
 any token is taken once; equal rows share a key and are taken together, so a
@@ -27,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridloom.llm.sharding import with_offsets
 from gridloom.session import materialize
 
 #: Share of the largest possible entropy (all sources alike) that the weights may reach.
@@ -153,6 +160,19 @@ def mix_with_plan(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, limit
                     F.posexplode(F.array_repeat(F.lit(0), copies.cast("int"))).alias("epoch", "_")).drop("_"))
 
 
+def positions(copies: DataFrame) -> DataFrame:
+    """Add ``position``, from 0 on without a gap, to copies (doc_id, source, epoch, block, passes, ...) of a mix."""
+    # Where a block begins in its pass, and the pass in the mix; a last pass may be a part of one.
+    place = F.pmod(F.xxhash64(F.lit(SEED + 2), F.col("epoch"), _source_key("source"), F.col("_block")), F.lit(1 << 40)) / F.lit(1 << 40)
+    length = F.greatest(F.least(F.lit(1.0), F.col("passes") - F.col("epoch")), F.lit(0.0))
+    rows = materialize(copies.withColumnRenamed("block", "_block").select(
+        "*", F.lit(1).cast("long").alias("_one"), ((F.col("epoch") + place * length) / F.col("passes")).alias("_time"),
+        _source_key("source").alias("_source"), F.xxhash64(F.lit(SEED + 3), F.col("epoch"), F.col("doc_id")).alias("_row")))
+    order = ("_time", "_source", "epoch", "_block", "_row", "doc_id")
+    kept = [F.col("_block" if c == "block" else c).alias(c) for c in copies.columns]
+    return with_offsets(rows, "_one", order).drop("block").select(*kept, F.col("rank").alias("position"))
+
+
 def mix(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, limit: float = REPETITION_LIMIT,
         budget: int | None = None) -> DataFrame:
     """The rows of docs with all their columns, each as often as its source's budget takes it."""

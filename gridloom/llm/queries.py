@@ -34,11 +34,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row per copy of a document in the mix, with the weight of its source."""
+    """A row per copy of a document in the mix, with the weight of its source and its place in the order of the mix."""
     mixed = mixing.mix_with_plan(table(spark, sf_dir, "documents"))
-    return mixed.select("row.doc_id", "row.source", mixing.tokens("row.text").alias("n_tokens"), "epoch",
-                        F.col("mix_block").alias("block"), "source_plan.exponent", "source_plan.share",
-                        "source_plan.weight", "source_plan.passes")
+    return mixing.positions(mixed.select(
+        "row.doc_id", "row.source", mixing.tokens("row.text").alias("n_tokens"), "epoch",
+        F.col("mix_block").alias("block"), "source_plan.exponent", "source_plan.share", "source_plan.weight",
+        "source_plan.passes"))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
