@@ -1,6 +1,7 @@
 """Benchmark passages in documents by CGK embedding and bit-sampling LSH.
 
-Items and documents are sequences of words in lower case without punctuation.
+Items and documents are sequences of words in lower case without punctuation;
+each character of a script that is written without spaces is a word of its own.
 A CGK walk turns a sequence into a string whose Hamming distance follows the
 edit distance: at each step a random bit of the current word decides whether
 the walk moves on or reads the word again. Windows of a document and items
@@ -20,8 +21,12 @@ stretches with fewer triples of any item are passed over. That loses no match.
 The items are a stated query set. They are taken in blocks of bounded size, and
 each block goes over all documents without a shuffle.
 
-Defined results: null and empty documents match nothing; items of fewer than
-``MIN_ITEM_WORDS`` words prove nothing and are left out; a null item_id is
+Items of fewer than ``MIN_ITEM_WORDS`` words allow no edit, so they are looked up
+as exact runs of words.
+
+Defined results: null and empty documents match nothing; items without a word
+match nothing; an item of one or two words is found in every document that
+holds it, so a benchmark of such items rejects much; a null item_id is
 reported as null; equal items are all reported; a document row is judged by its
 own text, repeated rows repeat their matches; no items or no documents give an
 empty result; columns other than doc_id, text, item_id are ignored.
@@ -37,12 +42,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import Chunk, _spans, bound_batches, mix, slices
+from gridloom.llm.common import _WINDOW_BASE, Chunk, _spans, bound_batches, mix, slices
 
 #: Share of an item's words that may be edited.
 MAX_EDITS = 0.15
 #: Chance to find a window with that many edits.
 TARGET_RECALL = 0.995
+#: Shorter items are exact runs.
 MIN_ITEM_WORDS = 5
 #: Bytes of items that go over the documents together.
 BLOCK_BYTES = 4 << 20
@@ -61,9 +67,55 @@ _BREAK = np.ones(256, bool)
 _BREAK[[*range(48, 58), *range(97, 123), *range(128, 256)]] = False
 
 
-def words_of(texts: list[str]) -> Chunk:
-    lowered = [t.lower().encode("utf-8", "replace") for t in texts]
-    return Chunk(lowered, space=_BREAK)
+# Code points of scripts without spaces between words (Thai to Tibetan, Myanmar, Khmer, kana, bopomofo,
+# Han with its iteration mark and zero, and their compatibility forms), and of their punctuation.
+_UNSPACED = [(0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x312F), (0x31F0, 0x31FF),
+             (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF)]
+_MARKS = [(0x3000, 0x3004), (0x3008, 0x303F), (0x30FB, 0x30FB), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40),
+          (0xFF5B, 0xFF65)]
+
+
+def _within(points: np.ndarray, ranges: list[tuple[int, int]]) -> np.ndarray:
+    low, high = np.array(ranges).T
+    at = np.searchsorted(low, points, side="right") - 1
+    return (at >= 0) & (points <= high[at])
+
+
+class Words(Chunk):
+    """A chunk whose words end at each character of a script without spaces."""
+
+    def __init__(self, texts: list[bytes]):
+        super().__init__(texts, space=_BREAK)
+        lead = np.flatnonzero(self.data >= 0xE0)
+        if not len(lead):
+            return
+        size = np.where(self.data[lead] >= 0xF0, 4, 3)
+        point = self.data[lead].astype(np.int64) & np.where(size == 4, 7, 15)
+        for k in range(1, 4):
+            more = self.data[np.minimum(lead + k, len(self.data) - 1)].astype(np.int64) & 63
+            point = np.where(k < size, point << 6 | more, point)
+        mark = _within(point, _MARKS)
+        own = _within(point, _UNSPACED) & ~mark
+        if not (mark.any() or own.any()):
+            return
+        for k in range(3):  # all marks have three bytes
+            self.in_word[lead[mark] + k] = False
+        edge = np.diff(self.in_word.astype(np.int8), prepend=0, append=0)
+        begins = edge[:-1] == 1
+        begins[lead[own]] = True
+        after = lead[own] + size[own]
+        after = after[after < len(self.data)]
+        begins[after] |= self.in_word[after]
+        self.first = np.flatnonzero(begins)
+        stops = np.flatnonzero(edge == -1)
+        run_end = stops[np.searchsorted(stops, self.first, side="right")]
+        self.end = np.minimum(run_end, np.append(self.first[1:], len(self.data)))
+        self.word_at = np.concatenate([np.searchsorted(self.first, self.doc_at), [len(self.first)]])
+        self.doc = np.repeat(np.arange(self.n), np.diff(self.word_at))
+
+
+def words_of(texts: list[str]) -> Words:
+    return Words([t.lower().encode("utf-8", "replace") for t in texts])
 
 
 def edits_allowed(n: int) -> int:
@@ -91,6 +143,9 @@ class Items:
     likely: np.ndarray
     span: int
     least_triples: int
+    #: Items that are exact runs: their length, the sorted hashes of their words together, and their places in ``runs``.
+    short: list[tuple[int, np.ndarray, np.ndarray]]
+    runs: list[tuple[int | None, np.ndarray]]
 
 
 def _moves(words: np.ndarray, embedding: int, step: int) -> np.ndarray:
@@ -186,13 +241,15 @@ def _repetitions(words: list[np.ndarray], lo: int) -> list[tuple[int, np.ndarray
 
 
 def prepare(rows: list[tuple[int | None, str | None]]) -> Items | None:
-    """A block of (item_id, text), or None when no item is long enough."""
+    """A block of (item_id, text), or None when no item has a word."""
     chunk = words_of([text or "" for _, text in rows])
     hashes = chunk.word_hashes()
     every = [hashes[a:b].copy() for a, b in zip(chunk.word_at[:-1], chunk.word_at[1:])]
     kept = [(rows[i][0], w) for i, w in enumerate(every) if len(w) >= MIN_ITEM_WORDS]
+    runs = [(rows[i][0], w) for i, w in enumerate(every) if 0 < len(w) < MIN_ITEM_WORDS]
+    short = _short(runs)
     if not kept:
-        return None
+        return Items([], [], [], [], np.zeros(0, np.uint64), np.zeros(0, bool), 0, 0, short, runs) if runs else None
     ids, words = [k[0] for k in kept], [k[1] for k in kept]
     lengths = np.array([len(w) for w in words])
     classes, unsure, lo = [], [], MIN_ITEM_WORDS
@@ -220,7 +277,34 @@ def prepare(rows: list[tuple[int | None, str | None]]) -> Items | None:
     likely[(triples >> np.uint64(44)).astype(np.int64)] = True
     return Items(ids, words, classes, exact, triples, likely,
                  max(n + edits_allowed(n) for n in lengths.tolist()),
-                 min(n - TRIPLE + 1 - TRIPLE * edits_allowed(n) for n in lengths.tolist()))
+                 min(n - TRIPLE + 1 - TRIPLE * edits_allowed(n) for n in lengths.tolist()), short, runs)
+
+
+def _short(runs: list[tuple[int | None, np.ndarray]]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    out = []
+    for n in sorted({len(w) for _, w in runs}):
+        own = np.array([i for i, (_, w) in enumerate(runs) if len(w) == n])
+        keys = np.concatenate([_spans(runs[i][1], np.array([0]), np.array([n]), _WINDOW_BASE) for i in own])
+        order = np.argsort(keys, kind="stable")
+        out.append((n, keys[order], own[order]))
+    return out
+
+
+def _find_runs(chunk: Chunk, hashes: np.ndarray, items: Items, out: list[list[dict]]) -> None:
+    """Adds the first run of each short item in each text."""
+    for n, known, owners in items.short:
+        starts, keys = chunk.windows(hashes, n)
+        lo = np.searchsorted(known, keys)
+        hi = np.searchsorted(known, keys, side="right")
+        hit = np.flatnonzero(lo < hi)
+        _, once = np.unique(chunk.doc[starts[hit]] * len(known) + lo[hit], return_index=True)
+        for h in hit[once].tolist():
+            start, text = int(starts[h]), int(chunk.doc[starts[h]])
+            for i in owners[lo[h]:hi[h]].tolist():
+                item_id, words = items.runs[i]
+                if np.array_equal(hashes[start:start + n], words):
+                    out[text].append({"item_id": item_id, "item_words": n, "edits": 0,
+                                      "end_word": start + n - int(chunk.word_at[text])})
 
 
 def _triples(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -309,7 +393,8 @@ def find(texts: list[str], items: Items) -> list[list[dict]]:
     if not len(chunk.doc):
         return out
     hashes = chunk.word_hashes()
-    starts = _possible(hashes, items)
+    _find_runs(chunk, hashes, items, out)
+    starts = _possible(hashes, items) if items.words else np.zeros(0, np.int64)
     if not len(starts):
         return out
     docs = np.unique(chunk.doc[starts])
