@@ -18,6 +18,7 @@ from gridloom.functions import columns as C
 from gridloom.operators import quality as Q
 from gridloom.operators import series as SR
 from gridloom.operators.calendar import with_calendar
+from gridloom.operators.joins import join_series
 
 MAX_HORIZON = 366
 HISTORY_POINTS = 14
@@ -117,7 +118,7 @@ def recursive_forecast(history: DataFrame, ratios: DataFrame, keys: Sequence[str
         .alias("_h"))
     rat = ratios.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(SR.DATE, "ratio"))).alias("_r"))
     if keys:
-        j = hist.join(rat, list(keys))
+        j = join_series(hist, rat, keys)
     else:  # both sides are single rows
         j = hist.withColumn("_k", F.lit(1)).join(rat.withColumn("_k", F.lit(1)), "_k").drop("_k")
 

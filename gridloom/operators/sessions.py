@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import columns as C
 from gridloom.operators.joins import join_dimension
+from gridloom.session import materialize
 
 RAW_SESSION_COLUMNS = ("sessionId", "kwhTotal", "charging_fees", "chargeTimeHrs", "created", "ended",
                        "stationId", "locationId", "platform", "facilityType", "managerVehicle")
@@ -71,10 +72,35 @@ def dedup(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
 
 
+def _digest(columns: Sequence[str], seed: int) -> F.Column:
+    """64 bits of a row; a null is told from a missing value of the column beside it."""
+    return F.xxhash64(F.lit(seed), *[x for c in columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())])
+
+
+def conflicting_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys whose rows differ, by the least and largest of two digests a row.
+
+    The aggregate has a fixed width, so it is hashed, combined before its one
+    shuffle, and no row is moved. Rows that differ are missed with 2^-128.
+    """
+    agg = df.groupBy(*keys).agg(*[f(_digest(df.columns, i)).alias(f"_{n}{i}")
+                                  for i in (1, 2) for n, f in (("lo", F.min), ("hi", F.max))])
+    return agg.filter((F.col("_lo1") < F.col("_hi1")) | (F.col("_lo2") < F.col("_hi2"))).select(*keys)
+
+
 def key_conflicts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that carry more than one distinct row: ``keys..., rows``."""
-    return (df.dropDuplicates().groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-            .filter(F.col("rows") > 1))
+    """Keys that carry more than one distinct row: ``keys..., rows``.
+
+    Only rows of conflicting keys are fetched to be counted. The keys are
+    written first, so the join knows their bytes and broadcasts a few of them.
+    """
+    found = materialize(conflicting_keys(df, keys))
+    found = found.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_{i}"))
+    rows = df.join(found, same, "left_semi").dropDuplicates()
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str = "key") -> None:

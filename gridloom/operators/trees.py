@@ -9,6 +9,7 @@ series, folds and candidates are spread over tasks by :mod:`.models`.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -119,13 +120,20 @@ def grow(x: np.ndarray, y: np.ndarray, weight: np.ndarray, depth: int | None = N
     return Trees(*(np.concatenate(v) for v in (feature, cut, left, value)), np.arange(trees))
 
 
-def boosted(x: np.ndarray, y: np.ndarray, test: np.ndarray, rounds: int, depth: int, step: float) -> np.ndarray:
-    """Least-squares boosting from the mean: each tree fits what is left by those before it."""
-    out, left = np.full(len(test), y.mean()), y - y.mean()
+def boosting(x: np.ndarray, y: np.ndarray, rounds: int, depth: int, step: float) -> Iterator[Trees]:
+    """The trees of least-squares boosting from the mean: each fits what is left by those before it."""
+    left = y - y.mean()
     every = np.ones((1, len(y)), int)
     for _ in range(rounds):
         tree = grow(x, left, every, depth)
         left = left - step * tree.predict(x)
+        yield tree
+
+
+def boosted(x: np.ndarray, y: np.ndarray, test: np.ndarray, rounds: int, depth: int, step: float) -> np.ndarray:
+    """Predictions of the boosted trees for the test rows."""
+    out = np.full(len(test), y.mean())
+    for tree in boosting(x, y, rounds, depth, step):
         out += step * tree.predict(test)
     return out
 

@@ -1,17 +1,17 @@
 """The warehouse job: raw CSV -> ODS -> DWD -> DWS -> ADS -> snapshot.
 
-Every layer is written to shared storage (Parquet, overwrite = idempotent
-rerun) and the next layer reads it back, which cuts lineage: a lost executor
-only recomputes the stage it was in. Scale decisions:
+Every layer is written to shared storage as a version of its own and the next
+layer reads it back, which cuts lineage: a lost executor only recomputes the
+stage it was in, and a rerun never shows a reader half a layer. Scale decisions:
 
 * the ODS write materialises every column, so a FAILFAST CSV read surfaces
   structural errors (a pruned ``count`` would miss them);
 * classification runs once and is written partitioned by ``is_valid``: the
   quarantine and the accepted rows come from one scan of ODS;
-* exact duplicates are removed and conflicting session IDs detected by ONE
-  aggregation keyed by session_id (min/max of the row struct), with partial
-  (map-side) aggregation; the guard reads one boolean column of its output;
-* station metadata is joined with a size-checked broadcast (else shuffle join);
+* exact duplicates are removed by one hash aggregate over the raw text, which
+  collapses a hot row before the shuffle; what is left of a session ID is one
+  row, or a conflict, so the guard counts the IDs of the written rows;
+* station metadata is broadcast by its bytes (else shuffle join);
 * the twelve rollups are one GROUPING SETS aggregate, materialised once and
   reused for the long table, the per-dimension tables and the JSON document;
 * DWD sessions are partitioned by month so later filters prune files.
@@ -63,17 +63,14 @@ def build(spark: SparkSession, raw_paths: dict[str, str], root: str,
     cl = RAW.read_layer(spark, root, "dwd", "classified_sessions") \
         .withColumn("is_valid", F.col("is_valid").cast("boolean"))
     rejected = _w(S.rejected(cl), root, "dwd", "rejected_sessions")
-    # exact dedup + session-ID conflict guard from one aggregation keyed by session_id
+    # exact dedup of the narrow raw text, typed again after the shuffle; then the session-ID guard
     raw_cols = list(ods["sessions"].columns)
-    keyed = _w(S.unique_rows_by_key(S.accepted(cl), "session_id", raw_cols), root, "dwd", "clean_raw_sessions")
-    if keyed.filter("_conflict").limit(1).count():
-        raise S.KeyConflictError("sessions: rows that differ share a session_id")
-    clean = _w(S.type_sessions(keyed.drop("_conflict"), century_years), root, "dwd", "clean_sessions")
-
-    st = _w(S.unique_rows_by_key(ods["stations"], "stationId", ods["stations"].columns), root, "dwd", "stations_keyed")
-    if st.filter("_conflict").limit(1).count():
-        raise S.KeyConflictError("stations: rows that differ share a stationId")
-    stations = _w(st.drop("_conflict"), root, "dwd", "stations")
+    unique = S.dedup(S.accepted(cl).select(*raw_cols))
+    clean = _w(S.type_sessions(unique, century_years), root, "dwd", "clean_sessions")
+    S.require_unique(clean, ["session_id"], "session_id")
+
+    stations = _w(S.dedup(ods["stations"]), root, "dwd", "stations")
+    S.require_unique(stations, ["stationId"], "stationId")
     parts = [partition_sessions_by] if partition_sessions_by else None
     dwd = _w(S.enrich(clean, stations), root, "dwd", "sessions", partition_by=parts)
     battery = _w(B.clean_battery(B.type_battery(ods["battery"])), root, "dwd", "battery")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gridloom.sources import snapshot as SN
+
 BOM = "﻿"
 
 
@@ -44,20 +46,35 @@ def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
 MAX_RECORDS_PER_FILE = 20_000_000
 
 
+#: Versions of a layer that stay: the newest, and the one that a reader may still hold.
+KEEP_VERSIONS = 2
+
+
 def write_layer(df: DataFrame, root: str, layer: str, name: str, fmt: str = "parquet",
-                partition_by: list[str] | None = None) -> str:
-    """Overwrite one table of a layer: idempotent reruns."""
-    path = f"{root.rstrip('/')}/{layer}/{name}"
-    w = df.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+                partition_by: list[str] | None = None, keep: int = KEEP_VERSIONS) -> str:
+    """The next version of one table of a layer (S3/S4); the path of the version.
+
+    The rows go to an attempt folder that is renamed when it is whole, so a
+    write that fails or is killed leaves the layer as it was, and a reader of
+    the version before goes on during a rerun. Versions older than the ``keep``
+    newest are deleted then.
+    """
+    folder = f"{root.rstrip('/')}/{layer}/{name}"
+    attempt = SN.attempt_path(folder)
+    w = (df.write.format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+         .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true"))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
-    return path
+    w.save(attempt)
+    version = SN.commit(df.sparkSession, attempt, folder)
+    SN.drop_older(df.sparkSession, folder, keep)
+    return SN.version_path(df.sparkSession, folder, version)
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, name: str,
-               fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(f"{root.rstrip('/')}/{layer}/{name}")
+               fmt: str = "parquet", version: int | None = None) -> DataFrame:
+    """A committed version of a table, the latest one if none is named."""
+    return spark.read.format(fmt).load(SN.version_path(spark, f"{root.rstrip('/')}/{layer}/{name}", version))
 
 
 def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:

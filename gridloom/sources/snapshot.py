@@ -88,6 +88,15 @@ def version_path(spark: SparkSession, folder: str, version: int | None = None) -
     return f"{folder.rstrip('/')}/{_VERSION}{version}"
 
 
+def drop_older(spark: SparkSession, folder: str, keep: int) -> None:
+    """Delete the committed versions of a folder before the ``keep`` newest."""
+    root, _, name = folder.rstrip("/").rpartition("/")
+    whole = sorted(v for v, committed in _versions(spark, root, name).items() if committed)
+    for version in whole[:max(0, len(whole) - max(1, keep))]:
+        path = _path(spark, f"{folder.rstrip('/')}/{_VERSION}{version}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def publish(doc: DataFrame, root: str, name: str, checks: DataFrame | None = None) -> int:
     """Validate then write ``doc`` (one row) as the next version.
 

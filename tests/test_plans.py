@@ -77,3 +77,17 @@ def test_daily_series_reads_only_its_columns(spark):
     scans = _scans(_plan(daily), "orders")
     assert len(scans) == 1
     assert _scan_columns(scans[0]) == {"o_custkey", "o_totalprice", "o_orderdate"}
+
+
+def test_key_guard_is_one_hashed_exchange(spark):
+    """The conflict guard moves fixed-width digests: hashed, combined before its one shuffle, no sort."""
+    from gridloom.operators import sessions as S
+    p = _plan(S.conflicting_keys(Inputs(spark, SMALL).table("lineitem"), ["l_orderkey", "l_linenumber"]))
+    assert p.count("Exchange ") == 1 and "SortAggregate" not in p and p.count("HashAggregate") == 2
+
+
+def test_job_dedup_is_hashed(spark):
+    from gridloom.operators import sessions as S
+    raw = Inputs(spark, SMALL).raw_sessions
+    p = _plan(S.dedup(S.accepted(S.classify(S.type_sessions(raw))).select(*raw.columns)))
+    assert "SortAggregate" not in p and p.count("Exchange ") == 1

@@ -415,3 +415,12 @@ def test_ratio_functions_propagate_null_and_nan(spark):
 def test_rounding_never_moves_a_large_value(spark):
     from gridloom.functions import columns as C
     assert spark.sql("SELECT 3758439620.1D AS x").select(C.round_half_up("x", 1).alias("y")).first().y == 3758439620.1
+
+
+def test_key_conflicts_by_digests(spark):
+    """Nulls in keys and columns, swapped nulls, repeated rows and many rows of one key."""
+    rows = [(1, "a", None), (1, None, "a"), (2, "x", "y"), (2, "x", "y"), (None, "p", "q"), (None, "p", "r"), (None, "p", "r"),
+            (3, None, None), (3, None, None), (4, "", None), (4, None, None), *[(5, str(i % 7), "z") for i in range(700)]]
+    df = spark.createDataFrame(rows, "id long, v string, w string")
+    assert {(r["id"], r["rows"]) for r in S.key_conflicts(df, ["id"]).collect()} == {(1, 2), (None, 2), (4, 2), (5, 7)}
+    assert S.key_conflicts(df.limit(0), ["id"]).count() == 0

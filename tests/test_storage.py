@@ -113,3 +113,29 @@ def test_presentation_order(spark):
                                   "stat_date string, total_kwh string, sessions string")
     got = [tuple(r) for r in SR.load_series(daily, ordered=True).select("stat_date", "total_kwh", "sessions").collect()]
     assert got == [("2024-01-01", None, 2), ("2024-01-02", 7.5, None), ("2024-01-03", 5.0, 1)]
+
+
+def test_layer_stays_whole(spark, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(SN.SnapshotError):
+        raw.read_layer(spark, root, "dwd", "t")
+    first = spark.range(5).withColumn("part", F.col("id") % 2)
+    raw.write_layer(first, root, "dwd", "t", partition_by=["part"])
+    held = raw.read_layer(spark, root, "dwd", "t")
+    assert sorted(held.columns) == ["id", "part"] and held.count() == 5
+    # A write that fails half way leaves no version.
+    broken = spark.range(100).withColumn("part", F.when(F.col("id") == 99, F.raise_error(F.lit("lost"))).otherwise(F.lit(0)))
+    with pytest.raises(Exception, match="lost"):
+        raw.write_layer(broken, root, "dwd", "t", partition_by=["part"])
+    assert raw.read_layer(spark, root, "dwd", "t").count() == 5
+    # One that is killed before its rename leaves an attempt that no reader meets.
+    spark.range(7).write.parquet(SN.attempt_path(f"{root}/dwd/t"))
+    assert raw.read_layer(spark, root, "dwd", "t").count() == 5
+    # A reader of the version before goes on during and after a rerun.
+    raw.write_layer(spark.range(9), root, "dwd", "t")
+    assert held.count() == 5 and raw.read_layer(spark, root, "dwd", "t").count() == 9
+    raw.write_layer(raw.read_layer(spark, root, "dwd", "t").filter("id > 0"), root, "dwd", "t")
+    assert raw.read_layer(spark, root, "dwd", "t").count() == 8
+    assert raw.read_layer(spark, root, "dwd", "t", version=2).count() == 9
+    with pytest.raises(SN.SnapshotError):
+        raw.read_layer(spark, root, "dwd", "t", version=1)
