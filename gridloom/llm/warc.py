@@ -2,7 +2,9 @@
 
 The writer builds records with column functions and lets Spark's text writer
 put them on the shared file system, so a lost task is written again by the
-commit protocol. Of records with equal payloads of at least
+commit protocol. Archives are plain by default, so a damaged byte costs the one
+record that holds it; a gzip archive of that writer is a single member, whose
+records behind the damage are lost. Of records with equal payloads of at least
 ``REVISIT_MIN_BYTES`` the smallest page_id is a response and the others are
 revisits without the payload.
 
@@ -32,11 +34,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import bound_batches
+from gridloom.session import materialize
 
 #: Payloads below this size are never written as revisits.
 REVISIT_MIN_BYTES = 100
-#: Bounds the size of an archive, and so the memory of the task that reads it.
+#: Bounds the size of an archive, and so the memory of the task that reads it: records at most, and bytes on average.
 RECORDS_PER_ARCHIVE = 5000
+ARCHIVE_BYTES = 64 << 20
 
 # Names of the WARC format.
 VERSION = "WARC/1.1"
@@ -56,7 +60,9 @@ def with_record_types(pages: DataFrame) -> DataFrame:
     first = (rows.filter(F.col("payload_bytes") >= REVISIT_MIN_BYTES)
              .groupBy("payload_digest").agg(F.min("page_id").alias("first_page"), F.count("*").alias("copies"))
              .filter("copies > 1").drop("copies"))
-    # Only digests with copies meet the pages again; a hot digest is split by the skew join.
+    # Only digests with copies meet the pages again. They are written first, so that Spark knows their bytes: a few are
+    # broadcast and no payload is shuffled; with many, a hot digest is split by the skew join.
+    first = materialize(first)
     again = F.col("first_page").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_page"))
     return rows.join(first, "payload_digest", "left").select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest",
@@ -89,11 +95,13 @@ def record(revisit: Column) -> Column:
         F.lit("\r\n"), body, F.lit("\r\n\r"))
 
 
-def write_archives(pages: DataFrame, path: str, compression: str = "gzip") -> None:
-    """One archive per write task, or per ``RECORDS_PER_ARCHIVE`` records of it."""
+def write_archives(pages: DataFrame, path: str, compression: str = "none") -> None:
+    """One archive per write task, or several of at most ``RECORDS_PER_ARCHIVE`` records and about ``ARCHIVE_BYTES``."""
+    mean = pages.agg(F.avg(F.octet_length("html")).alias("n")).first().n or 0.0
+    records = int(min(RECORDS_PER_ARCHIVE, max(1, ARCHIVE_BYTES // (mean + 1))))
     (with_record_types(pages).select(record(F.col("record_type") == "revisit").alias("value"))
      .write.option("lineSep", "\n").option("compression", compression)
-     .option("maxRecordsPerFile", RECORDS_PER_ARCHIVE).text(path))
+     .option("maxRecordsPerFile", records).text(path))
 
 
 @dataclass
