@@ -17,6 +17,7 @@ from gridloom.operators import features as FE
 from gridloom.operators import forecast as FC
 from gridloom.operators import models as MD
 from gridloom.operators import series as SR
+from gridloom.sources import raw as RAW
 from gridloom.sources import snapshot as SN
 
 
@@ -46,7 +47,7 @@ def run(spark: SparkSession, daily: DataFrame, root: str, calendar: DataFrame, d
     fc = (fc.join(fut.select(SR.DATE, "is_holiday"), SR.DATE).withColumn("_k", F.lit(1))
           .join(F.broadcast(sm), "_k").withColumn("pred_sessions", FC.estimate_sessions("pred")))
     report = FC.forecast_report(fc)
-    report.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base}/ml/forecast_csv")
+    RAW.write_report(report, f"{base}/ml/forecast_csv")
 
     hist = FC.history_tail(daily).select(F.date_format(SR.DATE, "yyyy-MM-dd").alias("date"),
                                          F.col("total_kwh").alias("energy"),

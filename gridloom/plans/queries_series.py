@@ -414,14 +414,26 @@ def history_tail(spark, sf_dir):
     return stable(FC.history_tail(_s(spark, sf_dir).daily).select(SR.DATE, "total_kwh", "sessions"))
 
 
-@register("forecast_report", sql("""
+_REPORT_SQL = sql("""
 SELECT strftime(stat_date, '%Y-%m-%d') AS forecast_date, strftime(stat_date, '%a') AS weekday, is_holiday,
        round(pred, 1) AS pred_kwh, round(pred_sessions, 1) AS pred_sessions
-FROM forecast"""))
+FROM forecast""")
+
+
+@register("forecast_report", _REPORT_SQL)
 def forecast_report(spark, sf_dir):
     return FC.forecast_report(_s(spark, sf_dir).forecast())
 
 
+@register("forecast_csv", _REPORT_SQL)
+def forecast_csv(spark, sf_dir):
+    """The report written as CSV and read back with its types."""
+    report = FC.forecast_report(_s(spark, sf_dir).forecast())
+    path = scratch_path(spark, "forecast-csv")
+    RAW.write_report(report, path)
+    return RAW.read_report(spark, path, report.schema)
+
+
 @register("forecast_bridge", sql("""
 SELECT date, 'history' AS role, energy AS value FROM hist_pts
 UNION ALL SELECT date, 'forecast', energy FROM fc_pts

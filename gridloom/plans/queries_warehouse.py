@@ -379,6 +379,16 @@ def dashboard_payload(spark, sf_dir):
     return stable(P.explode_document(doc.select("payload"), schema))
 
 
+@register("document_file", _LONG_SQL)
+def document_file(spark, sf_dir):
+    """The document written as a text file, read back whole and flattened."""
+    from gridloom.operators import payload as P
+    doc = _document(spark, sf_dir)
+    path = scratch_path(spark, "dashboard-json")
+    RAW.write_document(doc, path)
+    return stable(P.explode_document(RAW.read_document(spark, path), doc.schema["doc"].dataType))
+
+
 def _publish_document(spark, sf_dir):
     from gridloom.operators import payload as P
     from gridloom.sources import snapshot as SN

@@ -96,8 +96,7 @@ def build(spark: SparkSession, raw_paths: dict[str, str], root: str,
     quality = _w(quality, root, "ads", "quality")
     gen = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     doc = _w(P.dashboard_document(dwd, battery, quality, gen, grouped), root, "ads", "dashboard")
-    # The document as one UTF-8 JSON text file (a single row, one task)
-    doc.select("payload").coalesce(1).write.mode("overwrite").text(f"{root.rstrip('/')}/ads/dashboard_json")
+    RAW.write_document(doc, f"{root.rstrip('/')}/ads/dashboard_json")
     version = SN.publish(doc.select(F.col("doc.generated_at").alias("generated_at"), "payload"),
                          snapshot_root or f"{root.rstrip('/')}/snapshots", "dashboard",
                          checks=P.document_check(doc))

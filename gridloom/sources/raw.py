@@ -77,6 +77,26 @@ def read_layer(spark: SparkSession, root: str, layer: str, name: str,
     return spark.read.format(fmt).load(SN.version_path(spark, f"{root.rstrip('/')}/{layer}/{name}", version))
 
 
+def write_document(doc: DataFrame, path: str) -> None:
+    """The ``payload`` of a one-row document as one UTF-8 text file."""
+    doc.select("payload").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_document(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "payload")
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """A report as one CSV file with a header."""
+    report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_report(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A report with its types; a header of other names or a value that does not fit fails the read."""
+    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+            .option("mode", "FAILFAST").csv(path))
+
+
 def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
     """Attach column comments (S6) as schema metadata. Parquet keeps them, ORC does not."""
     return df.select(*[F.col(c).alias(c, metadata={"comment": comments[c]}) if c in comments

@@ -139,3 +139,17 @@ def test_layer_stays_whole(spark, tmp_path):
     assert raw.read_layer(spark, root, "dwd", "t", version=2).count() == 9
     with pytest.raises(SN.SnapshotError):
         raw.read_layer(spark, root, "dwd", "t", version=1)
+
+
+def test_report_and_document_files(spark, tmp_path):
+    report = spark.createDataFrame([("2024-01-01", "Mon", 1, 2.5), ("2024-01-02", None, 0, None)],
+                                   "d string, weekday string, is_holiday int, pred double")
+    path = str(tmp_path / "report")
+    raw.write_report(report, path)
+    assert sorted(map(tuple, raw.read_report(spark, path, report.schema).collect())) == sorted(map(tuple, report.collect()))
+    other = report.select(F.lit("x").alias("other"), *report.columns[1:]).schema
+    with pytest.raises(Exception):
+        raw.read_report(spark, path, other).collect()
+    text = '{"name": "é \\n 京"}'
+    raw.write_document(spark.createDataFrame([(text,)], "payload string"), str(tmp_path / "doc"))
+    assert raw.read_document(spark, str(tmp_path / "doc")).first()["payload"].strip() == text
