@@ -18,7 +18,10 @@ has one in common.
 
 No bucket is expanded into pairs of texts. Small buckets compare all pairs. In a
 larger one every member meets the leader of the bucket, which is another one in
-each bucket of a text. What is not in the leader's class by then is open: open
+each bucket of a text. Near copies share most of their buckets, so a text would be
+linked to one leader after the other: first each text is aligned in the largest of
+its buckets only, and of the other pairs those follow whose texts are in different
+classes by then. What is not in the leader's class after that is open: open
 members are compared with all members of the bucket, block by block, without their
 texts: by the least hashes of their words, and where those agree as often as they
 do in linked texts, by an alignment of the words as 32 bits of hash each, in the
@@ -292,15 +295,44 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _first_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of small buckets, and each member with its leader in large ones."""
+    """All pairs of small buckets, and each member with its leader in large ones; n is the size of the largest one."""
     small = members.filter(F.col("n") <= SMALL_BUCKET)
-    left = small.select("key", F.col("node").alias("a"), F.col("words").alias("a_words"))
+    left = small.select("key", "n", F.col("node").alias("a"), F.col("words").alias("a_words"))
     right = small.select("key", F.col("node").alias("b"), F.col("words").alias("b_words"))
     pairs = left.join(right, "key").filter("a < b")
     led = members.filter((F.col("n") > SMALL_BUCKET) & (F.col("node") != F.col("leader"))).select(
         F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"),
-        F.col("words").alias("a_words"), F.col("leader_words").alias("b_words"))
-    return pairs.select("a", "b", "a_words", "b_words").unionByName(led).filter(_length_fits()).select("a", "b").distinct()
+        F.col("words").alias("a_words"), F.col("leader_words").alias("b_words"), "n")
+    found = pairs.select("a", "b", "a_words", "b_words", "n").unionByName(led).filter(_length_fits())
+    return found.groupBy("a", "b").agg(F.max("n").alias("n"))
+
+
+def _largest(pairs: DataFrame) -> DataFrame:
+    """Of the pairs of each text the one in its largest bucket, with the least texts among equals."""
+    best = F.max(F.struct("n", F.bitwise_not("a").alias("a"), F.bitwise_not("b").alias("b"))).alias("best")
+    ends = pairs.withColumn("node", F.col("a")).unionByName(pairs.withColumn("node", F.col("b")))
+    return ends.groupBy("node").agg(best).select(
+        F.bitwise_not("best.a").alias("a"), F.bitwise_not("best.b").alias("b")).distinct()
+
+
+def _apart(pairs: DataFrame, tried: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs that are not tried yet and whose texts are in different classes."""
+    for side in ("a", "b"):
+        own = parts.select(F.col("node").alias(side), F.col("component").alias(f"{side}_part"))
+        pairs = pairs.join(own, side, "left").withColumn(f"{side}_part", F.coalesce(f"{side}_part", side))
+    return pairs.filter("a_part <> b_part").select("a", "b").join(tried, ["a", "b"], "left_anti")
+
+
+def _linked_first(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links u, v that join the classes of all linked pairs, without those that classes have already."""
+    tried = materialize(_largest(pairs))
+    parts = components(_verified(tried, texts))
+    return _stars(parts).unionByName(_verified(materialize(_apart(pairs, tried, parts)), texts))
+
+
+def _stars(parts: DataFrame) -> DataFrame:
+    """A link u, v of every node with the least one of its class."""
+    return parts.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
 
 
 _LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -407,8 +439,8 @@ def classes(docs: DataFrame) -> DataFrame:
                         .dropDuplicates(["copy", "doc_id"])
                         .select("node", "text", "slots", F.pandas_udf(compact_batch, "marks binary, codes binary")("text").alias("c"))
                         .select("node", "text", "slots", "c.*"))
-    first = materialize(_verified(materialize(_first_pairs(members)), texts))
-    found = first.unionByName(_open_links(members, components(first), texts))
+    first = components(_linked_first(materialize(_first_pairs(members)), texts))
+    found = _stars(first).unionByName(_open_links(members, first, texts))
     named = nodes.join(components(found), "node", "left").select("copy", "low", F.coalesce("component", "node").alias("component"))
     named = materialize(named)
     least = named.groupBy("component").agg(F.min("low").alias("class_id"))

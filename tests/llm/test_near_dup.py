@@ -126,6 +126,25 @@ def test_unlike_members_of_large_buckets(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in near_dup.classes(rows).collect()} == named(texts, linked_pairs(texts))
 
 
+def test_links_of_a_large_group_of_near_copies(spark, monkeypatch):
+    """Each near copy shares some thirty buckets with the others; few of their links are needed to name its class."""
+    rng = random.Random(6)
+    base, other = prose(150, 60).split(), prose(150, 61).split()
+    texts = {n: " ".join(edited(base, rng.randrange(12), rng)) for n in range(120)}
+    texts |= {500 + n: " ".join(edited(other, rng.randrange(14), rng)) for n in range(60)}
+    real, counts = near_dup.components, []
+
+    def counted(links):
+        counts.append(links.count())
+        return real(links)
+
+    monkeypatch.setattr(near_dup, "components", counted)
+    rows = spark.createDataFrame([*texts.items(), (900, texts[3]), (901, texts[3])], "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.class_id for r in near_dup.classes(rows).collect()}
+    assert got == named({**texts, 900: texts[3], 901: texts[3]}, linked_pairs(texts))
+    assert counts and max(counts) <= 4 * len(texts)
+
+
 def test_one_id_with_several_texts(spark):
     x, y, z = prose(80, 1), prose(80, 2), prose(80, 3)
     near = " ".join(edited(y.split(), 3, random.Random(1)))
