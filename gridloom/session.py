@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,13 +81,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/gridloom-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Actions in here leave no shuffle files: else those of every step stay until the driver collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     """Cut lineage by writing Parquet to the shared folder and reading it back.
 
     Survives executor loss: the result lives in shared storage, not in
-    executor memory (no ``localCheckpoint``).
+    executor memory (no ``localCheckpoint``). What was shuffled for it goes.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, "stage")
-    df.write.mode("overwrite").parquet(path)
+    with shuffles_removed(spark):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -1,12 +1,14 @@
 """Near-duplicates against a plain edit distance over all pairs."""
 
+import os
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from gridloom.llm import near_dup
+from gridloom.llm import components, near_dup
 from tests.llm.test_operators import prose, words
 
 
@@ -145,6 +147,38 @@ def test_links_of_a_large_group_of_near_copies(spark, monkeypatch):
     assert counts and max(counts) <= 4 * len(texts)
 
 
+def shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for top in folders for _, _, files in os.walk(top.getPath()) for f in files if f.startswith("shuffle_")}
+
+
+def test_steps_leave_no_shuffle_files(spark):
+    """Else the shuffles of all steps lie on the disk together until the driver collects its garbage."""
+    rng = random.Random(8)
+    base = prose(150, 80).split()
+    texts = {n: " ".join(edited(base, rng.randrange(12), rng)) for n in range(40)}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    before = shuffle_files(spark)
+    found = near_dup.classes(rows)
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:  # executors delete them a little later
+        time.sleep(0.2)
+    assert not left
+    assert {r.doc_id: r.class_id for r in found.collect()} == named(texts, linked_pairs(texts))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_equal_union_find(spark, seed):
+    """Chains, stars, loops and double links, in both directions."""
+    rng = random.Random(seed)
+    links = [(n + 1, n) for n in range(0, 24)] + [(100, 101 + n) for n in range(20)] + [(7, 7), (-3, 100), (-3, 100), (200, 200)]
+    links += [(rng.randrange(300, 360), rng.randrange(300, 360)) for _ in range(45)]
+    nodes = sorted({x for a, b in links if a != b for x in (a, b)})
+    rows = spark.createDataFrame(links, "u long, v long").repartition(4)
+    got = [(r.node, r.component) for r in components.components(rows).collect()]
+    assert sorted(got) == sorted(named({n: f"t{n}" for n in nodes}, [x for x in links if x[0] != x[1]]).items())
+
+
 def test_one_id_with_several_texts(spark):
     x, y, z = prose(80, 1), prose(80, 2), prose(80, 3)
     near = " ".join(edited(y.split(), 3, random.Random(1)))
