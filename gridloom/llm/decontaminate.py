@@ -58,9 +58,12 @@ SAMPLED, PER_EMBEDDING, MOST = 4, 6, 240
 LONG_ITEM_WORDS = 256
 #: Items that go by their triples and are looked up together.
 EXACT_ITEMS = 64
+#: Words that walks read together at most, over all embeddings, and words of texts that wait for their walks.
+WALKED, WAITING = 1 << 22, 1 << 17
 TRIPLE = 3
 
 _TRIPLE_BASE = 0x94D049BB133111EB
+_KEY_BASE = np.uint64(0x9FB21C651E98DF25)
 
 # Words are runs of ASCII letters and digits and of all other letters' bytes.
 _BREAK = np.ones(256, bool)
@@ -148,43 +151,42 @@ class Items:
     runs: list[tuple[int | None, np.ndarray]]
 
 
-def _moves(words: np.ndarray, embedding: int, step: int) -> np.ndarray:
-    """Random bits of each word for 64 steps of an embedding."""
-    return mix(words ^ mix(np.array([embedding * 1_000_003 + step // 64 + 1], np.uint64))[0])
-
-
-def walk(words: np.ndarray, starts: np.ndarray, embedding: int, wanted: np.ndarray) -> dict[int, np.ndarray]:
-    """The symbols that the walks from all starts read at the wanted steps; the array ends in padding."""
-    at = starts.copy()
-    out = {}
-    need = set(wanted.tolist())
-    for step in range(int(wanted.max()) + 1):
+def _moves(words: np.ndarray, embeddings: int, step: int) -> np.ndarray:
+    """Random bits of each word for 64 steps of every embedding, a row each."""
+    seeds = np.arange(embeddings).astype(np.uint64) * np.uint64(1_000_003) + np.uint64(step // 64 + 1)
+    return mix(words ^ mix(seeds)[:, None])
+
+
+def _keys(words: np.ndarray, starts: np.ndarray, steps: list[tuple[int, np.ndarray]]) -> np.ndarray:
+    """One key per repetition and start, from the symbols that its walk reads at the sampled steps. The starts ascend."""
+    embedding, samples = np.array([e for e, _ in steps]), np.array([sample for _, sample in steps])
+    embeddings, last = int(embedding.max()) + 1, int(samples.max())
+    # The words that walks from these starts may read, each once; the array ends in padding.
+    n = np.append(np.minimum(np.diff(starts), last + 1), last + 1)
+    place = np.cumsum(n) - n
+    near = np.repeat(starts - place, n) + np.arange(n.sum())
+    own = words[np.minimum(near, len(words) - 1)]
+    # All embeddings walk together, each over its own row of bits.
+    row = np.arange(embeddings)[:, None] * len(own)
+    at = place + row
+    keys = np.zeros((len(steps), len(starts)), np.uint64)
+    for step in range(last + 1):
         if step % 64 == 0:
-            bits = _moves(words, embedding, step)
-        if step in need:
-            out[step] = words[at]
-        at = at + ((bits[at] >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64)
-        np.minimum(at, len(words) - 1, out=at)
-    return out
-
+            bits = _moves(own, embeddings, step).ravel()
+        reads = np.flatnonzero((samples == step).any(axis=1))
+        if len(reads):
+            keys[reads] = (keys[reads] ^ own[at[embedding[reads]] - row[embedding[reads]]]) * _KEY_BASE
+        if step < last:
+            at += (bits[at] >> np.uint64(step % 64) & np.uint64(1)).view(np.int64)
+    return keys
 
-def _combine(symbols: list[np.ndarray]) -> np.ndarray:
-    key = np.zeros(len(symbols[0]), np.uint64)
-    for s in symbols:
-        key = mix(key ^ s)
-    return key
 
-
-def _keys(words: np.ndarray, starts: np.ndarray, steps: list[tuple[int, np.ndarray]]) -> list[np.ndarray]:
-    """One key per repetition and start. Repetitions of one embedding share its walk."""
-    out = []
-    by: dict[int, list[np.ndarray]] = {}
-    for embedding, sample in steps:
-        by.setdefault(embedding, []).append(sample)
-    for embedding, samples in by.items():
-        read = walk(words, starts, embedding, np.unique(np.concatenate(samples)))
-        out += [_combine([read[int(t)] for t in sample]) for sample in samples]
-    return out
+def _together(starts: np.ndarray, steps: list[tuple[int, np.ndarray]]) -> Iterator[np.ndarray]:
+    """The starts in runs whose walks read ``WALKED`` words at most."""
+    reach = (max(e for e, _ in steps) + 1) * (max(int(sample.max()) for _, sample in steps) + 1)
+    size = max(1, WALKED // reach)
+    for i in range(0, len(starts), size):
+        yield starts[i:i + size]
 
 
 def _sampled(lo: int, count: int, number: int) -> list[tuple[int, np.ndarray]]:
@@ -227,7 +229,7 @@ def _repetitions(words: list[np.ndarray], lo: int) -> list[tuple[int, np.ndarray
     pad = max(map(len, some))
     plain, at = _flat(some, pad)
     other, other_at = _flat(edited, pad)
-    hits = np.array([a == b for a, b in zip(_keys(plain, at, trial), _keys(other, other_at, trial))])
+    hits = _keys(plain, at, trial) == _keys(other, other_at, trial)
     # The chance to miss is averaged over pairs, as far edits collide less than near ones. For each it is
     # the share of draws of that many trial embeddings that hold no colliding one, which has no bias.
     blank = most - hits.reshape(most, PER_EMBEDDING, -1).any(axis=1).sum(axis=0)
@@ -265,7 +267,7 @@ def prepare(rows: list[tuple[int | None, str | None]]) -> Items | None:
             else:
                 flat, at = _flat(members, 4 * hi)
                 keys, items = [], []
-                for k in _keys(flat, at, steps):
+                for k in np.hstack([_keys(flat, some, steps) for some in _together(at, steps)]):
                     order = np.argsort(k, kind="stable")
                     keys.append(k[order])
                     items.append(own[order])
@@ -349,14 +351,19 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 def _candidates(words: np.ndarray, starts: np.ndarray, items: Items) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(start, item) pairs that collide in a repetition."""
     for group in items.classes:
-        for keys, known, owners in zip(_keys(words, starts, group.steps), group.keys, group.items):
-            lo = np.searchsorted(known, keys)
-            hi = np.searchsorted(known, keys, side="right")
-            hit = np.flatnonzero(lo < hi)
-            if len(hit):
-                n = hi[hit] - lo[hit]
-                offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                yield np.repeat(starts[hit], n), owners[np.repeat(lo[hit], n) + offset]
+        for some in _together(starts, group.steps):
+            found = []
+            for keys, known, owners in zip(_keys(words, some, group.steps), group.keys, group.items):
+                lo = np.searchsorted(known, keys)
+                hit = np.flatnonzero(known[np.minimum(lo, len(known) - 1)] == keys)
+                if len(hit):
+                    lo = lo[hit]
+                    n = np.searchsorted(known, keys[hit], side="right") - lo
+                    offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    found.append(np.repeat(hit, n) * len(items.words) + owners[np.repeat(lo, n) + offset])
+            if found:
+                start, item = np.divmod(np.unique(np.concatenate(found)), len(items.words))
+                yield some[start], item
 
 
 def _exact_candidates(words: np.ndarray, texts_at: np.ndarray, items: Items) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -389,23 +396,35 @@ def _exact_candidates(words: np.ndarray, texts_at: np.ndarray, items: Items) ->
 def find(texts: list[str], items: Items) -> list[list[dict]]:
     """Matches of each text: item, its words, edit distance and the word after the matching run."""
     out: list[list[dict]] = [[] for _ in texts]
-    chunk = words_of(texts)
-    if not len(chunk.doc):
-        return out
-    hashes = chunk.word_hashes()
-    _find_runs(chunk, hashes, items, out)
-    starts = _possible(hashes, items) if items.words else np.zeros(0, np.int64)
-    if not len(starts):
-        return out
-    docs = np.unique(chunk.doc[starts])
-    # Texts with a possible window, each followed by padding, so that no walk leaves its text.
-    pad = 2 * items.span
-    flat, at = _flat([hashes[chunk.word_at[d]:chunk.word_at[d + 1]] for d in docs], pad)
-    row = np.searchsorted(docs, chunk.doc[starts])
-    moved = starts - chunk.word_at[docs][row] + at[row]
+    waiting: list[tuple[int, np.ndarray, np.ndarray]] = []
+    for lo, hi in slices(texts):
+        chunk = words_of(texts[lo:hi])
+        if not len(chunk.doc):
+            continue
+        hashes = chunk.word_hashes()
+        _find_runs(chunk, hashes, items, out[lo:hi])
+        starts = _possible(hashes, items) if items.words else np.zeros(0, np.int64)
+        docs, at = np.unique(chunk.doc[starts], return_index=True)
+        for d, own in zip(docs.tolist(), np.split(starts, at[1:])):
+            words = hashes[chunk.word_at[d]:chunk.word_at[d + 1]].copy()
+            waiting.append((lo + d, words, own - chunk.word_at[d]))
+        # Few windows are left of a chunk, so those of several are walked together.
+        if sum(len(words) for _, words, _ in waiting) >= WAITING:
+            _find_edited(waiting, items, out)
+            waiting = []
+    if waiting:
+        _find_edited(waiting, items, out)
+    return out
+
+
+def _find_edited(texts: list[tuple[int, np.ndarray, np.ndarray]], items: Items, out: list[list[dict]]) -> None:
+    """Adds the matches of texts, given with their place, their words and the starts of their possible windows."""
+    # Each text is followed by padding, so that no walk leaves it.
+    flat, at = _flat([words for _, words, _ in texts], 2 * items.span)
+    moved = np.concatenate([starts + a for (_, _, starts), a in zip(texts, at)])
     pairs = [*_candidates(flat, moved, items), *_exact_candidates(flat, at, items)]
     if not sum(len(p[0]) for p in pairs):
-        return out
+        return
     start = np.concatenate([p[0] for p in pairs])
     item = np.concatenate([p[1] for p in pairs])
     order = np.lexsort((start, item))
@@ -422,17 +441,15 @@ def find(texts: list[str], items: Items) -> list[list[dict]]:
         i, o = int(item[a]), int(owner[a])
         n = len(items.words[i])
         d = edits_allowed(n)
-        end_of_text = at[o] + chunk.word_at[docs[o] + 1] - chunk.word_at[docs[o]]
         lo = max(int(at[o]), int(start[a]) - d)
-        hi = min(int(end_of_text), int(start[b]) + n + 2 * d)
+        hi = min(int(at[o]) + len(texts[o][1]), int(start[b]) + n + 2 * d)
         distance, end = align(items.words[i], flat[lo:hi])
         if distance <= d:
             found = (distance, lo + end - int(at[o]))
             best[o, i] = min(best.get((o, i), found), found)
     for (o, i), (distance, end) in sorted(best.items()):
-        out[docs[o]].append({"item_id": items.ids[i], "item_words": len(items.words[i]),
-                             "edits": distance, "end_word": end})
-    return out
+        out[texts[o][0]].append({"item_id": items.ids[i], "item_words": len(items.words[i]),
+                                 "edits": distance, "end_word": end})
 
 
 MATCHES = "array<struct<item_id: long, item_words: long, edits: long, end_word: long>>"
@@ -441,11 +458,7 @@ MATCHES = "array<struct<item_id: long, item_words: long, edits: long, end_word:
 def matches(text: Column, items: Items) -> Column:
     """Matches of a block of items in each text."""
     def run(texts: pd.Series) -> pd.Series:
-        whole = ["" if t is None else t for t in texts]
-        out = []
-        for lo, hi in slices(whole):
-            out += find(whole[lo:hi], items)
-        return pd.Series(out, dtype=object)
+        return pd.Series(find(["" if t is None else t for t in texts], items), dtype=object)
 
     return F.pandas_udf(run, MATCHES)(text)
 

@@ -1,9 +1,11 @@
 """Decontamination of scripts without spaces, of short items, and against a plain walk over all windows."""
 import random
 
+import numpy as np
 import pytest
 
 from gridloom.llm import decontaminate as D
+from gridloom.llm.common import CHUNK_BYTES
 
 HAN = "".join(chr(0x4E00 + 37 * i % 5000) for i in range(4000))
 
@@ -99,3 +101,57 @@ def test_equals_a_plain_walk_over_all_pairs():
     for text, got in zip(texts, found):
         near = {(i, least_edits(t.split(), text.split())) for i, t in items}
         assert got == {(i, e) for i, e in near if e <= D.edits_allowed(len(items[i][1].split()))}
+
+
+def _long_texts():
+    """Twenty items, and texts of several chunks that hold them with as many edits as are allowed."""
+    rng = random.Random(5)
+    common = [f"c{i}" for i in range(20000)]
+    items = [(i, " ".join(rng.choice(common) for _ in range(8 + 4 * i))) for i in range(20)]
+    texts = []
+    for _, text in items:
+        body = [rng.choice(common) for _ in range(10000)]
+        own = text.split()
+        body[5000:5000] = edited(own, D.edits_allowed(len(own)), rng)
+        texts.append(" ".join(body))
+    return items, texts
+
+
+def test_windows_of_several_chunks_walk_together(monkeypatch):
+    items, texts = _long_texts()
+    ready = D.prepare(items)
+    alone = [D.find([t], ready)[0] for t in texts]
+    assert [[m["item_id"] for m in ms] for ms in alone] == [[i] for i in range(20)]
+    assert sum(map(len, texts)) > 2 * CHUNK_BYTES
+    calls = []
+    moves = D._moves
+    monkeypatch.setattr(D, "_moves", lambda *a: calls.append(1) or moves(*a))
+    for bound in ("WALKED", "WAITING"):
+        monkeypatch.setattr(D, bound, 1 << 26, raising=False)
+    assert D.find(texts, ready) == alone
+    # One pass of a class for every 64 steps, whatever the number of embeddings, chunks and texts.
+    assert len(calls) == sum(int(max(s.max() for _, s in c.steps)) // 64 + 1 for c in ready.classes)
+    # Small runs of windows, and texts that do not wait, find the same.
+    monkeypatch.setattr(D, "WALKED", 1)
+    monkeypatch.setattr(D, "WAITING", 1)
+    assert D.find(texts[:4], ready) == alone[:4]
+
+
+def test_keys_equal_plain_walks():
+    rng = np.random.default_rng(2)
+    words = np.concatenate([rng.integers(1, 1 << 62, 300).astype(np.uint64), np.zeros(200, np.uint64)])
+    steps = D._sampled(60, 18, 2)
+    starts = np.array([0, 1, 2, 40, 41, 41, 180, 299])
+    want = []
+    for embedding, sample in steps:
+        keys = []
+        for at in starts.tolist():
+            key = 0
+            for step in range(int(sample.max()) + 1):
+                if step in sample:
+                    key = (key ^ int(words[at])) * int(D._KEY_BASE) % (1 << 64)
+                seed = D.mix(np.array([embedding * 1_000_003 + step // 64 + 1], np.uint64))
+                at += int(D.mix(words[at:at + 1] ^ seed)[0]) >> step % 64 & 1
+            keys.append(key)
+        want.append(keys)
+    assert D._keys(words, starts, steps).tolist() == want
